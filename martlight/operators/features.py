@@ -92,18 +92,30 @@ def user_risk_labels_v1(
     return _with_ages(joined, as_of).withColumn("label", rules.label()).na.fill(0)
 
 
-def vendor_profit_margin(products: DataFrame, vendors: DataFrame) -> DataFrame:
-    """Mean margin over cost of each vendor's products.
-
-    A vendor has one cost price, so the mean of the margins follows from the
-    exact sum of the prices and the product table is never joined row by row.
-    """
-    per_vendor = products.groupBy("vendor_id").agg(
+def vendor_price_aggregates(products: DataFrame) -> DataFrame:
+    """Sum and number of the prices of each vendor's products."""
+    return products.groupBy("vendor_id").agg(
         F.sum("unit_price").alias("prices"), F.count("unit_price").alias("priced")
     )
+
+
+def _mean_margin() -> Column:
+    """Mean of (price - cost) / cost over a vendor's products.
+
+    A vendor has one cost price, so the mean follows from the exact sum of the
+    prices and products need not be joined to vendors row by row.
+    """
     total_cost = F.col("cost_price") * F.col("priced").cast("decimal(20,0)")
-    return per_vendor.join(vendors.select("vendor_id", "cost_price"), "vendor_id").select(
-        "vendor_id", ratio(F.col("prices") - total_cost, total_cost).alias("avg_profit_margin")
+    return ratio(F.col("prices") - total_cost, total_cost)
+
+
+def vendor_profit_margin(products: DataFrame, vendors: DataFrame) -> DataFrame:
+    """Mean margin over cost of each vendor with products."""
+    costs = vendors.select("vendor_id", "cost_price")
+    return (
+        vendor_price_aggregates(products)
+        .join(costs, "vendor_id")
+        .select("vendor_id", _mean_margin().alias("avg_profit_margin"))
     )
 
 
@@ -119,7 +131,9 @@ def vendor_order_aggregates(orders: DataFrame) -> DataFrame:
 def vendor_features(orders: DataFrame, products: DataFrame, vendors: DataFrame) -> DataFrame:
     """One feature row per vendor; every numeric NULL becomes 0."""
     return (
-        vendors.join(vendor_profit_margin(products, vendors), "vendor_id", "left")
+        vendors.join(vendor_price_aggregates(products), "vendor_id", "left")
+        .withColumn("avg_profit_margin", _mean_margin())
+        .drop("prices", "priced")
         .join(vendor_order_aggregates(orders), "vendor_id", "left")
         .na.fill(0)
     )

@@ -120,3 +120,8 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in tables.items()
     ]
     return _union(counts)
+
+
+def preview(df: DataFrame, rows: int = 5) -> DataFrame:
+    """A few rows to look at."""
+    return df.limit(rows)

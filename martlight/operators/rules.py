@@ -12,6 +12,8 @@ from martlight.functions.columns import (
     DateLike,
     as_date,
     date_key,
+    leaf_category,
+    main_category,
     surrogate_id,
     vendor_rating,
     whole_days_between,
@@ -20,7 +22,7 @@ from martlight.functions.distribution import fits, salted
 from martlight.schemas import DIM_TIME, FACT_ORDER
 
 # Most discounts carried along with each task as one array value.
-MAX_INLINE_DISCOUNTS = 1000
+MAX_INLINE_DISCOUNTS = 200
 # Spread of one day's purchases when there are more discounts than that.
 DISCOUNT_SALTS = 64
 
@@ -109,9 +111,9 @@ def _best_from_inline_rules(purchases: DataFrame, discounts: DataFrame) -> DataF
     )
 
 
-def _best_by_day(purchases: DataFrame, discounts: DataFrame, salts: int) -> DataFrame:
+def _best_by_day(purchases: DataFrame, discounts: DataFrame, clock: DataFrame, salts: int) -> DataFrame:
     """Many rules: meet on the calendar day, salted, then re-check the exact bounds."""
-    days = purchases.agg(
+    days = clock.agg(
         F.to_date(F.min("event_ts")).alias("first_day"), F.to_date(F.max("event_ts")).alias("last_day")
     )
     # An open-ended rule must not unfold past the days that have purchases.
@@ -148,16 +150,18 @@ def best_valid_discount(
     discounts: DataFrame,
     max_inline: int = MAX_INLINE_DISCOUNTS,
     salts: int = DISCOUNT_SALTS,
+    clock: DataFrame | None = None,
 ) -> DataFrame:
     """Attach to each purchase the valid discount that takes off most, lowest id on a tie.
 
     ``purchases`` needs event_id (unique), event_ts and gross_amount. Adds discount_id
-    (NULL if none applies), exact_discount (unrounded) and discount_amount.
+    (NULL if none applies), exact_discount (unrounded) and discount_amount. ``clock`` may
+    name a cheaper frame whose event_ts span covers the purchases.
     """
     if fits(discounts, max_inline):
         chosen = _best_from_inline_rules(purchases, discounts)
     else:
-        chosen = _best_by_day(purchases, discounts, salts)
+        chosen = _best_by_day(purchases, discounts, purchases if clock is None else clock, salts)
     exact = F.coalesce("exact_discount", F.lit(0)).cast("decimal(23,4)")
     return chosen.withColumn("exact_discount", exact).withColumn(
         "discount_amount", F.round(exact, 2).cast("decimal(12,2)")
@@ -185,7 +189,7 @@ def orders_from_events(
     )
     net = F.round(F.col("gross_amount") - F.col("exact_discount"), 2)
     return (
-        best_valid_discount(purchases, discounts, max_inline)
+        best_valid_discount(purchases, discounts, max_inline, clock=events)
         .withColumns(
             {
                 "order_id": surrogate_id("event_id"),
@@ -203,9 +207,14 @@ _ATTRIBUTES = StructType([StructField("color", StringType()), StructField("size"
 
 
 def product_attributes(products: DataFrame) -> DataFrame:
-    """Colour and size read out of each product's JSON attributes."""
+    """Both ends of each product's category path, and colour and size out of its JSON attributes."""
     attributes = F.from_json("implicit_attributes", _ATTRIBUTES)
-    return products.select("product_id", attributes.alias("a")).select("product_id", "a.color", "a.size")
+    return products.select(
+        "product_id",
+        main_category("category").alias("main_category"),
+        leaf_category("category").alias("sub_category"),
+        attributes.alias("a"),
+    ).select("product_id", "main_category", "sub_category", "a.color", "a.size")
 
 
 def vendor_areas(vendors: DataFrame) -> DataFrame:

@@ -123,7 +123,7 @@ coupon_strategy(strategy_id, min_discount_sensitivity, min_view_count, min_cart_
     (3, 0.50, 12, 12, 'cart_add', 'sms', 3)) t(a, b, c, d, e, f, g))"""
 
 
-def _order_features(source: str, kind: str, profile: str) -> str:
+def _order_features(kind: str, profile: str) -> str:
     return f"""
 user_orders AS (
   SELECT user_id, max(order_date) AS last_purchase_date, count(order_id) AS frequency,
@@ -131,7 +131,7 @@ user_orders AS (
     round(CAST(CAST(sum(discount_amount) AS DOUBLE) / count(discount_amount) AS DECIMAL(38,10)), 6) AS avg_discount,
     CAST(sum(CASE WHEN order_status = 'Returned' THEN 1 ELSE 0 END) AS DOUBLE) / count(order_id) AS return_rate_model,
     count(CASE WHEN payment_method = 'prepaid_card' THEN 1 END) AS prepaid_card_count
-  FROM {source} GROUP BY user_id),
+  FROM fact_order GROUP BY user_id),
 user_joined AS (
   SELECT u.user_id, {profile}, last_purchase_date, frequency, monetary, avg_discount, return_rate_model,
     prepaid_card_count,
@@ -140,7 +140,6 @@ user_joined AS (
   FROM user_orders o {kind} JOIN dim_user u ON o.user_id = u.user_id)"""
 
 
-_RECENT = "(SELECT * FROM fact_order WHERE order_date >= DATE '2001-05-04')"
 _FILLED = """
 user_features AS (
   SELECT user_id, registration_date, credit_score, last_purchase_date,
@@ -163,7 +162,7 @@ _ALL_USERS = ", ".join(
     [
         _FACT_ORDER,
         _DIM_USER,
-        _order_features("fact_order", "RIGHT", "registration_date, credit_score"),
+        _order_features("RIGHT", "registration_date, credit_score"),
         _FILLED,
         _LABELLED,
     ]
@@ -403,8 +402,10 @@ WITH {_VENDORS}
 SELECT vendor_name, performance_label AS performance_score
 FROM vendor_label ORDER BY performance_label DESC, vendor_id LIMIT 10"""
     sql["user_risk_features"] = f"""
-WITH {_FACT_ORDER}, {_DIM_USER}, {_order_features(_RECENT, 'RIGHT', 'registration_date, credit_score')}, {_FILLED}
-SELECT * FROM user_features"""
+WITH {_ALL_USERS}
+SELECT user_id, registration_date, credit_score, last_purchase_date, frequency, monetary, avg_discount,
+  return_rate_model, prepaid_card_count, recency, user_tenure
+FROM user_labelled"""
     sql["user_risk_label"] = f"""
 WITH {_ALL_USERS}
 SELECT user_id, frequency, monetary, recency, avg_discount, return_rate_model, user_tenure, prepaid_card_count,
@@ -412,7 +413,7 @@ SELECT user_id, frequency, monetary, recency, avg_discount, return_rate_model, u
 FROM user_labelled"""
     sql["user_risk_label_v1"] = f"""
 WITH {_FACT_ORDER}, {_DIM_USER},
-{_order_features(_RECENT, 'INNER', 'registration_date, vip_level, credit_score')}
+{_order_features('INNER', 'registration_date, vip_level, credit_score')}
 SELECT user_id, last_purchase_date, frequency, CAST(monetary AS DOUBLE) AS monetary,
   CAST(avg_discount AS DOUBLE) AS avg_discount, return_rate_model, prepaid_card_count, registration_date,
   coalesce(vip_level, 0) AS vip_level, coalesce(credit_score, 0) AS credit_score, recency, user_tenure,
@@ -461,7 +462,7 @@ SELECT sha256(p.event_id) AS order_id, user_id, product_id, discount_id,
   payment_method, purchase_channel, {_STATUS.replace("event_ts", "date_trunc('second', event_ts)")} AS order_status,
   province, city, event_date AS order_date
 FROM purchase p LEFT JOIN chosen c ON p.event_id = c.event_id"""
-    sql["product_attributes"] = f"WITH {_DIM_PRODUCT} SELECT product_id, color, size FROM dim_product"
+    sql["product_attributes"] = f"WITH {_DIM_PRODUCT} SELECT product_id, split_part(category, '>', 1) AS main_category, split_part(category, '>', -1) AS sub_category, color, size FROM dim_product"
     sql["vendor_areas"] = f"""
 WITH {_DIM_VENDOR} SELECT vendor_id, unnest(distribution_areas) AS distribution_area FROM dim_vendor"""
     sql["session_funnel"] = f"""

@@ -22,7 +22,7 @@ from pyspark.sql.types import (
 from martlight.operators import behavior, bi, features, quality, rules, scoring
 from martlight.plans import user_risk_job, vendor_performance_job
 from martlight.schemas import TABLES
-from martlight.session import shared_dir
+from martlight.session import materialize, shared_dir
 from martlight.sources.csv_files import read_csv, write_csv
 from martlight.sources.testdata import (
     DEMAND_SINCE,
@@ -71,7 +71,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def category_sales_share(w: TestdataWarehouse) -> DataFrame:
-    orders = w.orders_between(*QUARTER, "product_id", "order_date", "net_amount")
+    orders = w.table("fact_order", "product_id", "order_date", "net_amount")
     return bi.category_sales_share(orders, w.table("dim_product", "product_id", "category"), *QUARTER)
 
 
@@ -95,9 +95,7 @@ def vendor_value_top10(w: TestdataWarehouse) -> DataFrame:
 
 
 def warehouse_demand_top20(w: TestdataWarehouse) -> DataFrame:
-    orders = w.orders_between(
-        DEMAND_SINCE, None, "order_id", "province", "city", "order_date", "quantity", "net_amount"
-    )
+    orders = w.table("fact_order", "order_id", "province", "city", "order_date", "quantity", "net_amount")
     return bi.warehouse_demand_top(orders, DEMAND_SINCE, 20)
 
 
@@ -125,13 +123,8 @@ def _risk_inputs(w: TestdataWarehouse) -> tuple[DataFrame, DataFrame]:
     return w.table("fact_order", *_RISK_COLUMNS), users
 
 
-def _recent_risk_inputs(w: TestdataWarehouse) -> tuple[DataFrame, DataFrame]:
-    """Orders of the last weeks only, so that most users have none."""
-    return w.orders_between("2001-05-04", None, *_RISK_COLUMNS), _risk_inputs(w)[1]
-
-
 def user_risk_features(w: TestdataWarehouse) -> DataFrame:
-    return features.user_risk_features(*_recent_risk_inputs(w), SNAPSHOT_DATE)
+    return features.user_risk_features(*_risk_inputs(w), SNAPSHOT_DATE)
 
 
 def user_risk_label(w: TestdataWarehouse) -> DataFrame:
@@ -140,7 +133,7 @@ def user_risk_label(w: TestdataWarehouse) -> DataFrame:
 
 
 def user_risk_label_v1(w: TestdataWarehouse) -> DataFrame:
-    return features.user_risk_labels_v1(*_recent_risk_inputs(w), SNAPSHOT_DATE)
+    return features.user_risk_labels_v1(*_risk_inputs(w), SNAPSHOT_DATE)
 
 
 def _vendor_inputs(w: TestdataWarehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -325,7 +318,7 @@ def orders_from_events(w: TestdataWarehouse) -> DataFrame:
 
 
 def product_attributes(w: TestdataWarehouse) -> DataFrame:
-    return rules.product_attributes(w.table("dim_product", "product_id", "implicit_attributes"))
+    return rules.product_attributes(w.table("dim_product", "product_id", "category", "implicit_attributes"))
 
 
 def vendor_areas(w: TestdataWarehouse) -> DataFrame:
@@ -373,7 +366,7 @@ def coupon_targeting_by_level(w: TestdataWarehouse) -> DataFrame:
 
 def _audited(w: TestdataWarehouse) -> dict[str, DataFrame]:
     return {
-        "fact_order": w.table("fact_order"),
+        "fact_order": w.table("fact_order", *quality.NOT_NULL["fact_order"]),
         "user_behavior_profile": _profiles(w),
         "coupon_strategy": coupon_strategies(w.spark),
     }
@@ -491,7 +484,8 @@ def stream_event_counts(w: TestdataWarehouse) -> DataFrame:
 
 def stream_risk_alerts(w: TestdataWarehouse) -> DataFrame:
     purchases = _event_stream(w, "event_id", "user_id", "event_type", "event_ts")
-    alerts = streams.risk_alerts(purchases, _rule_scores(w))
+    # Written once: every micro-batch reads the table instead of scoring again.
+    alerts = streams.risk_alerts(purchases, materialize(_rule_scores(w), "rule-scores"))
     base = shared_dir(w.spark, "risk-alerts")
     streams.drain_alerts(alerts, f"{base}/out", f"{base}/checkpoint")
     return w.spark.read.schema(alerts.schema).orc(f"{base}/out").select(alerts.columns)

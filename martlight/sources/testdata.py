@@ -7,7 +7,6 @@ joins on a unique key, so leaving one out changes no row.
 
 from __future__ import annotations
 
-import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -183,14 +182,6 @@ class TestdataWarehouse:
         }[name]
         return _project(build(set(wanted)), name, wanted)
 
-    def orders_between(self, first: str | None, last: str | None, *columns: str) -> DataFrame:
-        """Columns of ``fact_order`` with an order date in [first, last]; either end may be open.
-
-        Bounds the stored column itself, so the scan skips row groups the way
-        date partitions of the real table would be skipped.
-        """
-        return _project(self._orders(set(columns) | {"order_date"}, first, last), "fact_order", columns)
-
     def _with_region(self, df: DataFrame, nation_key: str, wanted: set[str]) -> DataFrame:
         if wanted & {"province", "country"}:
             nations = self.raw("nation").select("n_nationkey", "n_name", "n_regionkey")
@@ -215,7 +206,7 @@ class TestdataWarehouse:
     def _discounts(self, wanted: set[str]) -> DataFrame:
         return self.spark.range(1, DISCOUNT_COUNT + 1)
 
-    def _orders(self, wanted: set[str], first: str | None = None, last: str | None = None) -> DataFrame:
+    def _orders(self, wanted: set[str]) -> DataFrame:
         lines = self.raw("lineitem")
         if not wanted & _FROM_ORDERS:
             return lines
@@ -224,14 +215,7 @@ class TestdataWarehouse:
             # The address joins the narrower orders, not their lines.
             homes = self._with_region(self.raw("customer"), "c_nationkey", wanted & _ADDRESS)
             orders = orders.join(homes, F.col("o_custkey") == F.col("c_custkey"), "left")
-        joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        if first is not None:
-            start = dt.datetime.fromisoformat(first)
-            joined = joined.where(F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz"))
-        if last is not None:
-            after = dt.datetime.fromisoformat(last) + dt.timedelta(days=1)
-            joined = joined.where(F.col("o_orderdate") < F.lit(after).cast("timestamp_ntz"))
-        return joined
+        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
 
 
 def coupon_strategies(spark: SparkSession) -> DataFrame:

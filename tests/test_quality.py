@@ -1,0 +1,83 @@
+from martlight import schemas
+from martlight.operators import quality
+from tests import builders as b
+
+GOOD = {
+    "order_id": "1", "user_id": 1, "product_id": 1, "time_id": 20250101, "vendor_id": 1, "quantity": 1,
+    "gross_amount": 10, "discount_amount": 1, "net_amount": 9, "payment_method": "credit_card", "purchase_channel": "web",
+}
+
+
+def _counts(df):
+    return {(r.table_name, r.column_name): r.violations for r in df.collect()}
+
+
+def test_not_null_counts_per_column(spark):
+    orders = b.orders(spark, [GOOD, GOOD | {"user_id": None}, GOOD | {"user_id": None, "payment_method": None}])
+    found = _counts(quality.not_null_audit({"fact_order": orders}))
+    assert found[("fact_order", "user_id")] == 2
+    assert found[("fact_order", "payment_method")] == 1
+    assert sum(found.values()) == 3 and len(found) == 11
+
+
+def test_each_check_and_null_passes(spark):
+    broken = {
+        "quantity": 0, "gross_amount": 0, "discount_amount": -1, "net_amount": -1,
+        "payment_method": "cash", "purchase_channel": "affiliate",
+    }
+    rows = [GOOD] + [GOOD | {c: v} for c, v in broken.items()] + [GOOD | dict.fromkeys(broken)]
+    orders = b.orders(spark, rows)
+    assert _counts(quality.check_audit({"fact_order": orders})) == {("fact_order", c): 1 for c in broken}
+    faults = {tuple(r.violations) for r in quality.failing_rows(orders, "fact_order").collect()}
+    assert ("quantity CHECK",) in faults
+    assert ("quantity NOT NULL", "gross_amount NOT NULL", "discount_amount NOT NULL", "net_amount NOT NULL",
+            "payment_method NOT NULL", "purchase_channel NOT NULL") in faults
+    assert len(faults) == 7
+
+
+def test_profile_and_strategy_checks(spark):
+    profiles = b.table(
+        spark,
+        schemas.USER_BEHAVIOR_PROFILE,
+        [
+            {"user_id": 1, "avg_research_time": 0, "decision_time": 1, "purchase_intensity": "1.01", "social_influence_factor": 1},
+            {"user_id": 2, "avg_research_time": None, "decision_time": -1, "purchase_intensity": 0, "social_influence_factor": "-0.01"},
+        ],
+    )
+    strategies = b.table(
+        spark,
+        schemas.COUPON_STRATEGY,
+        [{"strategy_id": 1, "min_discount_sensitivity": 2, "min_view_count": -1, "min_cart_count": 0,
+          "trigger_type": "purchase", "action_type": "mail", "coupon_id": None}],
+    )
+    tables = {"user_behavior_profile": profiles, "coupon_strategy": strategies}
+    found = _counts(quality.check_audit(tables))
+    assert found == {
+        ("user_behavior_profile", "avg_research_time"): 1,
+        ("user_behavior_profile", "decision_time"): 1,
+        ("user_behavior_profile", "purchase_intensity"): 1,
+        ("user_behavior_profile", "social_influence_factor"): 1,
+        ("coupon_strategy", "min_discount_sensitivity"): 1,
+        ("coupon_strategy", "min_view_count"): 1,
+        ("coupon_strategy", "min_cart_count"): 0,
+        ("coupon_strategy", "trigger_type"): 1,
+        ("coupon_strategy", "action_type"): 1,
+    }
+    assert _counts(quality.not_null_audit(tables))[("coupon_strategy", "coupon_id")] == 1
+
+
+def test_discount_rate_edges(spark):
+    orders = b.orders(spark, [
+        GOOD | {"order_id": "a", "gross_amount": 3, "discount_amount": 1},
+        GOOD | {"order_id": "b", "gross_amount": 0, "discount_amount": 1},
+        GOOD | {"order_id": "c", "gross_amount": 1, "discount_amount": 500},
+        GOOD | {"order_id": "d", "gross_amount": None},
+    ])
+    found = {r.order_id: r.discount_rate for r in quality.with_discount_rate(orders).collect()}
+    assert {k: None if v is None else str(v) for k, v in found.items()} == {"a": "0.3333", "b": None, "c": None, "d": None}
+
+
+def test_table_profile_and_preview(spark):
+    tables = {"x": spark.range(7), "y": spark.range(0)}
+    assert {(r.table_name, r.row_count) for r in quality.table_profile(tables).collect()} == {("x", 7), ("y", 0)}
+    assert quality.preview(spark.range(100)).count() == 5
