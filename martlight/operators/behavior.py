@@ -78,23 +78,31 @@ def _session_times(events: DataFrame) -> DataFrame:
 
 
 def _order_habits(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Per user: most-bought main category, channels used and share of social orders."""
-    per_category = (
-        orders.join(products.select("product_id", "category"), "product_id", "left")
-        .groupBy("user_id", main_category("category").alias("main_category"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(F.col("purchase_channel").isin(SOCIAL_CHANNELS)).alias("social"),
-            F.collect_set("purchase_channel").alias("channels"),
-        )
-    )
-    favourite = F.min(
-        F.when(F.col("main_category").isNotNull(), F.struct((-F.col("n")).alias("rank"), "main_category"))
+    """Per user: most-bought main category, channels used and share of social orders.
+
+    One pass counts orders by (user, category) and by (user, channel), so that a
+    user arrives at the last step as a few counts, however many orders there are.
+    """
+    named = orders.join(products.select("product_id", "category"), "product_id", "left").select(
+        "user_id", main_category("category").alias("main_category"), "purchase_channel"
     )
-    return per_category.groupBy("user_id").agg(
+    counts = named.groupingSets(
+        [["user_id", "main_category"], ["user_id", "purchase_channel"]],
+        "user_id",
+        "main_category",
+        "purchase_channel",
+    ).agg(F.count(F.lit(1)).alias("n"), (F.grouping("main_category") == 1).alias("by_channel"))
+
+    n, channel, by_channel = F.col("n"), F.col("purchase_channel"), F.col("by_channel")
+    category_rank = F.struct((-n).alias("rank"), "main_category")
+    favourite = F.min(F.when(~by_channel & F.col("main_category").isNotNull(), category_rank))
+    social = F.sum(F.when(by_channel & channel.isin(SOCIAL_CHANNELS), n).otherwise(0))
+    return counts.groupBy("user_id").agg(
         favourite["main_category"].alias("preferred_category"),
-        F.sort_array(F.array_distinct(F.flatten(F.collect_set("channels")))).alias("channel_preference"),
-        half_up(ratio(F.sum("social"), F.sum("n")), 2).cast("decimal(5,2)").alias("social_influence_factor"),
+        F.sort_array(F.collect_list(F.when(by_channel, channel))).alias("channel_preference"),
+        half_up(ratio(social, F.sum(F.when(by_channel, n))), 2)
+        .cast("decimal(5,2)")
+        .alias("social_influence_factor"),
     )
 
 

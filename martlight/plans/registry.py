@@ -29,7 +29,7 @@ from martlight.sources.testdata import (
     EVENTS_AS_OF,
     QUARTER,
     RATING_DATE,
-    RAW_EVENTS,
+    RAW_TABLES,
     SNAPSHOT_DATE,
     TestdataWarehouse,
     as_fact_event,
@@ -455,7 +455,7 @@ def partition_replace(w: TestdataWarehouse) -> DataFrame:
 
 
 def bucketed_join(w: TestdataWarehouse) -> DataFrame:
-    """Risk features from user-bucketed tables: their join needs no shuffle."""
+    """Risk features from user-bucketed tables: the orders aggregate and join without a shuffle."""
     create_database(w.spark, DATABASE)
     spec = TABLES["fact_order"]
     by_bucket = type(spec)(spec.schema, spec.file_format, (), spec.bucket_by)
@@ -472,7 +472,7 @@ def bucketed_join(w: TestdataWarehouse) -> DataFrame:
 
 
 def _event_stream(w: TestdataWarehouse, *columns: str) -> DataFrame:
-    return as_fact_event(streams.event_stream(w.spark, w.sf_dir, RAW_EVENTS, "events.parquet"), *columns)
+    return as_fact_event(streams.event_stream(w.spark, w.sf_dir, RAW_TABLES["events"], "events.parquet"), *columns)
 
 
 def stream_event_counts(w: TestdataWarehouse) -> DataFrame:

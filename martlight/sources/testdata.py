@@ -11,7 +11,15 @@ from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType, DoubleType
+from pyspark.sql.types import (
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from martlight.schemas import COUPON_STRATEGY, TABLES
 
@@ -23,16 +31,41 @@ QUARTER = ("1997-04-01", "1997-06-30")
 DEMAND_SINCE = "1997-01-01"
 DISCOUNT_COUNT = 10
 
-RAW_EVENTS = StructType(
-    [
-        StructField("event_id", LongType()),
-        StructField("ts", TimestampNTZType()),
-        StructField("user_id", LongType()),
-        StructField("event_type", StringType()),
-        StructField("value", DoubleType()),
-        StructField("props", StringType()),
-    ]
-)
+
+def _raw(columns: str) -> StructType:
+    kinds = {
+        "int": IntegerType(),
+        "bigint": LongType(),
+        "double": DoubleType(),
+        "string": StringType(),
+        "timestamp_ntz": TimestampNTZType(),
+    }
+    pairs = [column.split() for column in columns.split(", ")]
+    return StructType([StructField(name, kinds[kind]) for name, kind in pairs])
+
+
+# Schemas of the test tables used.
+RAW_TABLES = {
+    "region": _raw("r_regionkey int, r_name string"),
+    "nation": _raw("n_nationkey int, n_name string, n_regionkey int"),
+    "customer": _raw("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    "supplier": _raw("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "part": _raw(
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ),
+    "orders": _raw(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": _raw(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": _raw(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
 
 _GROSS = "CAST(l_extendedprice AS DECIMAL(12,2))"
 _DISCOUNT = f"CAST({_GROSS} * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(12,2))"
@@ -166,7 +199,7 @@ class TestdataWarehouse:
         self.sf_dir = sf_dir.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(RAW_TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def table(self, name: str, *columns: str) -> DataFrame:
         """A warehouse table, or just ``columns`` of it."""

@@ -1,0 +1,51 @@
+import datetime as dt
+
+from martlight.streaming import events as streams
+from tests import builders as b
+from martlight import schemas
+
+
+def _land(spark, folder, rows):
+    b.events(spark, rows).coalesce(1).write.mode("append").parquet(folder)
+
+
+def _event(n, day, hour=12, kind="view", user=1):
+    return {"event_id": str(n), "user_id": user, "event_type": kind, "event_ts": f"2025-01-{day:02d} {hour:02d}:00:00"}
+
+
+def test_counts_survive_a_restart_and_close_with_the_watermark(spark, tmp_path):
+    folder, out, checkpoint = (str(tmp_path / p) for p in ("in", "out", "checkpoint"))
+
+    def drain():
+        stream = streams.event_stream(spark, folder, schemas.FACT_EVENT)
+        counts = streams.daily_event_counts(stream)
+        streams.drain_to_files(counts, out, checkpoint)
+        rows = spark.read.schema(counts.schema).parquet(out).collect()
+        return {(r.event_date.day, r.event_type): r.events for r in rows}
+
+    _land(spark, folder, [_event(1, 1), _event(2, 1), _event(3, 1, kind="purchase"), _event(4, 2)])
+    assert drain() == {(1, "view"): 2, (1, "purchase"): 1}
+    # Day 1 is closed: a straggler for it is dropped; day 2 is still open and goes on counting.
+    _land(spark, folder, [_event(5, 1), _event(6, 2), _event(7, 3, hour=0)])
+    assert drain() == {(1, "view"): 2, (1, "purchase"): 1}
+    _land(spark, folder, [_event(8, 3, hour=2)])
+    assert drain() == {(1, "view"): 2, (1, "purchase"): 1, (2, "view"): 2}
+
+
+def test_alerts_only_for_risky_purchases_and_only_once(spark, tmp_path):
+    folder, out, checkpoint = (str(tmp_path / p) for p in ("in", "out", "checkpoint"))
+    scores = spark.createDataFrame(
+        [(1, 1.0, 0.9, dt.date(2025, 1, 1)), (2, 0.0, 0.5, dt.date(2025, 1, 1)), (3, 0.0, 0.1, dt.date(2025, 1, 1))],
+        schemas.USER_CREDIT_SCORE,
+    )
+
+    def drain():
+        alerts = streams.risk_alerts(streams.event_stream(spark, folder, schemas.FACT_EVENT), scores)
+        streams.drain_alerts(alerts, out, checkpoint)
+        return sorted(r.event_id for r in spark.read.orc(out).collect())
+
+    _land(spark, folder, [_event(1, 1, kind="purchase"), _event(2, 1, kind="purchase", user=3), _event(3, 1)])
+    assert drain() == ["1"]
+    _land(spark, folder, [_event(4, 1, kind="purchase", user=2), _event(5, 1, kind="purchase", user=7)])
+    assert drain() == ["1", "4"]
+    assert drain() == ["1", "4"]
