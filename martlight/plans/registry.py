@@ -7,6 +7,7 @@ int, double, string, date) so that they compare with any SQL engine.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -186,7 +187,7 @@ _fits: dict[tuple[str, str, str], tuple[scoring.Evaluated, DataFrame]] = {}
 
 
 def _once(w: TestdataWarehouse, kind: str, fit: Callable[[str], tuple[scoring.Evaluated, DataFrame]]):
-    key = (w.spark.sparkContext.applicationId, w.sf_dir, kind)
+    key = (w.spark.conf.get("spark.app.id"), w.sf_dir, kind)
     if key not in _fits:
         _fits[key] = fit(shared_dir(w.spark, f"model-{kind}"))
     return _fits[key]
@@ -240,8 +241,12 @@ def top_vendors_by_model_score(w: TestdataWarehouse) -> DataFrame:
     return bi.top_vendors_by_score(_vendor_fit(w)[1], w.table("dim_vendor", "vendor_id", "vendor_name"), 10)
 
 
+def _scratch_database(w: TestdataWarehouse) -> None:
+    create_database(w.spark, DATABASE, shared_dir(w.spark, "database"))
+
+
 def _write_back(w: TestdataWarehouse, scores: DataFrame, name: str) -> DataFrame:
-    create_database(w.spark, DATABASE)
+    _scratch_database(w)
     table = f"{DATABASE}.{name}"
     save_table(scores, table, TABLES[name], path=shared_dir(w.spark, name))
     return w.spark.table(table)
@@ -447,24 +452,26 @@ def partition_replace(w: TestdataWarehouse) -> DataFrame:
     write_files(users, "dim_user", base)
     asia = users.where(F.col("country") == "ASIA").withColumn("vip_level", F.lit(9))
     replace_partitions(asia, "dim_user", base)
-    create_database(w.spark, DATABASE)
+    _scratch_database(w)
     w.spark.sql(f"DROP TABLE IF EXISTS {DATABASE}.dim_user")
     register_external(w.spark, DATABASE, "dim_user", f"{base}/dim_user")
     counted = Warehouse(w.spark, database=DATABASE).table("dim_user", "country", "vip_level")
     return counted.groupBy("country", "vip_level").agg(F.count(F.lit(1)).alias("users"))
 
 
+def _bucketed(w: TestdataWarehouse, name: str) -> DataFrame:
+    """The table written in its declared buckets, without date or country folders."""
+    spec = replace(TABLES[name], partition_by=())
+    table = f"{DATABASE}.{name}_bucketed"
+    save_table(w.table(name), table, spec, path=shared_dir(w.spark, f"{name}-bucketed"))
+    return w.spark.table(table)
+
+
 def bucketed_join(w: TestdataWarehouse) -> DataFrame:
     """Risk features from user-bucketed tables: the orders aggregate and join without a shuffle."""
-    create_database(w.spark, DATABASE)
-    spec = TABLES["fact_order"]
-    by_bucket = type(spec)(spec.schema, spec.file_format, (), spec.bucket_by)
-    users_spec = TABLES["dim_user"]
-    users_by_bucket = type(users_spec)(users_spec.schema, users_spec.file_format, (), users_spec.bucket_by)
-    orders, users = f"{DATABASE}.fact_order_bucketed", f"{DATABASE}.dim_user_bucketed"
-    save_table(w.table("fact_order"), orders, by_bucket, path=shared_dir(w.spark, "fact-order-bucketed"))
-    save_table(w.table("dim_user"), users, users_by_bucket, path=shared_dir(w.spark, "dim-user-bucketed"))
-    result = features.user_risk_features(w.spark.table(orders), w.spark.table(users), SNAPSHOT_DATE)
+    _scratch_database(w)
+    orders, users = _bucketed(w, "fact_order"), _bucketed(w, "dim_user")
+    result = features.user_risk_features(orders, users, SNAPSHOT_DATE)
     return result.select("user_id", "frequency", "monetary", "recency", "user_tenure")
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,23 +74,63 @@ def replace_partitions(df: DataFrame, name: str, path: str) -> None:
     writer.save(f"{path.rstrip('/')}/{name}")
 
 
-def create_database(spark: SparkSession, database: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
+    where = f" LOCATION '{location}'" if location is not None else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
 
 
-def register_external(spark: SparkSession, database: str, name: str, location: str) -> None:
-    """Register existing files as an external table and pick up their partitions."""
+def _create_table(spark: SparkSession, database: str, name: str, location: str, bucketed: bool) -> None:
     spec = TABLES[name]
     columns = ", ".join(f"`{f.name}` {spec.ddl_type(f.name)}" for f in spec.schema)
-    partitions = f" PARTITIONED BY ({', '.join(spec.partition_by)})" if spec.partition_by else ""
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) "
-        f"USING {spec.file_format}{partitions} LOCATION '{location}'"
-    )
+    clauses = [f"USING {spec.file_format}"]
+    if spec.file_format == "orc":
+        clauses.append("OPTIONS (compression 'zlib')")
     if spec.partition_by:
+        clauses.append(f"PARTITIONED BY ({', '.join(spec.partition_by)})")
+    if bucketed and spec.bucket_by is not None:
+        count, key = spec.bucket_by
+        clauses.append(f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {count} BUCKETS")
+    clauses.append(f"LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) {' '.join(clauses)}")
+
+
+def create_tables(spark: SparkSession, database: str, path: str) -> None:
+    """Create the database and every declared table, empty, in its full layout."""
+    create_database(spark, database)
+    for name in TABLES:
+        _create_table(spark, database, name, f"{path.rstrip('/')}/{name}", bucketed=True)
+
+
+def register_external(spark: SparkSession, database: str, name: str, location: str) -> None:
+    """Register existing files as an external table and pick up their partitions.
+
+    Files written elsewhere carry no bucket numbers, so none are declared.
+    """
+    _create_table(spark, database, name, location, bucketed=False)
+    if TABLES[name].partition_by:
         spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """``insertInto`` heeds only the session's overwrite mode, not the writer's."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def insert_overwrite(df: DataFrame, database: str, name: str) -> None:
+    """Replace a created table, or of a partitioned one just the partitions in ``df``."""
+    spec = TABLES[name]
+    rows = _gathered(conform(df, spec), spec, spec.bucket_by)
+    with _dynamic_overwrite(df.sparkSession):
+        rows.write.mode("overwrite").insertInto(f"{database}.{name}")
+
+
 def save_table(
     df: DataFrame, table: str, spec: TableSpec, path: str | None = None, bucketed: bool = True
 ) -> None:

@@ -159,6 +159,28 @@ def test_declared_layout_with_partitions_and_buckets(spark, tmp_path, database):
     assert len(list((tmp_path / "u" / "country=USA").glob("*.orc"))) <= 32
 
 
+def test_created_tables_take_inserts_in_their_layout(spark, tmp_path, database):
+    warehouse.create_tables(spark, database, str(tmp_path))
+    assert {t.name for t in spark.catalog.listTables(database)} == set(TABLES)
+    tables = warehouse.Warehouse(spark, database=database)
+    assert all(tables.table(name).dtypes == [(f.name, f.dataType.simpleString()) for f in spec.schema] or name == "dim_user" for name, spec in TABLES.items())
+
+    users = b.users(spark, [{"user_id": u, "gender": "F", "country": "China" if u % 3 else "USA"} for u in range(100)])
+    warehouse.insert_overwrite(users, database, "dim_user")
+    usa = b.users(spark, [{"user_id": 500, "gender": "M", "country": "USA"}])
+    warehouse.insert_overwrite(usa, database, "dim_user")
+    found = tables.table("dim_user", "user_id", "gender", "country").collect()
+    assert len(found) == 67 and {r.user_id for r in found if r.country == "USA"} == {500}
+    spark.sql(f"REFRESH TABLE {database}.dim_user")
+    plan = tables.table("dim_user").groupBy("user_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount: 32 out of 32" in plan
+
+    strategies = b.table(spark, TABLES["coupon_strategy"].schema, [{"strategy_id": 1, "min_view_count": 2}])
+    for _ in range(2):
+        warehouse.insert_overwrite(strategies, database, "coupon_strategy")
+    assert tables.table("coupon_strategy").count() == 1
+
+
 def test_warehouse_needs_one_location(spark):
     with pytest.raises(ValueError):
         warehouse.Warehouse(spark)
