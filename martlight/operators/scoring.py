@@ -36,6 +36,9 @@ VENDOR_FEATURES = [
 ]
 SEED = 42
 
+# Fewest training rows worth a task of their own.
+ROWS_PER_TASK = 1000
+
 # Largest first byte of a key's digest, as hex, that goes to training: 205 of 256.
 _LAST_TRAINING_BYTE = "cc"
 
@@ -66,17 +69,27 @@ class Evaluated:
     test_rows: int
 
 
+def _spread(train: DataFrame, key: str, rows: int) -> DataFrame:
+    """Training rows over as many tasks as they can use, in a fixed place and order.
+
+    Trees draw their samples per partition: hashing and sorting by the key makes
+    the model the same whatever files or shuffles the rows came from.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(cores, rows // ROWS_PER_TASK))
+    return train.repartition(tasks, key).sortWithinPartitions(key)
+
+
 def _fit(features: DataFrame, key: str, pipeline: Pipeline, evaluator: Evaluator) -> Evaluated:
     train, test = train_test_split(features, key)
-    train.cache()
+    train_rows = train.count()
+    train = _spread(train, key, train_rows).cache()
     try:
         model = pipeline.fit(train)
         metric = evaluator.evaluate(model.transform(test))
-        return Evaluated(
-            model, evaluator.getOrDefault(evaluator.metricName), metric, train.count(), test.count()
-        )
     finally:
         train.unpersist()
+    return Evaluated(model, evaluator.getOrDefault(evaluator.metricName), metric, train_rows, test.count())
 
 
 def user_model_inputs(features: DataFrame, inputs: list[str] = USER_FEATURES) -> DataFrame:

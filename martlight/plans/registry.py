@@ -479,7 +479,9 @@ def bucketed_join(w: TestdataWarehouse) -> DataFrame:
 
 
 def _event_stream(w: TestdataWarehouse, *columns: str) -> DataFrame:
-    return as_fact_event(streams.event_stream(w.spark, w.sf_dir, RAW_TABLES["events"], "events.parquet"), *columns)
+    # A glob takes the table as one file or as a folder of files.
+    arriving = streams.event_stream(w.spark, f"{w.sf_dir}/events.parquet*", RAW_TABLES["events"])
+    return as_fact_event(arriving, *columns)
 
 
 def stream_event_counts(w: TestdataWarehouse) -> DataFrame:

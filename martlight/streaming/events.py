@@ -14,12 +14,9 @@ from pyspark.sql.types import StructType
 from martlight.functions.columns import surrogate_id
 
 
-def event_stream(spark: SparkSession, folder: str, schema: StructType, glob: str | None = None) -> DataFrame:
-    """Parquet files arriving in ``folder`` as a stream."""
-    reader = spark.readStream.schema(schema)
-    if glob is not None:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.parquet(folder)
+def event_stream(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """Parquet files arriving in ``folder`` (or matching a glob) as a stream."""
+    return spark.readStream.schema(schema).parquet(folder)
 
 
 def daily_event_counts(events: DataFrame, late_by: str = "1 hour") -> DataFrame:
