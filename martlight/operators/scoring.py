@@ -8,11 +8,12 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.functions.columns import DateLike, as_date, class_probability
+from martlight.functions.columns import DateLike, as_date, class_probability, half_up
 
 # Model inputs, in vector order, and seed.
 USER_FEATURES = [
@@ -99,17 +100,36 @@ def user_model_inputs(features: DataFrame, inputs: list[str] = USER_FEATURES) ->
     )
 
 
+def _scaling(inputs: list[str]) -> list:
+    """Assemble the inputs and divide each by its standard deviation, without centring."""
+    return [
+        VectorAssembler(inputCols=inputs, outputCol="features"),
+        StandardScaler(inputCol="features", outputCol="scaled_features", withStd=True, withMean=False),
+    ]
+
+
+def scale_user_features(features: DataFrame, inputs: list[str] = USER_FEATURES) -> DataFrame:
+    """What the user model sees: every row's inputs, scaled by the training rows, six decimals."""
+    rows = user_model_inputs(features, inputs)
+    train, _ = train_test_split(rows, "user_id")
+    scaled = vector_to_array("scaled_features")
+    return (
+        Pipeline(stages=_scaling(inputs))
+        .fit(train)
+        .transform(rows)
+        .select("user_id", *[half_up(scaled[i], 6).alias(f"{c}_scaled") for i, c in enumerate(inputs)])
+    )
+
+
 def fit_user_risk(features: DataFrame, inputs: list[str] = USER_FEATURES, trees: int = 100) -> Evaluated:
-    """Random forest on the standardised features; metric is the area under ROC."""
-    pipeline = Pipeline(
-        stages=[
-            VectorAssembler(inputCols=inputs, outputCol="features"),
-            StandardScaler(inputCol="features", outputCol="scaled_features", withStd=True, withMean=False),
-            RandomForestClassifier(featuresCol="scaled_features", labelCol="label", numTrees=trees, seed=SEED),
-        ]
+    """Random forest on the scaled features; metric is the area under ROC."""
+    forest = RandomForestClassifier(
+        featuresCol="scaled_features", labelCol="label", numTrees=trees, seed=SEED
     )
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    return _fit(user_model_inputs(features, inputs), "user_id", pipeline, evaluator)
+    return _fit(
+        user_model_inputs(features, inputs), "user_id", Pipeline(stages=[*_scaling(inputs), forest]), evaluator
+    )
 
 
 def score_users(

@@ -428,6 +428,19 @@ WITH {_DIM_PRODUCT}, {_DIM_VENDOR}, {_MARGIN} SELECT vendor_id, avg_profit_margi
 SELECT c_custkey AS user_id,
   CASE WHEN substr(md5(CAST(c_custkey AS VARCHAR)), 1, 2) < 'cd' THEN 1 ELSE 0 END AS is_train
 FROM customer"""
+    inputs = "frequency monetary recency avg_discount return_rate_model user_tenure prepaid_card_count".split()
+    scaled = ", ".join(
+        f"CAST(round(CAST(coalesce({c} / nullif((SELECT stddev_samp({c}) FROM model_input WHERE is_train), 0), 0) "
+        f"AS DECIMAL(38,10)), 6) AS DOUBLE) AS {c}_scaled"
+        for c in inputs
+    )
+    sql["user_risk_scaled_features"] = f"""
+WITH {_ALL_USERS},
+model_input AS (
+  SELECT user_id, substr(md5(CAST(user_id AS VARCHAR)), 1, 2) < 'cd' AS is_train,
+    {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in inputs)}
+  FROM user_labelled)
+SELECT user_id, {scaled} FROM model_input"""
     sql["build_dim_time"] = _CALENDAR
     sql["parquet_dim_time"] = _CALENDAR
     sql["vendor_rating"] = f"""

@@ -179,6 +179,11 @@ def top_vendors_by_score(w: TestdataWarehouse) -> DataFrame:
     return bi.top_vendors_by_score(scores, w.table("dim_vendor", "vendor_id", "vendor_name"), 10)
 
 
+def user_risk_scaled_features(w: TestdataWarehouse) -> DataFrame:
+    labelled = features.user_risk_labels(*_risk_inputs(w), SNAPSHOT_DATE)
+    return scoring.scale_user_features(materialize(labelled, "user-risk-features"))
+
+
 # --- models -------------------------------------------------------------------
 
 # A fit takes far longer than any query: within one application the queries on
@@ -517,6 +522,7 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     vendor_features,
     vendor_performance_label,
     train_test_split,
+    user_risk_scaled_features,
     build_dim_time,
     vendor_rating,
     order_status_by_age,
