@@ -47,7 +47,7 @@ def leaf_category(category: str | Column) -> Column:
 
 def date_key(day: str | Column) -> Column:
     """``yyyyMMdd`` as an integer."""
-    return F.date_format(day, "yyyyMMdd").cast("int")
+    return F.date_format(day, "yyyyMMdd").try_cast("int")
 
 
 def whole_days_between(end: Column, start: Column) -> Column:
@@ -62,8 +62,8 @@ def surrogate_id(*keys: str | Column) -> Column:
 
 
 def class_probability(vector: str | Column, label: int) -> Column:
-    """Probability of one class out of a model's probability vector."""
-    return vector_to_array(vector).getItem(label).cast("float")
+    """Probability of one class out of a model's probability vector; 0 for a class never seen in training."""
+    return F.coalesce(F.get(vector_to_array(vector), F.lit(label)), F.lit(0.0)).cast("float")
 
 
 def returned() -> Column:

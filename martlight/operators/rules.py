@@ -164,7 +164,7 @@ def best_valid_discount(
         chosen = _best_by_day(purchases, discounts, purchases if clock is None else clock, salts)
     exact = F.coalesce("exact_discount", F.lit(0)).cast("decimal(23,4)")
     return chosen.withColumn("exact_discount", exact).withColumn(
-        "discount_amount", F.round(exact, 2).cast("decimal(12,2)")
+        "discount_amount", F.round(exact, 2).try_cast("decimal(12,2)")
     )
 
 
@@ -180,7 +180,7 @@ def orders_from_events(
 
     ``events`` carries quantity, payment_method and purchase_channel with each purchase.
     """
-    gross = F.round(F.col("unit_price") * F.col("quantity"), 2).cast("decimal(12,2)")
+    gross = F.round(F.col("unit_price") * F.col("quantity"), 2).try_cast("decimal(12,2)")
     purchases = (
         events.where(F.col("event_type") == "purchase")
         .join(products.select("product_id", "unit_price", "vendor_id"), "product_id")
@@ -193,7 +193,7 @@ def orders_from_events(
         .withColumns(
             {
                 "order_id": surrogate_id("event_id"),
-                "net_amount": F.greatest(net, F.lit(0)).cast("decimal(12,2)"),
+                "net_amount": F.when(net.isNotNull(), F.greatest(net, F.lit(0))).cast("decimal(12,2)"),
                 "order_date": F.to_date("event_ts"),
                 "time_id": date_key(F.to_date("event_ts")),
                 "order_status": status_by_age(F.col("event_ts"), F.lit(as_of).cast("timestamp")),

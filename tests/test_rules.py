@@ -190,3 +190,19 @@ def test_product_attributes_and_areas(spark):
         spark, [{"vendor_id": 1, "distribution_areas": ["华东", "华南"]}, {"vendor_id": 2, "distribution_areas": []}]
     )
     assert [tuple(r) for r in rules.vendor_areas(vendors).collect()] == [(1, "华东"), (1, "华南")]
+
+
+def test_amounts_the_type_cannot_hold_become_null(spark):
+    events = (
+        b.events(
+            spark,
+            [{"event_id": "1", "user_id": 1, "product_id": 1, "event_type": "purchase", "event_ts": "2025-01-05 10:00:00"}],
+        )
+        .withColumn("quantity", F.lit(2_000_000_000))
+        .withColumn("payment_method", F.lit("credit_card"))
+        .withColumn("purchase_channel", F.lit("web"))
+    )
+    products = b.products(spark, [{"product_id": 1, "unit_price": "99999999.99", "vendor_id": 7}])
+    users = b.users(spark, [{"user_id": 1}])
+    row = rules.orders_from_events(events, products, users, b.discounts(spark, []), "2025-01-08 10:00:00").first()
+    assert (row.gross_amount, row.net_amount, row.discount_id) == (None, None, None)
