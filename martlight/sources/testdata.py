@@ -7,8 +7,6 @@ joins on a unique key, so leaving one out changes no row.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -253,9 +251,11 @@ class TestdataWarehouse:
 
 def coupon_strategies(spark: SparkSession) -> DataFrame:
     """Three strategies of rising strictness."""
-    rows = [
-        (1, Decimal("0.10"), 5, 5, "view", "popup", 1),
-        (2, Decimal("0.30"), 10, 10, "cart_add", "push", 2),
-        (3, Decimal("0.50"), 12, 12, "cart_add", "sms", 3),
-    ]
-    return spark.createDataFrame(rows, COUPON_STRATEGY)
+    rows = spark.sql(
+        f"""SELECT * FROM VALUES
+            (1, 0.10, 5, 5, 'view', 'popup', 1),
+            (2, 0.30, 10, 10, 'cart_add', 'push', 2),
+            (3, 0.50, 12, 12, 'cart_add', 'sms', 3)
+            AS strategies({", ".join(COUPON_STRATEGY.fieldNames())})"""
+    )
+    return rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in COUPON_STRATEGY])
