@@ -90,9 +90,12 @@ def _usable(rule, ts: Column, gross: Column) -> Column:
     return (rule("valid_from") <= ts) & (rule("valid_to") >= ts) & (rule("threshold_amount") <= gross)
 
 
+_RULE_COLUMNS = ["discount_id", "discount_type", "threshold_amount", "discount_value", "valid_from", "valid_to"]
+
+
 def _best_from_inline_rules(purchases: DataFrame, discounts: DataFrame) -> DataFrame:
     """All rules travel as one value; each purchase picks from it in place, with no shuffle."""
-    rules = discounts.agg(F.collect_list(F.struct(*discounts.columns))).scalar()
+    rules = discounts.agg(F.collect_list(F.struct(*_RULE_COLUMNS))).scalar()
     ts, gross = F.col("event_ts"), F.col("gross_amount")
     usable = F.filter("_rules", lambda r: _usable(r.getField, ts, gross))
     candidates = F.transform(
@@ -104,6 +107,7 @@ def _best_from_inline_rules(purchases: DataFrame, discounts: DataFrame) -> DataF
     )
     best = F.col("_best")
     return (
+        # A subquery may not stand inside a higher-order function, so it goes through a column.
         purchases.withColumn("_rules", rules)
         .withColumn("_best", F.array_max(candidates))
         .withColumns({"discount_id": -best["negated_id"], "exact_discount": best["amount"]})
@@ -123,7 +127,7 @@ def _best_by_day(purchases: DataFrame, discounts: DataFrame, clock: DataFrame, s
         discounts.withColumns({"_first": first, "_last": last})
         .where(F.col("_first") <= F.col("_last"))
         .withColumn("_day", F.explode(F.sequence("_first", "_last")))
-        .drop("_first", "_last", "discount_name")
+        .select("_day", *_RULE_COLUMNS)
     )
     left, right = salted(
         purchases.withColumn("_day", F.to_date("event_ts")), per_day, spread_by="event_id", salts=salts
