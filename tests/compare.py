@@ -29,7 +29,7 @@ def _rows(names, records):
     return sorted(rows, key=lambda row: [(v is None, str(type(v)), v if v is not None else 0) for v in row])
 
 
-_KINDS = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date"}
+_KINDS = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date", "BOOLEAN": "boolean"}
 
 
 def differences(spark, con, query, sql: str, sf_dir: str) -> list[str]:
