@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The ASCII white space that ends a word, and the ASCII capitals.
@@ -38,3 +38,11 @@ def text_key(text: Column) -> list[Column]:
     """128 bits that stand for a whole text, as two longs; a null has the key of an empty text."""
     whole = F.coalesce(text, F.lit(""))
     return [F.xxhash64(whole).alias("text_key_1"), F.xxhash64(F.lit(1), whole).alias("text_key_2")]
+
+
+def fresh(rows: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``rows`` has it."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

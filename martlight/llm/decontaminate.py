@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martlight.llm.columns import fresh
+
 WINDOW_WORDS = 10
 # Words of text one index covers.
 SHARD_WORDS = 1 << 20
@@ -261,8 +263,9 @@ def find_passages(
     item_text: str = "text",
     window: int = WINDOW_WORDS,
     block_words: int = BLOCK_WORDS,
+    column: str = "passages",
 ) -> DataFrame:
-    """Add ``passages`` (n_words, starts, ends, items) to each document.
+    """Add ``column`` (n_words, starts, ends, items) to each document.
 
     starts and ends are word positions of merged spans (end exclusive) that benchmark windows
     cover, items the sorted names of the items whose windows occur. Each task cuts its texts
@@ -278,8 +281,9 @@ def find_passages(
         for block in _blocks(benchmark, item, item_text, window, block_words)
     ] or [_searcher(sc.broadcast(phrase_block([], window)))(F.col(text))]
     if len(found) == 1:
-        return docs.withColumn("passages", found[0])
-    names = [f"_passages_{i}" for i in range(len(found))]
+        return docs.withColumn(column, found[0])
+    names = [fresh(docs, f"{column}_{i}") for i in range(len(found))]
+    merged_spans = fresh(docs, f"{column}_merged")
     rows = docs.withColumns(dict(zip(names, found)))
     spans = F.sort_array(F.concat(*[F.arrays_zip(F.col(n)["starts"], F.col(n)["ends"]) for n in names]))
     # Overlapping spans of different blocks become one.
@@ -299,15 +303,15 @@ def find_passages(
             ),
         ).otherwise(F.concat(done, F.array(F.struct(x["starts"].alias("s"), x["ends"].alias("e"))))),
     )
-    return rows.withColumn("_merged", merged).withColumn(
-        "passages",
+    return rows.withColumn(merged_spans, merged).withColumn(
+        column,
         F.struct(
             F.col(names[0])["n_words"].alias("n_words"),
-            F.col("_merged")["s"].alias("starts"),
-            F.col("_merged")["e"].alias("ends"),
+            F.col(merged_spans)["s"].alias("starts"),
+            F.col(merged_spans)["e"].alias("ends"),
             F.sort_array(F.array_distinct(F.concat(*[F.col(n)["items"] for n in names]))).alias("items"),
         ),
-    ).drop("_merged", *names)
+    ).drop(merged_spans, *names)
 
 
 def hit_words(passages: Column) -> Column:
@@ -340,8 +344,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", **o
     def cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
         return pd.Series([None if t is None else cut_text(t, s, e) for t, s, e in zip(texts, starts, ends)])
 
-    found = find_passages(docs, benchmark, text, **options)
-    p = F.col("passages")
+    column = fresh(docs, "passages")
+    found = find_passages(docs, benchmark, text, column=column, **options)
+    p = F.col(column)
     hit = F.size(p["starts"]) > 0
     # Only texts with a passage travel to be cut.
     cleaned = cut(F.when(hit, F.col(text)), p["starts"], p["ends"])

@@ -115,11 +115,10 @@ def identify(
     url: str = "url",
     html: str = "html",
 ) -> DataFrame:
-    """(key, host, declared, suffix, text_language, language, probability) of every page.
+    """(key, host, declared, suffix, folder, text_language, language, probability) of every page.
 
-    The text gives likelihoods. What the markup declares and the address ends in (last label of
-    the host, and a first path part of two letters) count by how often pages of each language, as
-    told by their text, carry them. A host's prior is the share of languages among its
+    The text gives likelihoods. What the markup declares, the host's last label and a first path
+    part of two letters count by how often pages of each language, as told by their text, carry them. A host's prior is the share of languages among its
     other pages, smoothed by its domain's, which is smoothed by that of all pages. Ties go to
     the first language by name. A null url or html gives no evidence; without any evidence at all the
     prior of all pages decides. No trained language, or no page: languages are null, no rows.
@@ -133,7 +132,8 @@ def identify(
         host.alias("host"),
         F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"),
         ascii_lower(F.regexp_extract(content, r"""(?i)<html\b[^>]*?\slang\s*=\s*["']?([a-z]{2})""", 1)).alias("declared"),
-        F.concat_ws("/", F.regexp_extract(host, r"([^.]*)$", 1), ascii_lower(path_part)).alias("suffix"),
+        F.regexp_extract(host, r"([^.]*)$", 1).alias("suffix"),
+        ascii_lower(path_part).alias("folder"),
         visible_text(content).alias("text"),
     )
     shared = pages.sparkSession.sparkContext.broadcast(model)
@@ -146,7 +146,7 @@ def identify(
     if not k:
         none = F.lit(None).cast("string")
         return rows.select(
-            F.col("key").alias(key), "host", "declared", "suffix",
+            F.col("key").alias(key), "host", "declared", "suffix", "folder",
             none.alias("text_language"), none.alias("language"), F.lit(None).cast("double").alias("probability"),
         )
     rows = materialize(rows.withColumn("t", likelihoods("text")).drop("text"), "page-languages")
@@ -155,7 +155,7 @@ def identify(
     everywhere = _soft_counts(by_text, [], k, "a")
     scores = text_scores
     fused = rows
-    for evidence, prefix in (("declared", "d"), ("suffix", "x")):
+    for evidence, prefix in (("declared", "d"), ("suffix", "x"), ("folder", "y")):
         # How likely a language's pages are to carry the value; languages share the smoothing.
         counts = _soft_counts(by_text, [evidence], k, prefix)
         fused = fused.join(counts, evidence, "left")
@@ -164,7 +164,7 @@ def identify(
         ]
     fused = _with_posteriors(fused.crossJoin(F.broadcast(everywhere)), scores)
     fused = materialize(
-        fused.select("key", "host", "domain", "declared", "suffix", "t", *[f"{c}{i}" for c in "asp" for i in range(k)]),
+        fused.select("key", "host", "domain", "declared", "suffix", "folder", "t", *[f"{c}{i}" for c in "asp" for i in range(k)]),
         "page-evidence",
     )
     hosts = _soft_counts(fused, ["host"], k, "h")
@@ -193,6 +193,7 @@ def identify(
             "host",
             "declared",
             "suffix",
+            "folder",
             F.get(names, text_best.cast("int")).alias("text_language"),
             F.get(names, best.cast("int")).alias("language"),
             F.round(F.array_max("c"), 6).alias("probability"),

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlight.llm.columns import LOWER, UPPER, bind
+from martlight.llm.columns import LOWER, UPPER, bind, fresh
 
 # The patterns, in the order in which they are listed.
 KINDS = ["assign", "access", "hex", "random"]
@@ -211,15 +211,18 @@ def discovery_score(texts: DataFrame, text: str = "text", rate: float = FALSE_DI
     return ranked.where(enough).agg(F.min("score").alias("least"))
 
 
-def find_secrets(docs: DataFrame, text: str = "text", rate: float = FALSE_DISCOVERIES) -> DataFrame:
-    """Add ``secrets``: spans (start, kind, end) of each text, sorted; code points, end exclusive.
+def find_secrets(
+    docs: DataFrame, text: str = "text", rate: float = FALSE_DISCOVERIES, column: str = "secrets"
+) -> DataFrame:
+    """Add ``column``: spans (start, kind, end) of each text, sorted; code points, end exclusive.
 
     kind is a position in KINDS. Patterns come first; a random token counts where no
     pattern's span overlaps it. A null or empty text has none. The corpus is read twice: for the
     score that discoveries need, and for the spans.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumn("_least", discovery_score(docs, text, rate).scalar())
+    least = fresh(docs, "least_score")
+    rows = docs.withColumn(least, discovery_score(docs, text, rate).scalar())
 
     def plain(spans: Column) -> Column:
         return F.transform(spans, lambda s: F.struct(s["start"], s["kind"], s["end"]))
@@ -234,10 +237,10 @@ def find_secrets(docs: DataFrame, text: str = "text", rate: float = FALSE_DISCOV
         def apart(s: Column) -> Column:
             return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
 
-        more = F.filter(random_tokens(whole), lambda s: F.coalesce(s["score"] >= F.col("_least"), F.lit(False)) & apart(s))
+        more = F.filter(random_tokens(whole), lambda s: F.coalesce(s["score"] >= F.col(least), F.lit(False)) & apart(s))
         return F.sort_array(F.concat(base, plain(more)))
 
-    return rows.withColumn("secrets", bind(plain(named), joined)).drop("_least")
+    return rows.withColumn(column, bind(plain(named), joined)).drop(least)
 
 
 def listed(spans: Column) -> Column:
@@ -249,7 +252,8 @@ def listed(spans: Column) -> Column:
 
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", rate: float = FALSE_DISCOVERIES) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``; overlapping ones by one mark."""
-    found = find_secrets(docs, text, rate)
+    column = fresh(docs, "secrets")
+    found = find_secrets(docs, text, rate, column)
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def add(state: Column, s: Column) -> Column:
@@ -261,6 +265,6 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", rate: fl
         )
 
     clean = F.aggregate(
-        "secrets", start, add, lambda state: F.concat(state["out"], F.substring(F.col(text), state["at"] + 1, F.length(text)))
+        column, start, add, lambda state: F.concat(state["out"], F.substring(F.col(text), state["at"] + 1, F.length(text)))
     )
-    return found.withColumn(text, F.when(F.size("secrets") > 0, clean).otherwise(F.col(text))).select(*docs.columns)
+    return found.withColumn(text, F.when(F.size(column) > 0, clean).otherwise(F.col(text))).select(*docs.columns)

@@ -61,6 +61,8 @@ def segments(distance: int, count: int) -> list[tuple[int, int, int]]:
     Two fingerprints within ``distance`` bits are within ``radius`` bits in one segment at
     least: if they were further apart in all of them, the bits that differ would be too many.
     """
+    if count < 2:
+        raise ValueError("a fingerprint has two segments or more")
     radius, over = divmod(distance, count)
     plan, shift = [], 0
     for i in range(count):

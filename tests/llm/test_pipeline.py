@@ -1,0 +1,107 @@
+"""The corpus pipeline stage by stage against brute force, and the registration of its queries."""
+
+from collections import Counter
+
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__
+import corpus_pipeline
+from martlight.llm import quality
+from martlight.llm.queries import QUERIES
+from tests.compare import connect, differences
+from tests.llm import brute
+from tests.llm.tables import BENCHMARK, documents, document_rows
+from tests.llm.test_documents import boilerplate_rows, item_rows, secret_rows
+
+
+def pipeline_rows():
+    rows = document_rows()
+    shifted = [(None if k is None else k + 1000, t, h) for k, t, h in boilerplate_rows()]
+    filler = " ".join(f"f{i}" for i in range(40))
+    hidden = [(None if k is None else k + 2000, f"{filler}{i} {t}", h) for i, (k, t, h) in enumerate(secret_rows()) if t]
+    return rows + shifted + hidden
+
+
+def expected_documents(rows, items):
+    rows = brute.good_documents(rows, quality.MIN_LINE_DOCUMENTS, quality.MAX_LINE_PERCENT)
+    classes = brute.near_classes([(k, t) for k, t, _ in rows])
+    stay, seen = [], set()
+    for row, (k, _, c) in sorted(zip(rows, classes), key=lambda x: (x[0][1] or "")):
+        if k is None or (k == c and k not in seen):
+            seen.add(k)
+            stay.append(row)
+    cut = [(k, brute.without_passages(t, items), h) for k, t, h in stay]
+    cut = [r for r in cut if r[1] is not None]
+    spans = brute.secret_spans([t for _, t, _ in cut])
+    return [(k, brute.masked(t, s)) for (k, t, _), s in zip(cut, spans)]
+
+
+def test_pipeline(spark, tmp_path):
+    rows = pipeline_rows()
+    items = item_rows(document_rows())
+    documents(spark, rows).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, BENCHMARK).write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        after = spark.read.parquet(f"{tmp_path}/{name}")
+        assert after.dtypes == docs.dtypes
+        docs = after
+    expected = expected_documents(rows, items)
+    assert Counter((r.doc_id, r.text) for r in docs.collect()) == Counter(expected)
+    import public_tokenizers
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    lengths = Counter()
+    for k, t in expected:
+        lengths[k] += len(tokenizer.encode(t, add_special_tokens=False).ids) + 1
+    packed = Counter()
+    for r in corpus_pipeline.run(spark, str(tmp_path)).collect():
+        packed[r.doc_id] += r.length
+    assert packed == lengths
+
+
+def test_empty_tables(spark, tmp_path):
+    documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], BENCHMARK).write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    for query in [*QUERIES.values(), corpus_pipeline.run]:
+        assert query(spark, str(tmp_path)).isEmpty()
+
+
+def test_registered():
+    assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "near_dedup", "benchmark_decontamination", "secret_scans", "best_fit_packing",
+    ]
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.split("_")[0] in ("op2", "op4", "op7", "op8")])
+def test_native_plans_hold_no_python(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+@pytest.mark.parametrize("name", ["op3_benchmark_decontamination", "op4_secret_scans"])
+def test_text_is_not_shuffled(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan.split("Subquery")[0]
+
+
+def test_edge_rows_match_sql(spark, tmp_path):
+    """Queries with SQL counterparts on rows with nulls, copies, long texts and repeats."""
+    from tests.llm.tables import PAGES
+    from tests.llm.test_pages import URLS, link, page_rows
+
+    documents(spark, pipeline_rows()).coalesce(1).write.parquet(f"{tmp_path}/d")
+    items = item_rows(document_rows())
+    spark.createDataFrame(items, BENCHMARK).coalesce(1).write.parquet(f"{tmp_path}/b")
+    rows = page_rows() + [(1000 + i, u, link(f"h{i}.com") + link("x.net")) for i, (u, *_) in enumerate(URLS)]
+    spark.createDataFrame(rows, PAGES).coalesce(1).write.parquet(f"{tmp_path}/p")
+    for short, name in (("d", "documents"), ("b", "benchmark"), ("p", "pages")):
+        next((tmp_path / short).glob("part-*.parquet")).rename(tmp_path / f"{name}.parquet")
+    con = connect(str(tmp_path))
+    for name, sql in __spark_entry__.oracle_sql().items():
+        if name in QUERIES:
+            assert differences(spark, con, QUERIES[name], sql, str(tmp_path)) == [], name
