@@ -20,9 +20,11 @@ def half_up(value: Column, digits: int) -> Column:
     """Round a double half away from zero.
 
     Going through a decimal first hides the last bits of floating noise, so a
-    value that is a tie on paper rounds the same way however it was computed.
+    value that is a tie on paper rounds the same way however it was computed. A value
+    too large for that has no such digits, and is rounded as it is.
     """
-    return F.round(value.cast("decimal(38,10)"), digits).cast("double")
+    exact = F.round(value.try_cast("decimal(38,10)"), digits).cast("double")
+    return F.coalesce(exact, F.round(value.cast("double"), digits))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

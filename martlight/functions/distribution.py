@@ -1,4 +1,4 @@
-"""Helpers that keep a join bounded: size checks before a broadcast, salting beyond it."""
+"""Salting: spread one hot join key over several tasks."""
 
 from __future__ import annotations
 
@@ -6,11 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether a rule table has at most ``max_rows`` rows (one distributed count)."""
-    return df.count() <= max_rows
-
-
 def salted(left: DataFrame, right: DataFrame, spread_by: str | Column, salts: int) -> tuple[DataFrame, DataFrame]:
     """Add a ``_salt`` join key so that one hot key spreads over ``salts`` tasks.
 

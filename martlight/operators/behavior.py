@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlight.functions.columns import half_up, main_category, ratio
-from martlight.functions.distribution import fits, salted
+from martlight.functions.distribution import salted
 
 # Channels counted as social influence.
 SOCIAL_CHANNELS = ["social_media", "affiliate"]
 
-MAX_BROADCAST_STRATEGIES = 1000
-STRATEGY_SALTS = 64
+# Spread of one sensitivity level over tasks.
+STRATEGY_SALTS = 8
 
 
 def _is(event_type: str) -> Column:
@@ -80,18 +80,20 @@ def _session_times(events: DataFrame) -> DataFrame:
 def _order_habits(orders: DataFrame, products: DataFrame) -> DataFrame:
     """Per user: most-bought main category, channels used and share of social orders.
 
-    One pass counts orders by (user, category) and by (user, channel), so that a
-    user arrives at the last step as a few counts, however many orders there are.
+    Orders are counted by user, product and channel before they meet the products, so
+    only counts travel, and a user arrives at the last step as a few of them.
     """
-    named = orders.join(products.select("product_id", "category"), "product_id", "left").select(
-        "user_id", main_category("category").alias("main_category"), "purchase_channel"
+    bought = orders.groupBy("user_id", "product_id", "purchase_channel").agg(F.count(F.lit(1)).alias("lines"))
+    named = bought.join(products.select("product_id", "category"), "product_id", "left").select(
+        "user_id", main_category("category").alias("main_category"), "purchase_channel", "lines"
     )
+    named = named.groupBy("user_id", "main_category", "purchase_channel").agg(F.sum("lines").alias("lines"))
     counts = named.groupingSets(
         [["user_id", "main_category"], ["user_id", "purchase_channel"]],
         "user_id",
         "main_category",
         "purchase_channel",
-    ).agg(F.count(F.lit(1)).alias("n"), (F.grouping("main_category") == 1).alias("by_channel"))
+    ).agg(F.sum("lines").alias("n"), (F.grouping("main_category") == 1).alias("by_channel"))
 
     n, channel, by_channel = F.col("n"), F.col("purchase_channel"), F.col("by_channel")
     category_rank = F.struct((-n).alias("rank"), "main_category")
@@ -141,30 +143,30 @@ def user_activity(events: DataFrame, users: DataFrame) -> DataFrame:
 
 
 def coupon_targeting(
-    events: DataFrame,
-    users: DataFrame,
-    strategies: DataFrame,
-    max_broadcast: int = MAX_BROADCAST_STRATEGIES,
-    salts: int = STRATEGY_SALTS,
+    events: DataFrame, users: DataFrame, strategies: DataFrame, salts: int = STRATEGY_SALTS
 ) -> DataFrame:
-    """One row per user and strategy whose three minimums the user reaches."""
+    """One row per user and strategy whose three minimums the user reaches.
+
+    Users who look alike and strategies that ask alike meet once: the distinct triples of
+    sensitivity, views and carts are matched, on the hundredths of sensitivity from a
+    strategy's minimum up, and only matches are joined back to users and strategies.
+    """
     activity = user_activity(events, users)
-    reached = (
-        (F.col("discount_sensitivity") >= F.col("min_discount_sensitivity"))
-        & (F.col("view_count") >= F.col("min_view_count"))
-        & (F.col("cart_count") >= F.col("min_cart_count"))
+    profile = ["discount_sensitivity", "view_count", "cart_count"]
+    minimum = ["min_discount_sensitivity", "min_view_count", "min_cart_count"]
+
+    def level(value: Column) -> Column:
+        return F.least(F.greatest(F.floor(value * 100).cast("int"), F.lit(0)), F.lit(100))
+
+    # One level lower than the minimum's own, in case a double was rounded up; bounds are checked exactly.
+    lowest = F.greatest(level(F.col("min_discount_sensitivity")) - 1, F.lit(0))
+    asked = strategies.select(*minimum).distinct().withColumn("_level", F.explode(F.sequence(lowest, F.lit(100))))
+    alike = activity.select(*profile).distinct().withColumn("_level", level(F.col("discount_sensitivity")))
+    left, right = salted(alike, asked, spread_by=F.struct(*profile), salts=salts)
+    reached = [F.col(have) >= F.col(least) for have, least in zip(profile, minimum)]
+    met = left.join(right.hint("merge"), ["_level", "_salt"]).where(reached[0] & reached[1] & reached[2])
+    return (
+        activity.join(met.select(*profile, *minimum), profile)
+        .join(strategies, minimum)
+        .select("user_id", "strategy_id", "trigger_type", "action_type", "coupon_id")
     )
-    if fits(strategies, max_broadcast):
-        matches = activity.join(F.broadcast(strategies), reached)
-    else:
-        # Minimums have two decimals, so in steps of 0.01 from 0 to 1 a strategy unfolds
-        # to at most 101 levels and meets each of its users on exactly one of them.
-        def level(value: Column) -> Column:
-            return F.least(F.greatest(value.cast("int"), F.lit(0)), F.lit(100))
-
-        user_level = level(F.floor(F.col("discount_sensitivity") * 100))
-        lowest = level(F.ceil(F.col("min_discount_sensitivity") * 100))
-        unfolded = strategies.withColumn("_level", F.explode(F.sequence(lowest, F.lit(100))))
-        left, right = salted(activity.withColumn("_level", user_level), unfolded, spread_by="user_id", salts=salts)
-        matches = left.join(right.hint("merge"), ["_level", "_salt"]).where(reached)
-    return matches.select("user_id", "strategy_id", "trigger_type", "action_type", "coupon_id")

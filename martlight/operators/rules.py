@@ -18,13 +18,13 @@ from martlight.functions.columns import (
     vendor_rating,
     whole_days_between,
 )
-from martlight.functions.distribution import fits, salted
+from martlight.functions.distribution import salted
 from martlight.schemas import DIM_TIME, FACT_ORDER
 
-# Most discounts carried along with each task as one array value.
-MAX_INLINE_DISCOUNTS = 200
-# Spread of one day's purchases when there are more discounts than that.
-DISCOUNT_SALTS = 64
+# Length of the time slices on which purchases meet discounts.
+SLICE_SECONDS = 3600
+# Spread of one slice's purchases over tasks.
+DISCOUNT_SALTS = 8
 
 
 def calendar(spans: DataFrame) -> DataFrame:
@@ -80,95 +80,137 @@ def order_status_by_age(
     return orders.withColumn("order_status", status_by_age(F.col(ts_column), F.lit(as_of).cast("timestamp"), flag))
 
 
-def _exact_discount(gross: Column, kind: Column, value: Column) -> Column:
-    """Amount a discount takes off: a share of gross for ``percentage``, else its face value."""
-    amount = F.when(kind == "percentage", gross * value).when(kind.isin("fixed", "coupon"), value).otherwise(0)
-    return amount.cast("decimal(23,4)")
+def _priced_rules(discounts: DataFrame) -> DataFrame:
+    """Rules as (lo, hi, share, threshold, best): half-open span in microseconds, and what ranks them.
 
-
-def _usable(rule, ts: Column, gross: Column) -> Column:
-    return (rule("valid_from") <= ts) & (rule("valid_to") >= ts) & (rule("threshold_amount") <= gross)
-
-
-_RULE_COLUMNS = ["discount_id", "discount_type", "threshold_amount", "discount_value", "valid_from", "valid_to"]
-
-
-def _best_from_inline_rules(purchases: DataFrame, discounts: DataFrame) -> DataFrame:
-    """All rules travel as one value; each purchase picks from it in place, with no shuffle."""
-    rules = discounts.agg(F.collect_list(F.struct(*_RULE_COLUMNS))).scalar()
-    ts, gross = F.col("event_ts"), F.col("gross_amount")
-    usable = F.filter("_rules", lambda r: _usable(r.getField, ts, gross))
-    candidates = F.transform(
-        usable,
-        lambda r: F.struct(
-            _exact_discount(gross, r.getField("discount_type"), r.getField("discount_value")).alias("amount"),
-            (-r.getField("discount_id")).alias("negated_id"),
-        ),
+    ``percentage`` takes a share of gross, ``fixed`` and ``coupon`` their face value, any other kind
+    nothing. A rule without a span, threshold or value never applies.
+    """
+    kind = F.col("discount_type")
+    value = F.when(kind.isin("fixed", "coupon", "percentage"), F.col("discount_value")).otherwise(0)
+    return discounts.select(
+        F.unix_micros("valid_from").alias("lo"),
+        # Both ends of a validity belong to it.
+        (F.unix_micros("valid_to") + 1).alias("hi"),
+        F.coalesce(kind == "percentage", F.lit(False)).alias("share"),
+        F.col("threshold_amount").alias("threshold"),
+        # The greatest takes off most and has, of equals, the lowest id.
+        F.struct(value.cast("decimal(12,2)").alias("value"), (-F.col("discount_id")).alias("negated_id")).alias("best"),
+    ).where("lo < hi and threshold is not null and best.value is not null and best.negated_id is not null")
+
+
+def _frontier(rules: DataFrame, *by: str) -> DataFrame:
+    """Rules that some gross would choose: a higher threshold must take off more, or as much with a lower id."""
+    lower = (
+        Window.partitionBy(*by, "share")
+        .orderBy("threshold", F.desc("best"))
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    best = F.col("_best")
-    return (
-        # A subquery may not stand inside a higher-order function, so it goes through a column.
-        purchases.withColumn("_rules", rules)
-        .withColumn("_best", F.array_max(candidates))
-        .withColumns({"discount_id": -best["negated_id"], "exact_discount": best["amount"]})
-        .drop("_rules", "_best")
+    before = F.max("best").over(lower)
+    return rules.withColumn("_before", before).where("_before is null or best > _before").drop("_before")
+
+
+def _cut(rules: DataFrame, width: int, first: Column, last: Column) -> DataFrame:
+    """Rules cut at multiples of ``width``, those from slice ``first`` to ``last``; of equal spans the frontier."""
+    start = F.greatest(F.floor(F.col("lo") / F.lit(width)), first)
+    stop = F.least(F.floor((F.col("hi") - 1) / F.lit(width)), last)
+    cut = (
+        rules.withColumns({"_start": start, "_stop": stop})
+        .where("_start <= _stop")
+        .withColumn("slice", F.explode(F.sequence("_start", "_stop")))
+        .withColumns(
+            {
+                "lo": F.greatest("lo", F.col("slice") * width),
+                "hi": F.least("hi", (F.col("slice") + 1) * width),
+            }
+        )
+        .drop("_start", "_stop")
     )
+    return _frontier(cut, "slice", "lo", "hi")
 
 
-def _best_by_day(purchases: DataFrame, discounts: DataFrame, clock: DataFrame, salts: int) -> DataFrame:
-    """Many rules: meet on the calendar day, salted, then re-check the exact bounds."""
-    days = clock.agg(
-        F.to_date(F.min("event_ts")).alias("first_day"), F.to_date(F.max("event_ts")).alias("last_day")
-    )
-    # An open-ended rule must not unfold past the days that have purchases.
-    first = F.greatest(F.to_date("valid_from"), days.select("first_day").scalar())
-    last = F.least(F.to_date("valid_to"), days.select("last_day").scalar())
-    per_day = (
-        discounts.withColumns({"_first": first, "_last": last})
-        .where(F.col("_first") <= F.col("_last"))
-        .withColumn("_day", F.explode(F.sequence("_first", "_last")))
-        .select("_day", *_RULE_COLUMNS)
-    )
-    left, right = salted(
-        purchases.withColumn("_day", F.to_date("event_ts")), per_day, spread_by="event_id", salts=salts
-    )
-    right = right.withColumnsRenamed({"_day": "_rule_day", "_salt": "_rule_salt"})
-    meets = (
-        (left["_day"] == right["_rule_day"])
-        & (left["_salt"] == right["_rule_salt"])
-        & _usable(right.__getitem__, left["event_ts"], left["gross_amount"])
+def discount_steps(discounts: DataFrame, first: Column, last: Column, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
+    """(slice, spans): for each time slice its elementary spans, each with its two frontiers.
+
+    Between two ends of any validity the usable rules are the same; only those on the frontier of
+    threshold and amount can be chosen. Days are cut first, so that rules which last for many slices
+    are thinned out before they unfold. ``first`` and ``last`` bound the microseconds that matter.
+    """
+    day, width = 86_400 * 10**6, slice_seconds * 10**6
+    by_day = _cut(_priced_rules(discounts), day, F.floor(first / day), F.floor(last / day)).drop("slice")
+    rules = _cut(by_day, width, F.floor(first / width), F.floor(last / width))
+    ends = rules.select("slice", F.explode(F.array("lo", "hi")).alias("at")).where(
+        F.col("at") < (F.col("slice") + 1) * width
     )
-    amount = _exact_discount(F.col("gross_amount"), F.col("discount_type"), F.col("discount_value"))
-    best_first = Window.partitionBy("event_id").orderBy(F.desc_nulls_last("exact_discount"), "discount_id")
-    return (
-        left.join(right.hint("merge"), meets, "left")
-        .withColumn("exact_discount", F.when(F.col("discount_id").isNotNull(), amount))
-        .withColumn("_rank", F.row_number().over(best_first))
-        .where(F.col("_rank") == 1)
-        .select(*purchases.columns, "discount_id", "exact_discount")
+    spans = rules.join(ends.distinct(), "slice").where("lo <= at and at < hi")
+    steps = _frontier(spans.select("slice", "at", "share", "threshold", "best"), "slice", "at")
+    step = F.struct("threshold", "best")
+
+    def side(condition: str) -> Column:
+        return F.collect_list(F.when(F.expr(condition), step))
+
+    # A span between two rules has no step, but ends the one before.
+    per_span = (
+        ends.distinct()
+        .join(steps, ["slice", "at"], "left")
+        .groupBy("slice", "at")
+        .agg(side("share").alias("shares"), side("not share").alias("values"))
     )
+    span = F.struct("at", "shares", "values")
+    return per_span.groupBy("slice").agg(F.sort_array(F.collect_list(span)).alias("spans"))
 
 
 def best_valid_discount(
     purchases: DataFrame,
     discounts: DataFrame,
-    max_inline: int = MAX_INLINE_DISCOUNTS,
+    slice_seconds: int = SLICE_SECONDS,
     salts: int = DISCOUNT_SALTS,
     clock: DataFrame | None = None,
 ) -> DataFrame:
     """Attach to each purchase the valid discount that takes off most, lowest id on a tie.
 
-    ``purchases`` needs event_id (unique), event_ts and gross_amount. Adds discount_id
-    (NULL if none applies), exact_discount (unrounded) and discount_amount. ``clock`` may
-    name a cheaper frame whose event_ts span covers the purchases.
+    ``purchases`` needs event_ts and gross_amount. Adds discount_id (NULL if none applies),
+    exact_discount (unrounded) and discount_amount. Each purchase meets the one row of its
+    time slice and picks from it in place, so every row comes out once, also repeated ones and
+    those without a time. ``clock`` may name a cheaper frame whose event_ts span covers the purchases.
     """
-    if fits(discounts, max_inline):
-        chosen = _best_from_inline_rules(purchases, discounts)
-    else:
-        chosen = _best_by_day(purchases, discounts, purchases if clock is None else clock, salts)
-    exact = F.coalesce("exact_discount", F.lit(0)).cast("decimal(23,4)")
-    return chosen.withColumn("exact_discount", exact).withColumn(
-        "discount_amount", F.round(exact, 2).try_cast("decimal(12,2)")
+    width = slice_seconds * 10**6
+    seen = (purchases if clock is None else clock).agg(
+        F.unix_micros(F.min("event_ts")).alias("first"), F.unix_micros(F.max("event_ts")).alias("last")
+    )
+    steps = discount_steps(
+        discounts, seen.select("first").scalar(), seen.select("last").scalar(), slice_seconds
+    )
+    now, gross = F.unix_micros("event_ts"), F.col("gross_amount")
+    left, right = salted(
+        purchases.withColumn("_slice", F.floor(now / F.lit(width))),
+        steps.withColumnRenamed("slice", "_slice"),
+        spread_by=F.struct("event_ts", "gross_amount"),
+        salts=salts,
+    )
+    met = left.join(right, ["_slice", "_salt"], "left")
+    span = F.element_at(F.filter("spans", lambda x: x["at"] <= now), -1)
+
+    def best(side: str) -> Column:
+        usable = F.filter(F.col("_span")[side], lambda x: x["threshold"] <= gross)
+        return F.array_max(F.transform(usable, lambda x: x["best"]))
+
+    def amount(side: str, value: Column) -> Column:
+        chosen = F.col(f"_{side}")
+        return F.when(
+            chosen.isNotNull(),
+            F.struct(value.cast("decimal(23,4)").alias("amount"), chosen["negated_id"].alias("negated_id")),
+        )
+
+    candidates = [amount("shares", gross * F.col("_shares")["value"]), amount("values", F.col("_values")["value"])]
+    exact = F.coalesce(F.col("_best")["amount"], F.lit(0)).cast("decimal(23,4)")
+    return (
+        met.withColumn("_span", F.when(F.size("spans") > 0, F.when(F.exists("spans", lambda x: x["at"] <= now), span)))
+        .withColumns({"_shares": best("shares"), "_values": best("values")})
+        .withColumn("_best", F.greatest(*candidates))
+        .withColumns({"discount_id": -F.col("_best")["negated_id"], "exact_discount": exact})
+        .withColumn("discount_amount", F.round("exact_discount", 2).try_cast("decimal(12,2)"))
+        .select(*purchases.columns, "discount_id", "exact_discount", "discount_amount")
     )
 
 
@@ -178,7 +220,6 @@ def orders_from_events(
     users: DataFrame,
     discounts: DataFrame,
     as_of: str | dt.datetime,
-    max_inline: int = MAX_INLINE_DISCOUNTS,
 ) -> DataFrame:
     """Order facts from purchase events; events of unknown products or users are dropped.
 
@@ -193,7 +234,7 @@ def orders_from_events(
     )
     net = F.round(F.col("gross_amount") - F.col("exact_discount"), 2)
     return (
-        best_valid_discount(purchases, discounts, max_inline, clock=events)
+        best_valid_discount(purchases, discounts, clock=events)
         .withColumns(
             {
                 "order_id": surrogate_id("event_id"),

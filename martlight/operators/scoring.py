@@ -37,8 +37,8 @@ VENDOR_FEATURES = [
 ]
 SEED = 42
 
-# Fewest training rows worth a task of their own.
-ROWS_PER_TASK = 1000
+# Training rows of one task.
+ROWS_PER_TASK = 50_000
 
 # Largest first byte of a key's digest, as hex, that goes to training: 205 of 256.
 _LAST_TRAINING_BYTE = "cc"
@@ -70,27 +70,49 @@ class Evaluated:
     test_rows: int
 
 
-def _spread(train: DataFrame, key: str, rows: int) -> DataFrame:
-    """Training rows over as many tasks as they can use, in a fixed place and order.
+def _spread(train: DataFrame, key: str, rows: int, rows_per_task: int) -> DataFrame:
+    """Training rows over as many tasks as their number asks for, in a fixed place and order.
 
-    Trees draw their samples per partition: hashing and sorting by the key makes
-    the model the same whatever files or shuffles the rows came from.
+    Trees draw their samples per partition: hashing and sorting by the key, over tasks counted from
+    the rows alone, makes the model the same on any cluster and whatever files the rows came from.
     """
-    cores = train.sparkSession.sparkContext.defaultParallelism
-    tasks = max(1, min(cores, rows // ROWS_PER_TASK))
-    return train.repartition(tasks, key).sortWithinPartitions(key)
+    return train.repartition(max(1, -(-rows // rows_per_task)), key).sortWithinPartitions(key)
 
 
-def _fit(features: DataFrame, key: str, pipeline: Pipeline, evaluator: Evaluator) -> Evaluated:
+def _fit(
+    features: DataFrame, key: str, pipeline: Pipeline, evaluator: Evaluator, rows_per_task: int = ROWS_PER_TASK
+) -> Evaluated:
+    marked = split_by_key(features, key)
+    counts = marked.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("is_train"), F.lit(0)).alias("train")).first()
     train, test = train_test_split(features, key)
-    train_rows = train.count()
-    train = _spread(train, key, train_rows).cache()
+    train = _spread(train, key, counts["train"], rows_per_task).cache()
     try:
         model = pipeline.fit(train)
         metric = evaluator.evaluate(model.transform(test))
     finally:
         train.unpersist()
-    return Evaluated(model, evaluator.getOrDefault(evaluator.metricName), metric, train_rows, test.count())
+    name = evaluator.getOrDefault(evaluator.metricName)
+    return Evaluated(model, name, metric, counts["train"], counts["n"] - counts["train"])
+
+
+def holdout_auc(scored: DataFrame, key: str, score: str, label: str) -> DataFrame:
+    """One row: area under ROC of a numeric score on the held-out rows, six decimals, and their number."""
+    test = train_test_split(scored, key)[1].select(F.col(score).cast("double"), F.col(label).cast("double"))
+    # numBins 0: every distinct score is a step of the curve.
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, numBins=0)
+    return _metric(test, evaluator.evaluate(test))
+
+
+def holdout_rmse(scored: DataFrame, key: str, score: str, label: str) -> DataFrame:
+    """One row: root mean squared error of a numeric prediction on the held-out rows, six decimals."""
+    test = train_test_split(scored, key)[1].select(F.col(score).cast("double"), F.col(label).cast("double"))
+    return _metric(test, RegressionEvaluator(predictionCol=score, labelCol=label).evaluate(test))
+
+
+def _metric(rows: DataFrame, value: float) -> DataFrame:
+    return rows.agg(F.count(F.lit(1)).alias("test_rows")).select(
+        half_up(F.lit(value), 6).alias("value"), "test_rows"
+    )
 
 
 def user_model_inputs(features: DataFrame, inputs: list[str] = USER_FEATURES) -> DataFrame:
@@ -121,14 +143,20 @@ def scale_user_features(features: DataFrame, inputs: list[str] = USER_FEATURES)
     )
 
 
-def fit_user_risk(features: DataFrame, inputs: list[str] = USER_FEATURES, trees: int = 100) -> Evaluated:
+def fit_user_risk(
+    features: DataFrame, inputs: list[str] = USER_FEATURES, trees: int = 100, rows_per_task: int = ROWS_PER_TASK
+) -> Evaluated:
     """Random forest on the scaled features; metric is the area under ROC."""
     forest = RandomForestClassifier(
         featuresCol="scaled_features", labelCol="label", numTrees=trees, seed=SEED
     )
     evaluator = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     return _fit(
-        user_model_inputs(features, inputs), "user_id", Pipeline(stages=[*_scaling(inputs), forest]), evaluator
+        user_model_inputs(features, inputs),
+        "user_id",
+        Pipeline(stages=[*_scaling(inputs), forest]),
+        evaluator,
+        rows_per_task,
     )
 
 
@@ -160,7 +188,9 @@ def vendor_model_inputs(features: DataFrame, inputs: list[str] = VENDOR_FEATURES
     )
 
 
-def fit_vendor_performance(features: DataFrame, rounds: int = 10) -> Evaluated:
+def fit_vendor_performance(
+    features: DataFrame, rounds: int = 10, rows_per_task: int = ROWS_PER_TASK
+) -> Evaluated:
     """Gradient-boosted trees on the scaled features; metric is the RMSE."""
     pipeline = Pipeline(
         stages=[
@@ -170,7 +200,7 @@ def fit_vendor_performance(features: DataFrame, rounds: int = 10) -> Evaluated:
         ]
     )
     evaluator = RegressionEvaluator(labelCol="performance_label", metricName="rmse")
-    return _fit(vendor_model_inputs(features), "vendor_id", pipeline, evaluator)
+    return _fit(vendor_model_inputs(features), "vendor_id", pipeline, evaluator, rows_per_task)
 
 
 def score_vendors(features: DataFrame, model: PipelineModel, as_of: DateLike) -> DataFrame:

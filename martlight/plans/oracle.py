@@ -556,11 +556,64 @@ SELECT country, CASE WHEN country = 'ASIA' THEN 9 ELSE vip_level END AS vip_leve
 FROM dim_user GROUP BY 1, 2"""
     sql["bucketed_join"] = f"""
 WITH {_ALL_USERS} SELECT user_id, frequency, monetary, recency, user_tenure FROM user_labelled"""
-    sql["stream_event_counts"] = f"""
-WITH {_FACT_EVENT}
-SELECT event_date, event_type, count(*) AS events FROM fact_event
-WHERE event_date + 1 <= (SELECT max(event_ts) - INTERVAL 1 HOUR FROM fact_event)
-GROUP BY event_date, event_type"""
+    sql["stream_event_counts"] = """
+SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS events FROM events
+WHERE CAST(ts AS DATE) + 1 <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)
+GROUP BY 1, 2"""
+    sql["csv_to_warehouse_discount"] = f"""
+WITH {_DIM_DISCOUNT}
+SELECT discount_id, discount_name, discount_type, CAST(threshold_amount AS DOUBLE) AS threshold_amount,
+  CAST(discount_value AS DOUBLE) AS discount_value, strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS valid_from,
+  strftime(valid_to, '%Y-%m-%d %H:%M:%S') AS valid_to
+FROM dim_discount"""
+    sql["csv_to_warehouse_time"] = _CALENDAR
+    sql["csv_reload"] = f"""
+WITH {_DIM_USER} SELECT user_id, CAST(7 AS INTEGER) AS vip_level, country FROM dim_user WHERE country <> 'ASIA'"""
+    sql["csv_column_order"] = sql["csv_to_warehouse_product"]
+    sql["csv_line_breaks"] = f"""
+WITH {_DIM_PRODUCT}
+SELECT product_id, 'first line|"second", ' || brand || '|' AS description, vendor_id FROM dim_product"""
+    sql["csv_lists"] = """
+SELECT s_suppkey AS vendor_id, CASE s_suppkey % 4 WHEN 0 THEN '[]' WHEN 2 THEN '["d''Or","b"]'
+  WHEN 3 THEN '["a",null]' END AS areas
+FROM supplier"""
+    sql["csv_rejects"] = """
+SELECT 'stock' AS column_name, count(*) AS rejected FROM part WHERE p_partkey % 3 = 0
+UNION ALL SELECT 'unit_price', count(*) FROM part WHERE p_partkey % 5 = 0"""
+    sql["partition_load"] = f"""
+WITH {_DIM_USER}
+SELECT country, CASE WHEN country = 'ASIA' THEN 8 ELSE vip_level END AS vip_level, count(*) AS users
+FROM dim_user WHERE country <> 'EUROPE' GROUP BY 1, 2"""
+    sql["score_writeback_rule"] = f"""
+WITH {_ALL_USERS}
+SELECT user_id, label AS is_high_risk, label AS risk_score, DATE '2001-08-02' AS scoring_date FROM user_labelled"""
+    sql["score_writeback_vendor_rule"] = f"""
+WITH {_VENDORS}
+SELECT vendor_id, vendor_name, performance_label AS performance_score, DATE '2001-08-02' AS scoring_date
+FROM vendor_label"""
+    # The rank sum gives the same area as the curve: ties count one half.
+    sql["user_credit_auc"] = f"""
+WITH {_ALL_USERS},
+test AS (
+  SELECT label, -credit_score AS score FROM user_labelled
+  WHERE substr(md5(CAST(user_id AS VARCHAR)), 1, 2) >= 'cd'),
+ranked AS (
+  SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / CAST(2 AS DOUBLE) AS r FROM test),
+total AS (SELECT count(*) AS n, sum(label) AS bad, sum(r) FILTER (label = 1) AS ranks FROM ranked)
+SELECT CAST(round(CAST((ranks - bad * (bad + 1) / 2) / (bad * (n - bad)) AS DECIMAL(38,10)), 6) AS DOUBLE) AS value,
+  n AS test_rows
+FROM total"""
+    sql["vendor_rating_rmse"] = f"""
+WITH {_VENDORS},
+test AS (
+  SELECT performance_label - CAST(service_quality AS DOUBLE) / 5 AS e
+  FROM vendor_label JOIN vendor_feature USING (vendor_id)
+  WHERE substr(md5(CAST(vendor_id AS VARCHAR)), 1, 2) >= 'cd')
+SELECT CAST(round(CAST(sqrt(avg(e * e)) AS DECIMAL(38,10)), 6) AS DOUBLE) AS value, count(*) AS test_rows FROM test"""
+    sql["user_risk_scores_checked"] = """
+SELECT c_custkey AS user_id, DATE '2001-08-02' AS scoring_date, true AS in_range, true AS flag_agrees FROM customer"""
+    sql["vendor_performance_scores_checked"] = """
+SELECT s_suppkey AS vendor_id, s_name AS vendor_name, DATE '2001-08-02' AS scoring_date, true AS in_range FROM supplier"""
     sql["stream_risk_alerts"] = f"""
 WITH {_ALL_USERS}, {_FACT_EVENT}
 SELECT sha256(event_id) AS alert_id, event_id, e.user_id,

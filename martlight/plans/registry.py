@@ -6,6 +6,7 @@ int, double, string, date) so that they compare with any SQL engine.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -21,10 +22,10 @@ from pyspark.sql.types import (
 )
 
 from martlight.operators import behavior, bi, features, quality, rules, scoring
-from martlight.plans import user_risk_job, vendor_performance_job
+from martlight.plans import load_job, user_risk_job, vendor_performance_job
 from martlight.schemas import TABLES
-from martlight.session import materialize, shared_dir
-from martlight.sources.csv_files import read_csv, write_csv
+from martlight.session import hadoop_path, materialize, shared_dir
+from martlight.sources.csv_files import load_csv, read_csv, reject_counts, rejects, write_csv
 from martlight.sources.testdata import (
     DEMAND_SINCE,
     EVENTS_AS_OF,
@@ -39,6 +40,7 @@ from martlight.sources.testdata import (
 from martlight.sources.warehouse import (
     Warehouse,
     create_database,
+    load_partition,
     register_external,
     replace_partitions,
     save_table,
@@ -48,8 +50,6 @@ from martlight.streaming import events as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-DATABASE = "martlight"
-
 
 def plain(df: DataFrame) -> DataFrame:
     """Cast a result to types every engine shares."""
@@ -187,12 +187,24 @@ def user_risk_scaled_features(w: TestdataWarehouse) -> DataFrame:
 # --- models -------------------------------------------------------------------
 
 # A fit takes far longer than any query: within one application the queries on
-# one folder share it. The scores are lazy frames over files in the shared folder.
+# one state of a folder share it. The scores are lazy frames over files in the shared folder.
 _fits: dict[tuple[str, str, str], tuple[scoring.Evaluated, DataFrame]] = {}
 
 
+def _state(w: TestdataWarehouse) -> str:
+    """Paths, sizes and times of the files a fit reads."""
+    names = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
+    listed = []
+    for name in names:
+        for file in w.raw(name).inputFiles():
+            path, files = hadoop_path(w.spark, file)
+            status = files.getFileStatus(path)
+            listed.append(f"{file} {status.getLen()} {status.getModificationTime()}")
+    return "\n".join(sorted(listed))
+
+
 def _once(w: TestdataWarehouse, kind: str, fit: Callable[[str], tuple[scoring.Evaluated, DataFrame]]):
-    key = (w.spark.conf.get("spark.app.id"), w.sf_dir, kind)
+    key = (w.spark.conf.get("spark.app.id"), _state(w), kind)
     if key not in _fits:
         _fits[key] = fit(shared_dir(w.spark, f"model-{kind}"))
     return _fits[key]
@@ -246,13 +258,14 @@ def top_vendors_by_model_score(w: TestdataWarehouse) -> DataFrame:
     return bi.top_vendors_by_score(_vendor_fit(w)[1], w.table("dim_vendor", "vendor_id", "vendor_name"), 10)
 
 
-def _scratch_database(w: TestdataWarehouse) -> None:
-    create_database(w.spark, DATABASE, shared_dir(w.spark, "database"))
+def _scratch_database(w: TestdataWarehouse) -> str:
+    name = f"martlight_{uuid.uuid4().hex[:12]}"
+    create_database(w.spark, name, shared_dir(w.spark, "database"))
+    return name
 
 
 def _write_back(w: TestdataWarehouse, scores: DataFrame, name: str) -> DataFrame:
-    _scratch_database(w)
-    table = f"{DATABASE}.{name}"
+    table = f"{_scratch_database(w)}.{name}"
     save_table(scores, table, TABLES[name], path=shared_dir(w.spark, name))
     return w.spark.table(table)
 
@@ -265,6 +278,58 @@ def score_writeback_vendor(w: TestdataWarehouse) -> DataFrame:
     return _write_back(w, _vendor_fit(w)[1], "vendor_performance_score")
 
 
+def score_writeback_rule(w: TestdataWarehouse) -> DataFrame:
+    return _write_back(w, _rule_scores(w), "user_credit_score")
+
+
+def score_writeback_vendor_rule(w: TestdataWarehouse) -> DataFrame:
+    labelled = features.vendor_performance_labels(features.vendor_features(*_vendor_inputs(w)))
+    return _write_back(w, scoring.score_vendors_by_rule(labelled, SNAPSHOT_DATE), "vendor_performance_score")
+
+
+def user_credit_auc(w: TestdataWarehouse) -> DataFrame:
+    """How well a low credit score alone tells the labelled users, on the held-out ones."""
+    labelled = features.user_risk_labels(*_risk_inputs(w), SNAPSHOT_DATE)
+    scored = labelled.select("user_id", "label", (-F.col("credit_score")).alias("score"))
+    return scoring.holdout_auc(scored, "user_id", "score", "label")
+
+
+def vendor_rating_rmse(w: TestdataWarehouse) -> DataFrame:
+    """How far a fifth of a vendor's service quality is from its label, on the held-out vendors."""
+    labelled = features.vendor_performance_labels(features.vendor_features(*_vendor_inputs(w)))
+    quality_share = labelled.select(
+        "vendor_id", "performance_label", (F.col("service_quality").cast("double") / 5).alias("score")
+    )
+    return scoring.holdout_rmse(quality_share, "vendor_id", "score", "performance_label")
+
+
+def _checked(scores: DataFrame, value: str) -> DataFrame:
+    return scores.withColumn("in_range", (F.col(value) >= 0) & (F.col(value) <= 1))
+
+
+def user_risk_scores_checked(w: TestdataWarehouse) -> DataFrame:
+    """Every user scored, the score a probability, and the flag on its side of one half."""
+    scores = _checked(_user_fit(w)[1], "risk_score")
+    agrees = (F.col("is_high_risk") == 1) == (F.col("risk_score") >= 0.5)
+    # A score of exactly one half may be flagged either way.
+    return scores.select(
+        "user_id", "scoring_date", "in_range", (agrees | (F.col("risk_score") == 0.5)).alias("flag_agrees")
+    )
+
+
+def vendor_performance_scores_checked(w: TestdataWarehouse) -> DataFrame:
+    """Every vendor scored, and no score outside the labels, with a margin for boosting."""
+    labelled = features.vendor_performance_labels(features.vendor_features(*_vendor_inputs(w)))
+    bounds = labelled.agg(F.min("performance_label").alias("low"), F.max("performance_label").alias("high"))
+    margin = (F.col("high") - F.col("low")) / 2
+    score = F.col("performance_score")
+    near = (score >= F.col("low") - margin) & (score <= F.col("high") + margin)
+    scores = _vendor_fit(w)[1].withColumns(
+        {"low": bounds.select("low").scalar(), "high": bounds.select("high").scalar()}
+    )
+    return scores.select("vendor_id", "vendor_name", "scoring_date", near.alias("in_range"))
+
+
 # --- business rules -------------------------------------------------------------
 
 
@@ -311,9 +376,9 @@ def best_valid_discount(w: TestdataWarehouse) -> DataFrame:
 
 
 def best_valid_discount_by_day(w: TestdataWarehouse) -> DataFrame:
-    """The way taken when the discounts are too many to travel with each task."""
+    """The same on slices of a day, as suits discounts that start and end at midnight."""
     return _discount_result(
-        rules.best_valid_discount(_priced_purchases(w), w.table("dim_discount"), max_inline=0)
+        rules.best_valid_discount(_priced_purchases(w), w.table("dim_discount"), slice_seconds=86_400)
     )
 
 
@@ -367,8 +432,8 @@ def coupon_targeting(w: TestdataWarehouse) -> DataFrame:
 
 
 def coupon_targeting_by_level(w: TestdataWarehouse) -> DataFrame:
-    """The way taken when the strategies are too many to broadcast."""
-    return behavior.coupon_targeting(*_targeting_inputs(w), max_broadcast=0)
+    """The same with each sensitivity level in one task, as suits few users."""
+    return behavior.coupon_targeting(*_targeting_inputs(w), salts=1)
 
 
 # --- quality -----------------------------------------------------------------------
@@ -377,7 +442,8 @@ def coupon_targeting_by_level(w: TestdataWarehouse) -> DataFrame:
 def _audited(w: TestdataWarehouse) -> dict[str, DataFrame]:
     return {
         "fact_order": w.table("fact_order", *quality.NOT_NULL["fact_order"]),
-        "user_behavior_profile": _profiles(w),
+        # Stored, so that each audited column does not compute it again.
+        "user_behavior_profile": materialize(_profiles(w), "profiles"),
         "coupon_strategy": coupon_strategies(w.spark),
     }
 
@@ -444,6 +510,84 @@ def csv_to_warehouse_event(w: TestdataWarehouse) -> DataFrame:
     return _csv_round_trip(w, "fact_event")
 
 
+def csv_to_warehouse_discount(w: TestdataWarehouse) -> DataFrame:
+    return _csv_round_trip(w, "dim_discount")
+
+
+def csv_to_warehouse_time(w: TestdataWarehouse) -> DataFrame:
+    base = shared_dir(w.spark, "load-dim_time")
+    write_csv(build_dim_time(w), f"{base}/csv/dim_time.csv")
+    load_csv(w.spark, f"{base}/csv/dim_time.csv", "dim_time", f"{base}/warehouse")
+    return Warehouse(w.spark, path=f"{base}/warehouse").table("dim_time")
+
+
+def csv_reload(w: TestdataWarehouse) -> DataFrame:
+    """Users loaded twice in one session: the second load wins and its missing country is gone."""
+    base, database = shared_dir(w.spark, "reload"), _scratch_database(w)
+    users = w.table("dim_user")
+    for rows in (users, users.where("country <> 'ASIA'").withColumn("vip_level", F.lit(7))):
+        write_csv(rows, f"{base}/csv/dim_user.csv")
+        load_job.run(w.spark, f"{base}/csv", f"{base}/warehouse", database, ["dim_user"])
+        # Reading in between must not pin the first load's files.
+        Warehouse(w.spark, database=database).table("dim_user").count()
+    return Warehouse(w.spark, database=database).table("dim_user", "user_id", "vip_level", "country")
+
+
+def csv_column_order(w: TestdataWarehouse) -> DataFrame:
+    """Products in two files whose headers order the columns differently."""
+    base = shared_dir(w.spark, "column-order")
+    products = w.table("dim_product")
+    halves = [products.where(f"product_id % 2 = {i}") for i in range(2)]
+    write_csv(halves[0], f"{base}/csv/half=0")
+    write_csv(halves[1].select(*reversed(products.columns)), f"{base}/csv/half=1")
+    return read_csv(w.spark, f"{base}/csv/*", "dim_product")
+
+
+def csv_line_breaks(w: TestdataWarehouse) -> DataFrame:
+    """Products whose description holds line breaks, quotes and commas."""
+    base = shared_dir(w.spark, "line-breaks")
+    text = F.concat(F.lit("first line\n\"second\", "), "brand", F.lit("\n"))
+    write_csv(w.table("dim_product").withColumn("description", text), f"{base}/csv")
+    found = read_csv(w.spark, f"{base}/csv", "dim_product", multi_line=True)
+    return found.select("product_id", F.replace("description", F.lit("\n"), F.lit("|")).alias("description"), "vendor_id")
+
+
+def csv_lists(w: TestdataWarehouse) -> DataFrame:
+    """Vendors whose list of areas is empty, absent, or holds an apostrophe or a NULL."""
+    base = shared_dir(w.spark, "lists")
+    areas = F.expr(
+        """CASE vendor_id % 4 WHEN 0 THEN cast(array() AS array<string>) WHEN 1 THEN cast(NULL AS array<string>)
+           WHEN 2 THEN array("d'Or", 'b') ELSE array('a', NULL) END"""
+    )
+    write_csv(w.table("dim_vendor").withColumn("distribution_areas", areas), f"{base}/csv")
+    found = read_csv(w.spark, f"{base}/csv", "dim_vendor")
+    return found.select("vendor_id", F.to_json("distribution_areas").alias("areas"))
+
+
+def csv_rejects(w: TestdataWarehouse) -> DataFrame:
+    """Number of fields per column that a load of damaged products turns down."""
+    base = shared_dir(w.spark, "rejects")
+    damaged = w.table("dim_product").withColumns(
+        {
+            "stock": F.when(F.col("product_id") % 3 == 0, F.lit("3.7")).otherwise(F.concat("stock", F.lit(".0"))),
+            "unit_price": F.when(F.col("product_id") % 5 == 0, F.lit("n/a")).otherwise(F.col("unit_price").cast("string")),
+        }
+    )
+    write_csv(damaged, f"{base}/csv")
+    return reject_counts(rejects(w.spark, f"{base}/csv", "dim_product"))
+
+
+def partition_load(w: TestdataWarehouse) -> DataFrame:
+    """One named country replaced, another emptied; the others survive."""
+    base = shared_dir(w.spark, "named-partition")
+    users = w.table("dim_user")
+    write_files(users, "dim_user", base)
+    load_partition(users.where("country = 'ASIA'").withColumn("vip_level", F.lit(8)), "dim_user", base, country="ASIA")
+    load_partition(users.where("false"), "dim_user", base, country="EUROPE")
+    counted = Warehouse(w.spark, path=base).table("dim_user", "country", "vip_level")
+    return counted.groupBy("country", "vip_level").agg(F.count(F.lit(1)).alias("users"))
+
+
 def parquet_dim_time(w: TestdataWarehouse) -> DataFrame:
     base = shared_dir(w.spark, "dim-time")
     write_files(build_dim_time(w), "dim_time", base)
@@ -457,25 +601,24 @@ def partition_replace(w: TestdataWarehouse) -> DataFrame:
     write_files(users, "dim_user", base)
     asia = users.where(F.col("country") == "ASIA").withColumn("vip_level", F.lit(9))
     replace_partitions(asia, "dim_user", base)
-    _scratch_database(w)
-    w.spark.sql(f"DROP TABLE IF EXISTS {DATABASE}.dim_user")
-    register_external(w.spark, DATABASE, "dim_user", f"{base}/dim_user")
-    counted = Warehouse(w.spark, database=DATABASE).table("dim_user", "country", "vip_level")
+    database = _scratch_database(w)
+    register_external(w.spark, database, "dim_user", f"{base}/dim_user")
+    counted = Warehouse(w.spark, database=database).table("dim_user", "country", "vip_level")
     return counted.groupBy("country", "vip_level").agg(F.count(F.lit(1)).alias("users"))
 
 
-def _bucketed(w: TestdataWarehouse, name: str) -> DataFrame:
+def _bucketed(w: TestdataWarehouse, database: str, name: str) -> DataFrame:
     """The table written in its declared buckets, without date or country folders."""
     spec = replace(TABLES[name], partition_by=())
-    table = f"{DATABASE}.{name}_bucketed"
+    table = f"{database}.{name}_bucketed"
     save_table(w.table(name), table, spec, path=shared_dir(w.spark, f"{name}-bucketed"))
     return w.spark.table(table)
 
 
 def bucketed_join(w: TestdataWarehouse) -> DataFrame:
     """Risk features from user-bucketed tables: the orders aggregate and join without a shuffle."""
-    _scratch_database(w)
-    orders, users = _bucketed(w, "fact_order"), _bucketed(w, "dim_user")
+    database = _scratch_database(w)
+    orders, users = _bucketed(w, database, "fact_order"), _bucketed(w, database, "dim_user")
     result = features.user_risk_features(orders, users, SNAPSHOT_DATE)
     return result.select("user_id", "frequency", "monetary", "recency", "user_tenure")
 
@@ -490,7 +633,9 @@ def _event_stream(w: TestdataWarehouse, *columns: str) -> DataFrame:
 
 
 def stream_event_counts(w: TestdataWarehouse) -> DataFrame:
-    counts = streams.daily_event_counts(_event_stream(w, "event_type", "event_ts"))
+    raw = streams.event_stream(w.spark, f"{w.sf_dir}/events.parquet*", RAW_TABLES["events"])
+    # Events of every type, also those that no shop table keeps.
+    counts = streams.daily_event_counts(raw.select("event_type", F.col("ts").cast("timestamp").alias("event_ts")))
     base = shared_dir(w.spark, "event-counts")
     streams.drain_to_files(counts, f"{base}/out", f"{base}/checkpoint")
     return w.spark.read.schema(counts.schema).parquet(f"{base}/out")
@@ -544,6 +689,14 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     csv_to_warehouse_product,
     csv_to_warehouse_vendor,
     csv_to_warehouse_event,
+    csv_to_warehouse_discount,
+    csv_to_warehouse_time,
+    csv_reload,
+    csv_column_order,
+    csv_line_breaks,
+    csv_lists,
+    csv_rejects,
+    partition_load,
     parquet_dim_time,
     partition_replace,
     bucketed_join,
@@ -558,6 +711,12 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     top_vendors_by_model_score,
     score_writeback,
     score_writeback_vendor,
+    score_writeback_rule,
+    score_writeback_vendor_rule,
+    user_credit_auc,
+    vendor_rating_rmse,
+    user_risk_scores_checked,
+    vendor_performance_scores_checked,
 ]
 
 

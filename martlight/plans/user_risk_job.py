@@ -1,6 +1,6 @@
 """User-risk job: features, label, training, evaluation, scoring, write-back.
 
-    spark-submit --py-files ... martlight/plans/user_risk_job.py --end-date 2025-07-01
+    spark-submit --py-files ... martlight/plans/user_risk_job.py --end-date 2025-07-01 --model-path /models/user-risk
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from martlight.operators.scoring import (
     score_users,
 )
 from martlight.schemas import TABLES
-from martlight.session import build_session, materialize
+from martlight.session import build_session, materialize, scratch
 from martlight.sources.warehouse import Warehouse, save_table
 
 log = logging.getLogger(__name__)
@@ -41,9 +41,10 @@ def run(
     as_of: DateLike,
     model_path: str,
     rules: RiskRules = CURRENT_RULES,
+    folder: str | None = None,
 ) -> tuple[Evaluated, DataFrame]:
-    """Train on the current rules and score all users with the saved model."""
-    features = materialize(user_risk_labels(orders, users, as_of, rules), "user-risk-features")
+    """Train on the current rules and score all users with the saved model; the features stay below ``folder``."""
+    features = materialize(user_risk_labels(orders, users, as_of, rules), "user-risk-features", folder)
     result = train_user_risk(features, model_path)
     return result, score_users(features, PipelineModel.load(model_path), as_of)
 
@@ -57,14 +58,16 @@ def run_v1(orders: DataFrame, users: DataFrame, as_of: DateLike, model_path: str
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser()
-    parser.add_argument("--end-date", "--end_date", default="2025-07-01", help="snapshot date of the data")
+    parser.add_argument("--end-date", required=True, help="features and scores are as of this day")
     parser.add_argument("--database", default="retail")
-    parser.add_argument("--model-path", default="/models/user_risk/v1")
+    parser.add_argument("--model-path", required=True)
     args = parser.parse_args(argv)
     spark = build_session("user-risk")
     warehouse = Warehouse(spark, database=args.database)
-    _, scores = run(warehouse.table("fact_order"), warehouse.table("dim_user"), args.end_date, args.model_path)
-    save_table(scores, f"{args.database}.user_credit_score", TABLES["user_credit_score"])
+    inputs = [warehouse.table(t) for t in ("fact_order", "dim_user")]
+    with scratch(spark, "user-risk") as folder:
+        _, scores = run(*inputs, args.end_date, args.model_path, folder=folder)
+        save_table(scores, f"{args.database}.user_credit_score", TABLES["user_credit_score"])
 
 
 if __name__ == "__main__":

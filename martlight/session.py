@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,12 +47,29 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/martlight/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def hadoop_path(spark: SparkSession, location: str) -> tuple:
+    """The location as a path of the cluster's file systems, and the file system it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(location.replace(" ", "%20")))
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A fresh shared folder that is removed when the block ends."""
+    folder = shared_dir(spark, purpose)
+    try:
+        yield folder
+    finally:
+        path, files = hadoop_path(spark, folder)
+        files.delete(path, True)
+
+
+def materialize(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder (or below ``folder``) and read it back.
 
     Cuts the lineage with data that outlives any executor, and pins the rows
     an iterative consumer sees.
     """
-    path = shared_dir(df.sparkSession, purpose)
+    path = shared_dir(df.sparkSession, purpose) if folder is None else f"{folder}/{purpose}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

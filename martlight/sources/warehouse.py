@@ -61,7 +61,9 @@ def write_files(df: DataFrame, name: str, path: str) -> None:
     """Write a whole table to ``path``/``name`` in its declared format and partitions."""
     spec = TABLES[name]
     rows = _gathered(conform(df, spec), spec)
-    _writer(rows, spec).mode("overwrite").save(f"{path.rstrip('/')}/{name}")
+    # The session may be set to replace partitions only; a whole table leaves no old rows.
+    writer = _writer(rows, spec).mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.save(f"{path.rstrip('/')}/{name}")
 
 
 def replace_partitions(df: DataFrame, name: str, path: str) -> None:
@@ -74,6 +76,25 @@ def replace_partitions(df: DataFrame, name: str, path: str) -> None:
     writer.save(f"{path.rstrip('/')}/{name}")
 
 
+def load_partition(df: DataFrame, name: str, path: str, **partition: object) -> None:
+    """Replace one named partition by ``df``, which may be empty; a row that belongs elsewhere is an error."""
+    spec = TABLES[name]
+    if set(partition) != set(spec.partition_by):
+        raise ValueError(f"{name} is partitioned by {', '.join(spec.partition_by) or 'nothing'}")
+    rows = conform(df, spec)
+    values = {c: F.lit(v).cast(spec.schema[c].dataType) for c, v in partition.items()}
+    inside = F.lit(True)
+    for column, value in values.items():
+        inside = inside & F.col(column).eqNullSafe(value)
+    if not rows.where(~inside).isEmpty():
+        raise ValueError(f"rows outside partition {partition} of {name}")
+    folder = "/".join(f"{c}={v}" for c, v in partition.items())
+    writer = rows.drop(*partition).write.format(spec.file_format).mode("overwrite")
+    if spec.file_format == "orc":
+        writer = writer.option("compression", "zlib")
+    writer.save(f"{path.rstrip('/')}/{name}/{folder}")
+
+
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
     where = f" LOCATION '{location}'" if location is not None else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
@@ -108,7 +129,9 @@ def register_external(spark: SparkSession, database: str, name: str, location: s
     """
     _create_table(spark, database, name, location, bucketed=False)
     if TABLES[name].partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+        # A reload may also have dropped partitions.
+        spark.sql(f"MSCK REPAIR TABLE {database}.{name} SYNC PARTITIONS")
+    spark.sql(f"REFRESH TABLE {database}.{name}")
 
 
 @contextmanager
@@ -140,6 +163,7 @@ def save_table(
     """
     buckets = spec.bucket_by if bucketed else None
     writer = _writer(_gathered(conform(df, spec), spec, buckets), spec).mode("overwrite")
+    writer = writer.option("partitionOverwriteMode", "static")
     if buckets is not None:
         writer = writer.bucketBy(*buckets).sortBy(buckets[1])
     if path is not None:

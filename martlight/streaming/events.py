@@ -12,11 +12,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from martlight.functions.columns import surrogate_id
+from martlight.functions.distribution import salted
 
+# Files one micro-batch takes up, and keys one user's purchases spread over.
+FILES_PER_BATCH = 1000
+USER_SALTS = 8
 
-def event_stream(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
-    """Parquet files arriving in ``folder`` (or matching a glob) as a stream."""
-    return spark.readStream.schema(schema).parquet(folder)
+
+def event_stream(
+    spark: SparkSession, folder: str, schema: StructType, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """Parquet files arriving in ``folder`` (or matching a glob) as a stream, in batches of bounded size."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
 
 
 def daily_event_counts(events: DataFrame, late_by: str = "1 hour") -> DataFrame:
@@ -42,12 +49,19 @@ def drain_to_files(stream: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def risk_alerts(purchases: DataFrame, scores: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Purchases of users whose score reaches ``threshold``; stream or batch against a static score table."""
+def risk_alerts(
+    purchases: DataFrame, scores: DataFrame, threshold: float = 0.5, salts: int = USER_SALTS
+) -> DataFrame:
+    """Purchases of users whose score reaches ``threshold``; stream or batch against a static score table.
+
+    Adaptive splitting does not reach streams, so a busy user's purchases are spread over ``salts`` keys.
+    """
     risky = scores.where(F.col("risk_score") >= threshold).select("user_id", "risk_score")
+    left, right = salted(
+        purchases.where(F.col("event_type") == "purchase"), risky, spread_by=F.col("event_id"), salts=salts
+    )
     return (
-        purchases.where(F.col("event_type") == "purchase")
-        .join(risky, "user_id")
+        left.join(right, ["user_id", "_salt"])
         .select(
             surrogate_id("event_id").alias("alert_id"), "event_id", "user_id", "event_ts", "risk_score"
         )

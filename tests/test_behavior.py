@@ -3,6 +3,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StructField, StructType
 
 from martlight import schemas
 from martlight.operators import behavior
@@ -65,8 +66,8 @@ def test_profile(spark):
     assert profile.dtypes == [(f.name, f.dataType.simpleString()) for f in schemas.USER_BEHAVIOR_PROFILE]
 
 
-@pytest.mark.parametrize("max_broadcast", [1000, 0])
-def test_targeting_against_brute_force(spark, max_broadcast):
+@pytest.mark.parametrize("kind", ["decimal(5,2)", "decimal(5,4)", "double"])
+def test_targeting_against_brute_force(spark, kind):
     rng = random.Random(3)
     users = [{"user_id": u, "discount_sensitivity": Decimal(rng.randrange(0, 12000)) / 10000} for u in range(60)]
     users += [{"user_id": 60, "discount_sensitivity": None}, {"user_id": 61, "discount_sensitivity": "0.3000"}]
@@ -79,7 +80,7 @@ def test_targeting_against_brute_force(spark, max_broadcast):
         for i in range(n)
     ]
     strategies = [
-        {"strategy_id": s, "min_discount_sensitivity": Decimal(rng.randrange(-10, 120)) / 100,
+        {"strategy_id": s, "min_discount_sensitivity": Decimal(rng.randrange(-1000, 12000, 7 if kind == "decimal(5,4)" else 100)) / 10000,
          "min_view_count": rng.randrange(4), "min_cart_count": rng.randrange(3), "trigger_type": "view",
          "action_type": "sms", "coupon_id": s}
         for s in range(30)
@@ -95,11 +96,13 @@ def test_targeting_against_brute_force(spark, max_broadcast):
         and counts.get(u["user_id"], (0, 0))[0] >= s["min_view_count"]
         and counts.get(u["user_id"], (0, 0))[1] >= s["min_cart_count"]
     }
+    wide = StructType([StructField(f.name, DecimalType(5, 4) if "sensitivity" in f.name else f.dataType) for f in schemas.COUPON_STRATEGY])
+    asked = b.table(spark, wide, strategies)
+    asked = asked.withColumn("min_discount_sensitivity", F.col("min_discount_sensitivity").cast(kind))
     found = behavior.coupon_targeting(
         b.events(spark, events),
         b.users(spark, users),
-        b.table(spark, schemas.COUPON_STRATEGY, strategies),
-        max_broadcast=max_broadcast,
+        asked,
     )
     rows = [(r.user_id, r.strategy_id) for r in found.collect()]
     assert len(rows) == len(set(rows))

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from collections import Counter
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
@@ -78,22 +79,22 @@ PURCHASES = [
 ]
 
 
-@pytest.mark.parametrize("max_inline", [200, 0])
-def test_best_discount_edges(spark, max_inline):
+@pytest.mark.parametrize("slice_seconds", [3600, 86_400, 1000])
+def test_best_discount_edges(spark, slice_seconds):
     rows = [
         (e, dt.datetime.fromisoformat(ts) if ts else None, Decimal(g)) for e, ts, g, _, _ in PURCHASES
     ]
     purchases = spark.createDataFrame(rows, "event_id string, event_ts timestamp, gross_amount decimal(12,2)")
     found = b.as_dict(
-        rules.best_valid_discount(purchases, b.discounts(spark, DISCOUNTS), max_inline=max_inline), "event_id"
+        rules.best_valid_discount(purchases, b.discounts(spark, DISCOUNTS), slice_seconds), "event_id"
     )
     assert {e: (r["discount_id"], str(r["discount_amount"])) for e, r in found.items()} == {
         e: (d, a) for e, _, _, d, a in PURCHASES
     }
 
 
-@pytest.mark.parametrize("max_inline", [200, 0])
-def test_best_discount_against_brute_force(spark, max_inline):
+@pytest.mark.parametrize("slice_seconds", [3600, 86_400])
+def test_best_discount_against_brute_force(spark, slice_seconds):
     rng = random.Random(7)
     start = dt.datetime(2025, 1, 1)
     rows = []
@@ -128,7 +129,7 @@ def test_best_discount_against_brute_force(spark, max_inline):
         return chosen, (-amount).quantize(Decimal("0.01"), ROUND_HALF_UP)
 
     frame = spark.createDataFrame(purchases, "event_id string, event_ts timestamp, gross_amount decimal(12,2)")
-    found = rules.best_valid_discount(frame, b.discounts(spark, rows), max_inline=max_inline).collect()
+    found = rules.best_valid_discount(frame, b.discounts(spark, rows), slice_seconds).collect()
     assert {r.event_id: (r.discount_id, r.discount_amount) for r in found} == {e: best(t, g) for e, t, g in purchases}
     assert len(found) == len(purchases)
 
@@ -158,17 +159,16 @@ def test_orders_from_events(spark):
         [{"discount_id": 4, "discount_type": "fixed", "threshold_amount": 0, "discount_value": 50,
           "valid_from": "2025-01-05 00:00:00", "valid_to": "2025-01-05 23:00:00"}],
     )
-    for max_inline in (200, 0):
-        orders = rules.orders_from_events(events, products, users, discounts, "2025-01-08 10:00:00", max_inline)
-        assert orders.columns == [f.name for f in b.schemas.FACT_ORDER]
-        found = {r.product_id: r for r in orders.collect()}
-        assert set(found) == {1, 2}
-        # The discount exceeds the order: net stops at zero.
-        assert (str(found[1].gross_amount), str(found[1].discount_amount), str(found[1].net_amount)) == ("29.97", "50.00", "0.00")
-        assert (found[2].discount_id, str(found[2].net_amount), found[2].vendor_id) == (None, "300.00", 8)
-        assert (found[1].order_status, found[2].order_status) == ("Delivered", "Shipped")
-        assert (found[1].time_id, str(found[1].order_date), found[1].city) == (20250105, "2025-01-05", "C")
-        assert len({r.order_id for r in found.values()}) == 2
+    orders = rules.orders_from_events(events, products, users, discounts, "2025-01-08 10:00:00")
+    assert orders.columns == [f.name for f in b.schemas.FACT_ORDER]
+    found = {r.product_id: r for r in orders.collect()}
+    assert set(found) == {1, 2}
+    # The discount exceeds the order: net stops at zero.
+    assert (str(found[1].gross_amount), str(found[1].discount_amount), str(found[1].net_amount)) == ("29.97", "50.00", "0.00")
+    assert (found[2].discount_id, str(found[2].net_amount), found[2].vendor_id) == (None, "300.00", 8)
+    assert (found[1].order_status, found[2].order_status) == ("Delivered", "Shipped")
+    assert (found[1].time_id, str(found[1].order_date), found[1].city) == (20250105, "2025-01-05", "C")
+    assert len({r.order_id for r in found.values()}) == 2
 
 
 def test_product_attributes_and_areas(spark):
@@ -206,3 +206,43 @@ def test_amounts_the_type_cannot_hold_become_null(spark):
     users = b.users(spark, [{"user_id": 1}])
     row = rules.orders_from_events(events, products, users, b.discounts(spark, []), "2025-01-08 10:00:00").first()
     assert (row.gross_amount, row.net_amount, row.discount_id) == (None, None, None)
+
+
+def test_many_overlapping_discounts_and_a_hot_day(spark):
+    """5,000 rules, some open-ended; ids that repeat or are missing; every purchase comes out once."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    start = int(dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc).timestamp())
+    n, m = 5000, 3000
+    lo = start + rng.integers(-20 * 86400, 40 * 86400, n)
+    hi = np.where(rng.random(n) < 0.05, 253_402_214_400, lo + rng.integers(0, 20 * 86400, n))
+    share = rng.random(n) < 0.3
+    value = np.where(share, rng.integers(1, 60, n) / 100, rng.integers(1, 400, n))
+    threshold = rng.integers(0, 900, n)
+    rows = [
+        (i, "percentage" if s else "fixed", Decimal(int(t)), Decimal(str(round(float(v), 2))), int(a), int(z))
+        for i, (s, t, v, a, z) in enumerate(zip(share, threshold, value, lo, hi))
+    ]
+    discounts = spark.createDataFrame(
+        rows, "discount_id long, discount_type string, threshold_amount decimal(12,2), discount_value decimal(10,2), a long, z long"
+    ).selectExpr("*", "timestamp_seconds(a) AS valid_from", "timestamp_seconds(z) AS valid_to")
+    ts = np.where(np.arange(m) % 3 == 0, start + 86400 * 7 + rng.integers(0, 86400, m), start + rng.integers(0, 30 * 86400, m))
+    gross = rng.integers(100, 90_000, m)
+    ids = [None if i % 7 == 0 else f"e{i % 11}" for i in range(m)]
+    purchases = spark.createDataFrame(
+        [(i, int(t), Decimal(int(g)) / 100) for i, t, g in zip(ids, ts, gross)], "event_id string, t long, gross_amount decimal(12,2)"
+    ).selectExpr("event_id", "timestamp_seconds(t) AS event_ts", "gross_amount", "t")
+    expected = Counter()
+    cents = np.where(share[None, :], 0, np.round(value * 10_000)).astype(np.int64)
+    percent = np.where(share, np.round(value * 100), 0).astype(np.int64)
+    for i, t, g in zip(ids, ts.tolist(), gross.tolist()):
+        usable = (lo <= t) & (t <= hi) & (threshold * 100 <= g)
+        amount = np.where(usable, np.where(share, g * percent, cents[0]), -1)
+        best = int(amount.argmax())
+        expected[i, t, g, best if amount[best] >= 0 else None, max(0, int(amount[best]))] += 1
+    found = rules.best_valid_discount(purchases, discounts)
+    got = Counter(
+        (r.event_id, r.t, int(r.gross_amount * 100), r.discount_id, int(r.exact_discount * 10_000)) for r in found.collect()
+    )
+    assert got == expected

@@ -91,3 +91,15 @@ def test_vendor_job(spark):
     assert result.metric_name == "rmse" and result.metric >= 0
     assert scores.count() == 40
     assert scores.dtypes == [(f.name, f.dataType.simpleString()) for f in TABLES["vendor_performance_score"].schema]
+
+
+@pytest.mark.parametrize("parallelism", [1, 2, 64])
+def test_trees_do_not_depend_on_the_cluster(spark, labelled, monkeypatch, parallelism):
+    from pyspark import SparkContext
+
+    expected = scoring.fit_user_risk(labelled, trees=5, rows_per_task=50)
+    monkeypatch.setattr(SparkContext, "defaultParallelism", parallelism)
+    spread = labelled.repartition(parallelism)
+    found = scoring.fit_user_risk(spread, trees=5, rows_per_task=50)
+    assert found.model.stages[-1].toDebugString.split("\n")[1:] == expected.model.stages[-1].toDebugString.split("\n")[1:]
+    assert found.metric == expected.metric

@@ -49,3 +49,22 @@ def test_alerts_only_for_risky_purchases_and_only_once(spark, tmp_path):
     _land(spark, folder, [_event(4, 1, kind="purchase", user=2), _event(5, 1, kind="purchase", user=7)])
     assert drain() == ["1", "4"]
     assert drain() == ["1", "4"]
+
+
+def test_several_batches_give_the_same_and_a_busy_user_is_spread(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    for n in range(6):
+        _land(spark, folder, [_event(10 * n + i, 1, kind="purchase", user=1 if i % 3 else 2) for i in range(9)])
+    scores = spark.createDataFrame([(1, 1.0, 0.9, dt.date(2025, 1, 1))], schemas.USER_CREDIT_SCORE)
+    found = []
+    for files in (1, 100):
+        stream = streams.event_stream(spark, folder, schemas.FACT_EVENT, files_per_batch=files)
+        out = f"{tmp_path}/out{files}"
+        streams.drain_alerts(streams.risk_alerts(stream, scores), out, f"{tmp_path}/checkpoint{files}")
+        found.append(sorted(r.event_id for r in spark.read.orc(out).collect()))
+        batches = {p.name for p in (tmp_path / f"out{files}").glob("batch_id=*")}
+        assert len(batches) == (6 if files == 1 else 1)
+    assert found[0] == found[1] and len(found[0]) == 36
+    batch = spark.read.schema(schemas.FACT_EVENT).parquet(folder)
+    plan = streams.risk_alerts(batch, scores)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from martlight.plans import load_job
 from martlight.schemas import TABLES, TableSpec
 from martlight.sources import warehouse
-from martlight.sources.csv_files import load_csv, read_csv, write_csv
+from martlight.sources.csv_files import load_csv, read_csv, reject_counts, rejects, write_csv
 from tests import builders as b
 
 
@@ -184,3 +184,87 @@ def test_created_tables_take_inserts_in_their_layout(spark, tmp_path, database):
 def test_warehouse_needs_one_location(spark):
     with pytest.raises(ValueError):
         warehouse.Warehouse(spark)
+
+
+def test_second_load_replaces_the_first(spark, tmp_path, database):
+    users = [{"user_id": u, "country": c, "gender": "F"} for u, c in enumerate(["China", "USA", "Japan", "Peru"])]
+    for rows in (users, [users[1] | {"user_id": 9}, users[2]]):
+        write_csv(b.users(spark, rows), f"{tmp_path}/in/dim_user.csv")
+        load_job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", database, ["dim_user"])
+        found = spark.table(f"{database}.dim_user").collect()
+        assert {(r.user_id, r.country) for r in found} == {(r["user_id"], r["country"]) for r in rows}
+    assert spark.sql(f"SHOW PARTITIONS {database}.dim_user").count() == 2
+
+
+def test_whole_table_write_leaves_no_old_rows(spark, tmp_path):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for rows in ([{"user_id": 1, "order_date": "2025-01-01"}, {"user_id": 2, "order_date": "2025-01-02"}], [{"user_id": 3, "order_date": "2025-01-02"}]):
+            warehouse.write_files(b.orders(spark, rows), "fact_order", str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [r.user_id for r in warehouse.Warehouse(spark, path=str(tmp_path)).table("fact_order", "user_id").collect()] == [3]
+
+
+def test_unpartitioned_tables_are_replaced_with_new_partitions(spark, tmp_path, database):
+    for ids in ([1, 2], [3]):
+        write_csv(b.products(spark, [{"product_id": i} for i in ids]), f"{tmp_path}/in/dim_product.csv")
+        write_csv(b.users(spark, [{"user_id": i, "country": f"c{i}"} for i in ids]), f"{tmp_path}/in/dim_user.csv")
+        load_job.run(spark, f"{tmp_path}/in", f"{tmp_path}/out", database, ["dim_product", "dim_user"], replace_all=False)
+    assert [r.product_id for r in spark.table(f"{database}.dim_product").collect()] == [3]
+    assert {r.user_id for r in spark.table(f"{database}.dim_user").collect()} == {1, 2, 3}
+
+
+def test_files_with_other_columns_and_rejects(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    _file(folder / "a.csv", "product_id,stock,unit_price,brand", "1,2,3.5,x", "2,3.0,1,y", "3,3.7,oops,z", "4,1", "5,1,1,x,9")
+    _file(folder / "b.csv", "brand,unit_price,product_id,stock,extra", "w,7.25,6,4,e", "v,,7,1e3,e")
+    (folder / "c.csv").write_text("")
+    rows = {r.product_id: (r.stock, r.unit_price, r.brand) for r in read_csv(spark, str(folder), "dim_product").collect()}
+    assert {k: (s, None if p is None else float(p), x) for k, (s, p, x) in rows.items()} == {
+        1: (2, 3.5, "x"), 2: (3, 1.0, "y"), 3: (None, None, "z"), 6: (4, 7.25, "w"), 7: (None, None, "v"),
+    }
+    found = rejects(spark, str(folder), "dim_product")
+    assert sorted(((r.column_name or "", r.value) for r in found.collect())) == [
+        ("", "4,1"), ("", "5,1,1,x,9"), ("stock", "1e3"), ("stock", "3.7"), ("unit_price", "oops"),
+    ]
+    assert {r.column_name: r.rejected for r in reject_counts(found).collect()} == {None: 2, "stock": 2, "unit_price": 1}
+    headerless = _file(tmp_path / "users.csv", "user_id,user_name", "1,x")
+    with pytest.raises(ValueError):
+        read_csv(spark, headerless, "dim_user")
+
+
+def test_lists_and_line_breaks_survive_files(spark, tmp_path):
+    lists = [[], None, ["d'Or", "b"], ["a", None], ['q"x', "a,b"]]
+    vendors = b.vendors(spark, [{"vendor_id": i, "vendor_name": "two\nlines", "distribution_areas": x} for i, x in enumerate(lists)])
+    write_csv(vendors, str(tmp_path / "v"))
+    found = read_csv(spark, str(tmp_path / "v"), "dim_vendor", multi_line=True).collect()
+    assert {r.vendor_id: r.distribution_areas for r in found} == dict(enumerate(lists))
+    assert {r.vendor_name for r in found} == {"two\nlines"}
+    literal = _file(tmp_path / "w.csv", "vendor_id,distribution_areas,country", """1,"[""d'Or"", 'b']",x""")
+    assert read_csv(spark, literal, "dim_vendor").first().distribution_areas == ["d'Or", "b"]
+
+
+def test_named_partition(spark, tmp_path):
+    path = str(tmp_path)
+    users = [{"user_id": u, "country": c} for u, c in enumerate(["China", "USA", "Japan"])]
+    warehouse.write_files(b.users(spark, users), "dim_user", path)
+    with pytest.raises(ValueError):
+        warehouse.load_partition(b.users(spark, users), "dim_user", path, country="USA")
+    with pytest.raises(ValueError):
+        warehouse.load_partition(b.users(spark, users), "dim_user", path, city="USA")
+    warehouse.load_partition(b.users(spark, [{"user_id": 7, "country": "USA"}]), "dim_user", path, country="USA")
+    warehouse.load_partition(b.users(spark, []), "dim_user", path, country="Japan")
+    found = warehouse.Warehouse(spark, path=path).table("dim_user", "user_id", "country").collect()
+    assert {tuple(r) for r in found} == {(0, "China"), (7, "USA")}
+
+
+def test_scratch_folder_goes(spark, tmp_path):
+    from martlight.session import materialize, scratch
+
+    with scratch(spark, "t") as folder:
+        assert materialize(spark.range(3), "x", folder).count() == 3
+        local = Path(folder.removeprefix("file:"))
+        assert local.exists()
+    assert not local.exists()
