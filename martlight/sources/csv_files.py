@@ -13,7 +13,15 @@ from martlight.schemas import TABLES
 from martlight.session import hadoop_path
 from martlight.sources.warehouse import replace_partitions, write_files
 
-_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
+_OPTIONS = {
+    "header": "true",
+    "encoding": "UTF-8",
+    "quote": '"',
+    "escape": '"',
+    # The writer would strip the ends of text by default.
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 _BROKEN = "_broken_record"
 
 
