@@ -53,6 +53,12 @@ def hadoop_path(spark: SparkSession, location: str) -> tuple:
     return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder of intermediate data."""
+    path, files = hadoop_path(spark, folder)
+    files.delete(path, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
     """A fresh shared folder that is removed when the block ends."""
@@ -60,16 +66,20 @@ def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
     try:
         yield folder
     finally:
-        path, files = hadoop_path(spark, folder)
-        files.delete(path, True)
+        remove(spark, folder)
 
 
-def materialize(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder (or below ``folder``) and read it back.
+def store(df: DataFrame, purpose: str, folder: str | None = None) -> tuple[DataFrame, str]:
+    """Write ``df`` to the shared folder (or below ``folder``); what is read back, and where it lies.
 
     Cuts the lineage with data that outlives any executor, and pins the rows
     an iterative consumer sees.
     """
     path = shared_dir(df.sparkSession, purpose) if folder is None else f"{folder}/{purpose}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def materialize(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
+    """``df`` as ``store`` reads it back."""
+    return store(df, purpose, folder)[0]
