@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlight.session import materialize
+from martlight.session import remove, store
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -26,12 +26,12 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
     """(node, root) for every node of ``edges`` (a, b); root is the least node reachable.
 
     Both stars keep a node's hub as an aggregate, so a hub with very many neighbours is
-    joined to its edges and never gathered. Each round is written to the shared folder; the
-    rounds end when one leaves the edges as they were, after about the logarithm of the
+    joined to its edges and never gathered. Each round is written to the shared folder, and the
+    one before removed; the rounds end when one leaves the edges as they were, after about the logarithm of the
     longest path. No edges: no rows.
     """
     rows = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rows = materialize(rows.distinct(), purpose)
+    rows, path = store(rows.distinct(), purpose)
     before = None
     while True:
         sign = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -39,5 +39,6 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
             return rows.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
                 rows.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
-        before = sign
-        rows = materialize(_small_star(_large_star(rows).distinct()), purpose)
+        before, last = sign, path
+        rows, path = store(_small_star(_large_star(rows).distinct()), purpose)
+        remove(edges.sparkSession, last)

@@ -152,7 +152,8 @@ def identify(
     rows = materialize(rows.withColumn("t", likelihoods("text")).drop("text"), "page-languages")
     text_scores = [F.get("t", i) for i in range(k)]
     by_text = _with_posteriors(rows, text_scores)
-    everywhere = _soft_counts(by_text, [], k, "a")
+    # A number for each language.
+    everywhere = [n or 0.0 for n in _soft_counts(by_text, [], k, "a").first()]
     scores = text_scores
     fused = rows
     for evidence, prefix in (("declared", "d"), ("suffix", "x"), ("folder", "y")):
@@ -160,16 +161,16 @@ def identify(
         counts = _soft_counts(by_text, [evidence], k, prefix)
         fused = fused.join(counts, evidence, "left")
         scores = [
-            s + F.log((F.col(f"{prefix}{i}") + _SMOOTHING) / (F.col(f"a{i}") + 1)) for i, s in enumerate(scores)
+            s + F.log((F.col(f"{prefix}{i}") + _SMOOTHING) / (everywhere[i] + 1)) for i, s in enumerate(scores)
         ]
-    fused = _with_posteriors(fused.crossJoin(F.broadcast(everywhere)), scores)
+    fused = _with_posteriors(fused, scores)
     fused = materialize(
-        fused.select("key", "host", "domain", "declared", "suffix", "folder", "t", *[f"{c}{i}" for c in "asp" for i in range(k)]),
+        fused.select("key", "host", "domain", "declared", "suffix", "folder", "t", *[f"{c}{i}" for c in "sp" for i in range(k)]),
         "page-evidence",
     )
     hosts = _soft_counts(fused, ["host"], k, "h")
     domains = _soft_counts(fused, ["domain"], k, "g")
-    total = reduce(lambda a, b: a + b, [F.col(f"a{i}") for i in range(k)])
+    total = sum(everywhere)
 
     def smoothed(prefix: str, above: list[Column]) -> list[Column]:
         # The page itself is left out of its own prior.
@@ -177,7 +178,7 @@ def identify(
         pages_there = reduce(lambda a, b: a + b, own)
         return [(o + PRIOR_PAGES * a) / (pages_there + PRIOR_PAGES) for o, a in zip(own, above)]
 
-    base = [(F.col(f"a{i}") + _SMOOTHING) / (total + _SMOOTHING * k) for i in range(k)]
+    base = [F.lit((a + _SMOOTHING) / (total + _SMOOTHING * k)) for a in everywhere]
     placed = fused.join(hosts, "host").join(domains, "domain")
     priors = smoothed("h", smoothed("g", base))
     final = [F.col(f"s{i}") + F.log(p) for i, p in enumerate(priors)]
