@@ -78,76 +78,129 @@ def _ball(width: int, radius: int) -> list[int]:
     return [sum(1 << b for b in bits) for r in range(radius + 1) for bits in combinations(range(width), r)]
 
 
-def links(prints: DataFrame, distance: int = 4, count: int = 3) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints (column ``fingerprint``) that differ in few bits.
+def _key(shift: int, width: int) -> Column:
+    return F.shiftrightunsigned("fingerprint", shift).bitwiseAND((1 << width) - 1)
 
-    Every fingerprint stands in the table of each segment under the segment's value. It looks
-    up the values in a small Hamming ball around its own; what it meets is kept if the complete
-    fingerprints are close enough. Of two values a mask apart, only the one without the
-    mask's lowest bit looks, so a pair meets once a segment.
-    """
 
-    def key(shift: int, width: int) -> Column:
-        return F.shiftrightunsigned("fingerprint", shift).bitwiseAND((1 << width) - 1)
+def _tagged(segment: int, value: Column) -> Column:
+    """A segment's value as a bucket of its own."""
+    return value + F.lit(segment << 40)
 
-    plan = segments(distance, count)
 
-    def tagged(i: int, value: Column) -> Column:
-        return value + F.lit(i << 40)
+def _table(prints: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
+    """(bucket, b, label_b): every fingerprint under the value of each of its segments."""
+    stored = F.array(*[_tagged(i, _key(shift, width)) for i, (shift, width, _) in enumerate(plan)])
+    return prints.select(F.explode(stored).alias("bucket"), F.col("fingerprint").alias("b"), F.col("label").alias("label_b"))
+
 
-    stored = F.array(*[tagged(i, key(s, w)) for i, (s, w, _) in enumerate(plan)])
-    table = prints.select(F.explode(stored).alias("bucket"), F.col("fingerprint").alias("b"))
+def _probes(prints: DataFrame, plan: list[tuple[int, int, int]]) -> DataFrame:
+    """(bucket, flipped, a, label_a): the segment values in the ball around each fingerprint's own.
+
+    Of two values a mask apart, only the one without the mask's lowest bit looks, so a pair
+    meets once a segment; ``flipped`` is false where both have the same value.
+    """
     asked = []
     for i, (shift, width, radius) in enumerate(plan):
         masks = F.array(*[F.lit(m).cast("long") for m in _ball(width, radius)])
-        own = key(shift, width)
+        own = _key(shift, width)
         looks = F.filter(masks, lambda m: own.bitwiseAND(m.bitwiseAND(-m)) == 0)
         asked.append(
             F.transform(
-                looks, lambda m: F.struct(tagged(i, own.bitwiseXOR(m)).alias("bucket"), (m != 0).alias("flipped"))
+                looks, lambda m: F.struct(_tagged(i, own.bitwiseXOR(m)).alias("bucket"), (m != 0).alias("flipped"))
             )
         )
-    probes = prints.select(F.inline(F.concat(*asked)), F.col("fingerprint").alias("a"))
-    near = (F.col("flipped") | (F.col("a") < F.col("b"))) & (
-        F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+    return prints.select(
+        F.inline(F.concat(*asked)), F.col("fingerprint").alias("a"), F.col("label").alias("label_a")
     )
-    met = probes.join(table, "bucket").where(near)
+
+
+def _close(distance: int) -> Column:
+    return F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
+
+
+def _pairs(met: DataFrame) -> DataFrame:
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def star_links(prints: DataFrame, distance: int = 4, count: int = 3) -> DataFrame:
+    """Pairs (a, b) of fingerprints close to one of two members of their bucket drawn by hash.
+
+    Two rows a member at most. They hold dense groups of fingerprints together, so that the search
+    for all links can leave out what lies inside such a group.
+    """
+    table = _table(prints.withColumn("label", F.col("fingerprint")), segments(distance, count)).drop("label_b")
+    drawn = table.groupBy("bucket").agg(
+        F.array(F.min_by("b", F.xxhash64("b")), F.max_by("b", F.xxhash64("b"))).alias("centres")
+    )
+    met = table.join(drawn, "bucket").select("b", F.explode(F.array_distinct("centres")).alias("a"))
+    return _pairs(met.where(_close(distance) & (F.col("a") != F.col("b"))))
+
+
+def links(prints: DataFrame, distance: int = 4, count: int = 3) -> DataFrame:
+    """Pairs (a, b) of distinct fingerprints that differ in few bits and in their labels.
+
+    ``prints`` has fingerprint, once each, and may have label (default: the fingerprint, so
+    that all links are found). Every fingerprint stands in the table of each segment under the
+    segment's value. It looks up the values in a small Hamming ball around its own; what it
+    meets is kept if the complete fingerprints are close enough. Members of a bucket's most
+    common label meet the bucket's other members only: a bucket that one label fills is not
+    searched in itself, however large it is.
+    """
+    plan = segments(distance, count)
+    if "label" not in prints.columns:
+        prints = prints.withColumn("label", F.col("fingerprint"))
+    table, probes = _table(prints, plan), _probes(prints, plan)
+    sizes = table.groupBy("bucket", "label_b").agg(F.count(F.lit(1)).alias("n"))
+    common = sizes.groupBy("bucket").agg(F.max_by("label_b", F.struct("n", "label_b")).alias("common"))
+    # Each bucket has two sides: 0 holds all members, 1 those of other labels than the common one.
+    sides = F.when(F.col("label_b") == F.col("common"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    sided = table.join(common, "bucket").select(
+        "bucket", "b", "label_b", F.explode(sides).alias("side")
+    )
+    # Empty buckets drop out here.
+    asking = probes.join(common, "bucket").select(
+        "bucket", "flipped", "a", "label_a", F.when(F.col("label_a") == F.col("common"), 1).otherwise(0).alias("side")
+    )
+    met = asking.join(sided, ["bucket", "side"]).where(
+        (F.col("flipped") | (F.col("a") < F.col("b"))) & (F.col("label_a") != F.col("label_b")) & _close(distance)
+    )
+    return _pairs(met)
+
+
 def near_duplicate_classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, distance: int = 4, count: int = 3
 ) -> DataFrame:
-    """One row per row of ``docs``: key, fingerprint (long), component_id, links.
+    """One row per row of ``docs``: key, fingerprint (long), component_id.
 
     component_id is the least key reachable over links of at most ``distance`` differing
-    bits, the row's own included; links counts the other fingerprints it is linked to. Equal
-    fingerprints are one node, so copies never pair up. A null key joins its class but never
+    bits, the row's own included. Equal fingerprints are one node, so copies never pair
+    up. Links are found in two steps with the same components as all links: stars first, then the
+    links between what the stars left apart. A null key joins its class but never
     names it; a class of null keys alone has a null id. Repeated rows come out repeated.
     ``count`` segments: more shorten the balls, fewer shorten the tables' buckets; segments
     of about log2 of the number of fingerprints are best.
     """
     prints = with_fingerprint(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), shingle=shingle)
     prints = materialize(prints.select("key", "fingerprint"), "simhash")
-    nodes = prints.groupBy("fingerprint").agg(F.min("key").alias("first"))
-    edges = materialize(links(nodes.select("fingerprint"), distance, count), "simhash-links")
-    ends = edges.select(F.explode(F.array("a", "b")).alias("fingerprint"))
-    degree = ends.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("links"))
-    roots = connected_components(edges, "simhash-components").withColumnRenamed("node", "fingerprint")
-    linked = nodes.join(roots, "fingerprint")
-    least = linked.groupBy("root").agg(F.min("first").alias("least"))
-    # Only linked fingerprints need a look-up; the others are classes of their own.
-    named = linked.join(least, "root").select("fingerprint", "least").join(degree, "fingerprint")
-    return (
-        prints.join(nodes, "fingerprint")
-        .join(named, "fingerprint", "left")
-        .select(
-            F.col("key").alias(key),
-            "fingerprint",
-            F.when(F.col("links").isNull(), F.col("first")).otherwise(F.col("least")).alias("component_id"),
-            F.coalesce("links", F.lit(0)).cast("long").alias("links"),
-        )
+    nodes = materialize(prints.groupBy("fingerprint").agg(F.min("key").alias("first")), "simhash-nodes")
+    stars = connected_components(star_links(nodes, distance, count), "simhash-stars")
+    groups = stars.select(F.col("node").alias("fingerprint"), F.col("root").alias("group"))
+    labelled = nodes.join(groups, "fingerprint", "left").select(
+        "fingerprint", "first", F.coalesce("group", "fingerprint").alias("label")
+    )
+    labelled = materialize(labelled, "simhash-groups")
+    found = links(labelled.select("fingerprint", "label"), distance, count)
+    # The links between groups, by the groups' labels.
+    of = labelled.select("fingerprint", "label")
+    ends = found.join(of.toDF("a", "label_a"), "a").join(of.toDF("b", "label_b"), "b")
+    between = ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    roots = connected_components(between, "simhash-components").toDF("label", "root")
+    rooted = labelled.join(roots, "label", "left").select(
+        "fingerprint", "first", F.coalesce("root", "label").alias("root")
     )
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    named = rooted.join(least, "root").select("fingerprint", "component_id")
+    return prints.join(named, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
