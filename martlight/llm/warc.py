@@ -23,7 +23,7 @@ DICTIONARY_MARK = struct.pack("<I", 0xEC30A437)
 FRAME_MARK = struct.pack("<I", 0xFD2FB528)
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-# The dictionary: its size, and the bounded sample of records that it is built from.
+# The dictionary: its size, and the sample of records that it is built from.
 DICTIONARY_BYTES = 112_640
 SAMPLE_RECORDS = 1000
 SAMPLE_BYTES = 16_384
@@ -32,20 +32,25 @@ _HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n
 _BATCH_BYTES = 1 << 25
 
 
-def build_dictionary(pages: DataFrame, key: str, payload: str) -> bytes:
-    """A dictionary from up to SAMPLE_RECORDS records, chosen by the hash of their key.
+def build_dictionary(pages: DataFrame, payload: str) -> bytes:
+    """A dictionary from about SAMPLE_RECORDS different payloads, chosen by their hash.
 
-    Only the first SAMPLE_BYTES of a sampled record are looked at. The sample sets how
-    well records compress and nothing else. Where it is too small to be trained on, its text
-    itself is the dictionary; without records it is empty.
+    The share of hash values that are chosen falls as the table grows; copies are one payload, and
+    never more than twice SAMPLE_RECORDS are fetched, the first SAMPLE_BYTES of each. The
+    sample sets how well records compress and nothing else. Where it is too small to be trained on,
+    its text itself is the dictionary; without records it is empty.
     """
+    share = min(1.0, SAMPLE_RECORDS / max(1, pages.count()))
+    text = F.coalesce(F.col(payload), F.lit(""))
     rows = (
-        pages.select(F.xxhash64(key).alias("order"), F.substring(payload, 1, SAMPLE_BYTES).alias("head"))
-        .orderBy("order", "head")
-        .limit(SAMPLE_RECORDS)
+        pages.select(F.shiftrightunsigned(F.xxhash64(text), 11).alias("hash"), F.substring(text, 1, SAMPLE_BYTES).alias("head"))
+        .where(F.col("hash") < int(share * (1 << 53)))
+        .groupBy("hash")
+        .agg(F.min("head").alias("head"))
+        .limit(2 * SAMPLE_RECORDS)
         .collect()
     )
-    samples = [_HTTP_HEAD + (r["head"] or "").encode() for r in rows]
+    samples = [_HTTP_HEAD + r["head"].encode() for r in sorted(rows)]
     if not samples:
         return b""
     try:
@@ -129,7 +134,7 @@ def write_archives(
     rows = mark_revisits(pages.select(*columns), "key", "payload")
     body = F.when(F.col("first_key").isNull(), F.coalesce("payload", F.lit("")))
     rows = rows.select("key", "url", body.alias("body"), "sha1", "payload_bytes", "first_key")
-    content = build_dictionary(pages, key, payload)
+    content = build_dictionary(pages, payload)
     head = struct.pack("<II", DICTIONARY_FRAME, len(content)) + content
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
