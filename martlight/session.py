@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,6 +37,19 @@ def build_session(app_name: str = "martlight", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster the package is installed or sent along (``--py-files``), and a path that
+    workers don't have does no harm.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the one named by ``spark.checkpoint.dir``.
 
