@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.llm import decontaminate, langid, packing, quality, secrets, sharding, simhash, substring, urlfilter, warc
-from martlight.session import shared_dir
+from martlight.session import share_package, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,7 @@ SHARDS = 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
