@@ -22,23 +22,31 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.union(least.select("a", F.col("root").alias("b"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root that hangs on nothing."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("hangs")).union(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("hangs")).distinct()
+    )
+    nodes = ends.groupBy("node").agg(F.sum("hangs").alias("ups"), F.min("hangs").alias("roots"))
+    return nodes.where("ups > 1 or (ups = 1 and roots = 0)").isEmpty()
+
+
 def connected_components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); root is the least node reachable.
 
     Both stars keep a node's hub as an aggregate, so a hub with very many neighbours is
     joined to its edges and never gathered. Each round is written to the shared folder, and the
-    one before removed; the rounds end when one leaves the edges as they were, after about the logarithm of the
-    longest path. No edges: no rows.
+    one before removed; the rounds end when every node hangs on a root, after about the
+    logarithm of the longest path. Repeated edges and loops do no harm. No edges: no rows.
     """
     rows = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    rows, path = store(rows.distinct(), purpose)
-    before = None
-    while True:
-        sign = rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if sign == before:
-            return rows.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-                rows.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            )
-        before, last = sign, path
-        rows, path = store(_small_star(_large_star(rows).distinct()), purpose)
+    rows, path = store(rows, purpose)
+    settled = rows.isEmpty()
+    while not settled:
+        last = path
+        rows, path = store(_small_star(_large_star(rows)), purpose)
         remove(edges.sparkSession, last)
+        settled = _settled(rows)
+    return rows.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        rows.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    )

@@ -118,14 +118,10 @@ def _close(distance: int) -> Column:
     return F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
 
 
-def _pairs(met: DataFrame) -> DataFrame:
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def star_links(prints: DataFrame, distance: int = 4, count: int = 3) -> DataFrame:
-    """Pairs (a, b) of fingerprints close to one of two members of their bucket drawn by hash.
+    """Pairs (a, b) of fingerprints b close to a, one of two members of their bucket drawn by hash.
 
-    Two rows a member at most. They hold dense groups of fingerprints together, so that the search
+    Two rows a member and segment at most. They hold dense groups of fingerprints together, so that the search
     for all links can leave out what lies inside such a group.
     """
     table = _table(prints.withColumn("label", F.col("fingerprint")), segments(distance, count)).drop("label_b")
@@ -133,11 +129,11 @@ def star_links(prints: DataFrame, distance: int = 4, count: int = 3) -> DataFram
         F.array(F.min_by("b", F.xxhash64("b")), F.max_by("b", F.xxhash64("b"))).alias("centres")
     )
     met = table.join(drawn, "bucket").select("b", F.explode(F.array_distinct("centres")).alias("a"))
-    return _pairs(met.where(_close(distance) & (F.col("a") != F.col("b"))))
+    return met.where(_close(distance) & (F.col("a") != F.col("b")))
 
 
 def links(prints: DataFrame, distance: int = 4, count: int = 3) -> DataFrame:
-    """Pairs (a, b) of distinct fingerprints that differ in few bits and in their labels.
+    """(a, b, label_a, label_b): pairs of fingerprints that differ in few bits and in their labels.
 
     ``prints`` has fingerprint, once each, and may have label (default: the fingerprint, so
     that all links are found). Every fingerprint stands in the table of each segment under the
@@ -145,6 +141,7 @@ def links(prints: DataFrame, distance: int = 4, count: int = 3) -> DataFrame:
     meets is kept if the complete fingerprints are close enough. Members of a bucket's most
     common label meet the bucket's other members only: a bucket that one label fills is not
     searched in itself, however large it is.
+    A pair may come once for each segment.
     """
     plan = segments(distance, count)
     if "label" not in prints.columns:
@@ -164,7 +161,7 @@ def links(prints: DataFrame, distance: int = 4, count: int = 3) -> DataFrame:
     met = asking.join(sided, ["bucket", "side"]).where(
         (F.col("flipped") | (F.col("a") < F.col("b"))) & (F.col("label_a") != F.col("label_b")) & _close(distance)
     )
-    return _pairs(met)
+    return met.select("a", "b", "label_a", "label_b")
 
 
 def near_duplicate_classes(
@@ -189,12 +186,11 @@ def near_duplicate_classes(
         "fingerprint", "first", F.coalesce("group", "fingerprint").alias("label")
     )
     labelled = materialize(labelled, "simhash-groups")
-    found = links(labelled.select("fingerprint", "label"), distance, count)
     # The links between groups, by the groups' labels.
-    of = labelled.select("fingerprint", "label")
-    ends = found.join(of.toDF("a", "label_a"), "a").join(of.toDF("b", "label_b"), "b")
-    between = ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-    roots = connected_components(between, "simhash-components").toDF("label", "root")
+    between = links(labelled.select("fingerprint", "label"), distance, count).select(
+        F.least("label_a", "label_b").alias("a"), F.greatest("label_a", "label_b").alias("b")
+    )
+    roots = connected_components(between.distinct(), "simhash-components").toDF("label", "root")
     rooted = labelled.join(roots, "label", "left").select(
         "fingerprint", "first", F.coalesce("root", "label").alias("root")
     )
