@@ -122,6 +122,6 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _union(counts)
 
 
-def preview(df: DataFrame, rows: int = 5) -> DataFrame:
-    """A few rows to look at."""
-    return df.limit(rows)
+def preview(df: DataFrame, rows: int = 5, *order_by: str) -> DataFrame:
+    """A few rows to look at: any, or the first by ``order_by``."""
+    return (df.orderBy(*order_by) if order_by else df).limit(rows)

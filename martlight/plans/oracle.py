@@ -520,6 +520,8 @@ UNION ALL SELECT 'dim_discount', count(*) FROM dim_discount
 UNION ALL SELECT 'fact_order', count(*) FROM lineitem
 UNION ALL SELECT 'fact_event', count(*) FROM fact_event
 UNION ALL SELECT 'dim_time', count(*) FROM calendar"""
+    sql["user_preview"] = f"""
+WITH {_DIM_USER} SELECT user_id, user_name, country FROM dim_user ORDER BY user_id LIMIT 5"""
     sql["csv_to_warehouse"] = f"""
 WITH {_FACT_ORDER}
 SELECT order_id, user_id, product_id, discount_id, time_id, vendor_id, quantity,

@@ -475,6 +475,10 @@ def table_profile(w: TestdataWarehouse) -> DataFrame:
     return quality.table_profile(tables)
 
 
+def user_preview(w: TestdataWarehouse) -> DataFrame:
+    return quality.preview(w.table("dim_user", "user_id", "user_name", "country"), 5, "user_id")
+
+
 # --- warehouse ------------------------------------------------------------------------
 
 
@@ -684,6 +688,7 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     check_audit,
     discount_rate,
     table_profile,
+    user_preview,
     csv_to_warehouse,
     csv_to_warehouse_user,
     csv_to_warehouse_product,
