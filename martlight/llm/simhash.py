@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.columns import LOWER_BYTES
+from martlight.llm.columns import LOWER_BYTES, fresh, text_key
 from martlight.llm.components import connected_components
 from martlight.session import materialize
 
@@ -199,14 +199,24 @@ def near_duplicate_classes(
     return prints.join(named, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    classes: Callable[..., DataFrame] = near_duplicate_classes,
+    **options,
+) -> DataFrame:
     """``docs`` with one row of each class, that of the least key; rows with a null key stay.
 
-    Of several rows with the least key one stays: the one of the least text.
+    Of several texts with the least key in one class, that of the least text key stays, and of its
+    rows the least one. A key that repeats in different classes stands for each of them.
+    ``classes`` finds them, by a key and a text.
     """
-    classes = near_duplicate_classes(docs, key, **options)
-    kept = classes.where(F.col(key) == F.col("component_id")).select(key).distinct()
-    named = docs.join(kept, key)
-    rest = [c for c in docs.columns if c != key]
-    one = named.groupBy(key).agg(F.min(F.struct(*rest)).alias("row")) if rest else named
-    return one.select(key, "row.*").select(*docs.columns).union(docs.where(F.col(key).isNull()))
+    row_id = fresh(docs, "row_id")
+    # Names a row whose key repeats with another text.
+    own = F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("key"), *text_key(F.col(text))))
+    named = docs.withColumn(row_id, own)
+    found = classes(named, row_id, text, **options)
+    kept = found.where(F.col(row_id) == F.col("component_id")).select(row_id).distinct()
+    one = named.join(kept, row_id).groupBy(row_id).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return one.select("row.*").union(docs.where(F.col(key).isNull()))
