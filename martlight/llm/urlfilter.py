@@ -9,14 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlight.llm.columns import ascii_lower
-from martlight.session import materialize
+from martlight.session import materialize, remove, store
 
 # Masses are whole numbers, so sums don't depend on their order.
 TOTAL_MASS = 10**15
 FOLLOW_PERCENT = 85
+# Rounds of the SQL counterpart, which can't loop.
 ROUNDS = 8
 # Rounds between two stored rank tables.
 STORE_ROUNDS = 4
+# Masses have settled when so many rounds add no more than this to all of them, and reach no further host.
+TOLERANCE = 10**6
 # A host is blocked from this share of distrust in its trust and distrust on.
 BLOCK_PERCENT = 50
 
@@ -71,7 +74,7 @@ def link_edges(pages: DataFrame) -> DataFrame:
 
 
 def propagate(
-    seeds: DataFrame, edges: DataFrame, rounds: int = ROUNDS, follow: int = FOLLOW_PERCENT
+    seeds: DataFrame, edges: DataFrame, rounds: int | None = None, follow: int = FOLLOW_PERCENT
 ) -> DataFrame:
     """(host, trust, distrust) of the hosts that seeds reach.
 
@@ -79,7 +82,11 @@ def propagate(
     PageRank runs from the allowed ones along links, and from the blocked ones against them: who
     links to a blocked host is suspect. A host keeps (100 - follow) percent of what its own seed is
     worth and hands ``follow`` percent of its mass on in equal parts; what it can't
-    hand on is lost. Both totals are TOTAL_MASS.
+    hand on is lost. Both totals are TOTAL_MASS, and what falls below one unit on its way ends there.
+
+    Without ``rounds`` masses grow from what the seeds keep until they settle: no round takes
+    any away, so the sum and the number of hosts show the change. ``rounds`` runs just
+    so many from the seeds' whole mass.
     """
     kinds = [("trust", "allowed", "source", "target"), ("distrust", "blocked", "target", "source")]
     starts = ways = None
@@ -96,14 +103,31 @@ def propagate(
         ways = way if ways is None else ways.union(way)
     starts, ways = materialize(starts, "seeds"), materialize(ways, "links")
     kept = starts.withColumn("mass", F.expr(f"mass * {100 - follow} div 100"))
-    ranks = starts
-    for n in range(1, rounds + 1):
+
+    def following(ranks: DataFrame) -> DataFrame:
         handed = ranks.join(ways, ["kind", "host"]).select(
             "kind", F.col("next").alias("host"), F.expr(f"mass * {follow} div 100 div degree").alias("mass")
         )
-        ranks = handed.union(kept).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
-        if n % STORE_ROUNDS == 0:
-            ranks = materialize(ranks, "ranks")
+        return handed.where("mass > 0").union(kept).groupBy("kind", "host").agg(F.sum("mass").alias("mass"))
+
+    ranks = kept if rounds is None else starts
+    if rounds is None:
+        path, last = None, ranks.agg(F.sum("mass"), F.count(F.lit(1))).first()
+        settled = not last[1]
+        while not settled:
+            before = path
+            for _ in range(STORE_ROUNDS):
+                ranks = following(ranks)
+            ranks, path = store(ranks, "ranks")
+            if before:
+                remove(seeds.sparkSession, before)
+            now = ranks.agg(F.sum("mass"), F.count(F.lit(1))).first()
+            settled, last = now[0] - last[0] <= TOLERANCE and now[1] == last[1], now
+    else:
+        for n in range(1, rounds + 1):
+            ranks = following(ranks)
+            if n % STORE_ROUNDS == 0:
+                ranks = materialize(ranks, "ranks")
     return ranks.groupBy("host").agg(
         *[F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("mass"))), F.lit(0)).alias(k) for k, *_ in kinds]
     )
@@ -116,7 +140,7 @@ def judge_urls(
     url: str = "url",
     html: str = "html",
     block_percent: int = BLOCK_PERCENT,
-    rounds: int = ROUNDS,
+    rounds: int | None = None,
 ) -> DataFrame:
     """(key, host, path, rule, verdict, trust, distrust), a row for every page.
 
