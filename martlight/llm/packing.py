@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -15,6 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
+from tokenizers import Tokenizer
 
 from martlight.session import materialize
 
@@ -33,12 +35,16 @@ class Encoder:
     """Ids of a byte-level BPE vocabulary, as little-endian unsigned 32-bit bytes.
 
     The ``.tiktoken`` file holds the vocabulary of the ``.json`` of the same name, so ids are
-    those of both libraries; strings of special tokens are ordinary text. A single space
+    those of both libraries. A single space
     between two other characters always starts a token of its own, so words are encoded apart
     and remembered; texts with other space next to a space are encoded whole.
     """
 
     def __init__(self, vocabulary: str):
+        self._json = public_tokenizers.path(vocabulary.replace(".tiktoken", ".json"))
+        with open(self._json, encoding="utf-8") as file:
+            self._added = [t["content"] for t in json.load(file).get("added_tokens") or []]
+        self._tokenizer: Tokenizer | None = None
         with open(public_tokenizers.path(vocabulary), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self._whole = tiktoken.Encoding(
@@ -55,7 +61,16 @@ class Encoder:
             self._known[word] = ids
         return ids
 
+    def document_ids(self, text: str) -> bytes:
+        """The ids that ``tokenizers`` gives with add_special_tokens=False: an added token in the text is one id."""
+        if not any(t in text for t in self._added):
+            return self.ids(text)
+        if self._tokenizer is None:
+            self._tokenizer = Tokenizer.from_file(self._json)
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def ids(self, text: str) -> bytes:
+        """The ids of a text in which strings of added tokens are ordinary text."""
         if text[:1] == " " or text[-1:] == " " or _MIXED_SPACE.search(text):
             return self._encode(text)
         first, *rest = text.split(" ")
@@ -111,7 +126,7 @@ def token_pieces(
                 return pa.RecordBatch.from_arrays([keys.take(pa.array(row)), *arrays], names=schema.names)
 
             for row, value in enumerate(batch.column("text")):
-                ids = encoder.ids(value.as_py() or "") + end
+                ids = encoder.document_ids(value.as_py() or "") + end
                 total = len(ids) // 4
                 stops = range(total % longest or longest, total + 1, longest) if total > longest else (total,)
                 start = 0
