@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from martlight.llm.clustering import CENTROIDS, DIMENSIONS, SCALE, SEED
+from martlight.llm.clustering import ROUNDS as CLUSTER_ROUNDS
 from martlight.llm.decontaminate import WINDOW_WORDS as ITEM_WINDOW
 from martlight.llm.queries import URL_RULES
 from martlight.llm.quality import (
@@ -179,10 +181,52 @@ FROM ruled LEFT JOIN scores USING (host)
 """
 
 
+def _clusters() -> str:
+    """Every distance to every centroid, in whole numbers; the rounds are written out one after another."""
+    steps = []
+    for n in range(CLUSTER_ROUNDS + 1):
+        steps.append(
+            f"""near{n} AS MATERIALIZED (
+  SELECT r, min(ROW(d, number)) AS best FROM (
+    SELECT r, number, list_sum(list_transform(range(1, {DIMENSIONS + 1}), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS d
+    FROM kept, centroids{n}) GROUP BY r)"""
+        )
+        if n < CLUSTER_ROUNDS:
+            steps.append(
+                f"""sums{n} AS (
+  SELECT number, i, sum(x[i]) AS s, count(*) AS n
+  FROM (SELECT r, best[2] AS number FROM near{n}) JOIN kept USING (r), unnest(range(1, {DIMENSIONS + 1})) AS u(i)
+  GROUP BY number, i
+), means{n} AS (
+  SELECT number, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m FROM sums{n} GROUP BY number
+), centroids{n + 1} AS MATERIALIZED (
+  SELECT number, coalesce(m, c) AS c FROM centroids{n} LEFT JOIN means{n} USING (number))"""
+            )
+    last = CLUSTER_ROUNDS
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+         list_transform(embedding, lambda e: CAST(floor(CAST(e AS DOUBLE) * {SCALE}) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE len(embedding) = {DIMENSIONS} AND len(list_filter(embedding, lambda e: isfinite(e))) = {DIMENSIONS}
+), centroids0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, x) - 1 AS number, x AS c
+  FROM (SELECT x, sha256('{SEED}:' || CAST(vec_id AS VARCHAR)) AS h FROM kept ORDER BY h NULLS LAST, x LIMIT {CENTROIDS})
+), {", ".join(steps)}, found AS (
+  SELECT vec_id, best[2] AS number, CAST(best[1] AS BIGINT) AS distance FROM near{last} JOIN kept USING (r)
+)
+SELECT vec_id, CAST(number AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY number) AS BIGINT) AS cluster_inertia,
+  CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM found JOIN centroids{last} USING (number)
+"""
+
+
 ORACLES = {
     "op2_quality_rules": QUALITY,
     "op3_benchmark_decontamination": DECONTAMINATION,
     "op8_url_filters": _url_filters(),
     "op9_substring_dedup": SUBSTRINGS,
     "op10_warc": WARC,
+    "op12_centroid_clusters": _clusters(),
 }

@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.llm import decontaminate, langid, packing, quality, secrets, sharding, simhash, substring, urlfilter, warc
+from martlight.llm import (
+    clustering,
+    decontaminate,
+    langid,
+    neighbours,
+    packing,
+    periodic,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    substring,
+    urlfilter,
+    warc,
+)
+from martlight.llm.columns import bind, words
 from martlight.session import share_package, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +120,64 @@ def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), lambda key: key % 50 == 0)
+
+
+def centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_vectors(table(spark, sf_dir, "embeddings"))[0]
+
+
+def with_periodic_tails(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with some texts, chosen by their key's checksum, made periodic from some word on."""
+    h = F.crc32(F.col(key).cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def altered(w):
+        n = F.size(w)
+
+        def of(a):
+            period = F.floor((n - a) / (3 + g % 8)) + 1
+
+            def word(i):
+                return F.when(i < a, F.get(w, i)).otherwise(F.get(w, (a + (i - a) % period).cast("int")))
+
+            return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), word), " ")).otherwise(F.col(text))
+
+        return bind(F.when(n > 0, g % n), of)
+
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    return docs.withColumn(text, F.when(chosen, bind(words(F.col(text)), altered)).otherwise(F.col(text)))
+
+
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_periodic_tails(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def longer(a, b):
+        # Compares length / period exactly: numbers of words are far below 2 ** 31.
+        left, right = a["length"] * b["period"], b["length"] * a["period"]
+        return F.when(left == right, (a["start"] < b["start"]) | ((a["start"] == b["start"]) & (a["period"] <= b["period"]))).otherwise(left > right)
+
+    run = "struct<start:bigint,length:bigint,period:bigint>"
+    best = F.aggregate(
+        "runs",
+        F.lit(None).cast(run),
+        lambda found, r: F.when(found.isNull(), r).when(longer(found, r), found).otherwise(r),
+    )
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = periodic.find_runs(docs).withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_simhash_near_dedup": near_dedup,
     "op2_quality_rules": quality_rules,
@@ -116,4 +189,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filters": url_filters,
     "op9_substring_dedup": substring_dedup,
     "op10_warc": warc_archives,
+    "op11_nearest_neighbours": nearest_neighbours,
+    "op12_centroid_clusters": centroid_clusters,
+    "op13_periodic_runs": periodic_runs,
 }
