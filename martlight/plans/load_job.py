@@ -8,7 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import SparkSession
 
 from martlight.session import build_session
-from martlight.sources.csv_files import load_csv
+from martlight.sources.csv_files import load_csv, read_csv
+from martlight.sources.ledger import LoadLedger, source_id
 from martlight.sources.warehouse import create_database, register_external
 
 # Tables that arrive as files; the others are produced by jobs.
@@ -30,15 +31,24 @@ def run(
     database: str,
     tables: Iterable[str] = CSV_TABLES,
     replace_all: bool = True,
+    once: bool = False,
 ) -> None:
     """Load ``csv_dir``/<table>.csv of each table and register it.
 
+    With ``once`` loads go through the ledger: files that were loaded are not loaded again, rows are
+    staged and checked first, and a load that died is undone; partitions that no file has stay.
+
     Without ``replace_all`` partitioned tables keep the partitions that no file has; the others
     are replaced all the same, so that new facts never meet old dimensions.
     """
     create_database(spark, database)
+    ledger = LoadLedger(spark, warehouse_path)
     for name in tables:
-        load_csv(spark, f"{csv_dir.rstrip('/')}/{name}.csv", name, warehouse_path, replace_all)
+        files = f"{csv_dir.rstrip('/')}/{name}.csv"
+        if once:
+            ledger.load(read_csv(spark, files, name), name, source_id(spark, files))
+        else:
+            load_csv(spark, files, name, warehouse_path, replace_all)
         register_external(spark, database, name, f"{warehouse_path.rstrip('/')}/{name}")
 
 
@@ -48,6 +58,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("warehouse_path")
     parser.add_argument("--database", default="retail")
     parser.add_argument("--only-new-partitions", action="store_true")
+    parser.add_argument("--once", action="store_true")
     args = parser.parse_args(argv)
     run(
         build_session("load"),
@@ -55,6 +66,7 @@ def main(argv: list[str] | None = None) -> None:
         args.warehouse_path,
         args.database,
         replace_all=not args.only_new_partitions,
+        once=args.once,
     )
 
 

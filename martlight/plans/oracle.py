@@ -586,6 +586,17 @@ UNION ALL SELECT 'unit_price', count(*) FROM part WHERE p_partkey % 5 = 0"""
 WITH {_DIM_USER}
 SELECT country, CASE WHEN country = 'ASIA' THEN 8 ELSE vip_level END AS vip_level, count(*) AS users
 FROM dim_user WHERE country <> 'EUROPE' GROUP BY 1, 2"""
+    sql["partition_load_names"] = f"""
+WITH {_DIM_USER}
+SELECT CASE country WHEN 'ASIA' THEN 'A/B' WHEN 'AFRICA' THEN 'c:d' WHEN 'AMERICA' THEN 'a=b' ELSE country END AS country,
+  CAST(CASE country WHEN 'ASIA' THEN 20 WHEN 'AFRICA' THEN 21 WHEN 'AMERICA' THEN 22 ELSE vip_level END AS INTEGER) AS vip_level,
+  count(*) AS users
+FROM dim_user WHERE country <> 'EUROPE' GROUP BY 1, 2"""
+    sql["ledger_load"] = f"""
+WITH {_DIM_USER}
+SELECT country, CASE WHEN country = 'ASIA' THEN 8 ELSE vip_level END AS vip_level, count(*) AS users,
+  CAST(2 AS BIGINT) AS loads
+FROM dim_user GROUP BY 1, 2"""
     sql["score_writeback_rule"] = f"""
 WITH {_ALL_USERS}
 SELECT user_id, label AS is_high_risk, label AS risk_score, DATE '2001-08-02' AS scoring_date FROM user_labelled"""

@@ -26,6 +26,7 @@ from martlight.plans import load_job, user_risk_job, vendor_performance_job
 from martlight.schemas import TABLES
 from martlight.session import hadoop_path, materialize, shared_dir
 from martlight.sources.csv_files import load_csv, read_csv, reject_counts, rejects, write_csv
+from martlight.sources.ledger import LoadLedger, source_id
 from martlight.sources.testdata import (
     DEMAND_SINCE,
     EVENTS_AS_OF,
@@ -592,6 +593,63 @@ def partition_load(w: TestdataWarehouse) -> DataFrame:
     return counted.groupBy("country", "vip_level").agg(F.count(F.lit(1)).alias("users"))
 
 
+# Names whose folders Spark escapes.
+ODD_NAMES = {"ASIA": "A/B", "EUROPE": "50%", "AFRICA": "c:d", "AMERICA": "a=b"}
+
+
+def partition_load_names(w: TestdataWarehouse) -> DataFrame:
+    """Named partitions whose values don't do as folder names: three replaced, one emptied."""
+    base = shared_dir(w.spark, "odd-partitions")
+    names = F.create_map(*[F.lit(x) for pair in ODD_NAMES.items() for x in pair])
+    users = w.table("dim_user").withColumn("country", F.coalesce(names[F.col("country")], "country"))
+    write_files(users, "dim_user", base)
+    for level, country in enumerate(("A/B", "c:d", "a=b"), 20):
+        rows = users.where(F.col("country") == country).withColumn("vip_level", F.lit(level))
+        load_partition(rows, "dim_user", base, country=country)
+    load_partition(users.where("false"), "dim_user", base, country="50%")
+    counted = Warehouse(w.spark, path=base).table("dim_user", "country", "vip_level")
+    return counted.groupBy("country", "vip_level").agg(F.count(F.lit(1)).alias("users"))
+
+
+class _Killed(Exception):
+    pass
+
+
+def ledger_load(w: TestdataWarehouse) -> DataFrame:
+    """Users loaded from files, the same files again, a load that dies between two countries, then one of Asia alone."""
+    base = shared_dir(w.spark, "ledger")
+    users = w.table("dim_user")
+    versions = {
+        "first": users,
+        "dying": users.withColumn("vip_level", F.lit(9)),
+        "asia": users.where("country = 'ASIA'").withColumn("vip_level", F.lit(8)),
+    }
+    for version, rows in versions.items():
+        write_csv(rows, f"{base}/csv/{version}")
+
+    def load(version: str, moved=None) -> None:
+        files = f"{base}/csv/{version}"
+        rows = read_csv(w.spark, files, "dim_user")
+        LoadLedger(w.spark, f"{base}/warehouse").load(
+            rows, "dim_user", source_id(w.spark, files), versions[version].count(), moved
+        )
+
+    def die(partition: str) -> None:
+        raise _Killed(partition)
+
+    load("first")
+    load("first")
+    try:
+        load("dying", die)
+    except _Killed:
+        pass
+    load("asia")
+    ledger = LoadLedger(w.spark, f"{base}/warehouse")
+    done = ledger.loads("dim_user").where("state = 'loaded'").agg(F.count(F.lit(1)).alias("n"))
+    counted = ledger.table("dim_user", "country", "vip_level").groupBy("country", "vip_level")
+    return counted.agg(F.count(F.lit(1)).alias("users")).withColumn("loads", done.scalar())
+
+
 def parquet_dim_time(w: TestdataWarehouse) -> DataFrame:
     base = shared_dir(w.spark, "dim-time")
     write_files(build_dim_time(w), "dim_time", base)
@@ -702,6 +760,8 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     csv_lists,
     csv_rejects,
     partition_load,
+    partition_load_names,
+    ledger_load,
     parquet_dim_time,
     partition_replace,
     bucketed_join,

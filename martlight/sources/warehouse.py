@@ -76,6 +76,15 @@ def replace_partitions(df: DataFrame, name: str, path: str) -> None:
     writer.save(f"{path.rstrip('/')}/{name}")
 
 
+def partition_folder(spark: SparkSession, name: str, **partition: object) -> str:
+    """The folder of a partition below its table, as Spark names it: values cast and escaped."""
+    spec = TABLES[name]
+    cast = [F.lit(partition[c]).cast(spec.schema[c].dataType).cast("string").alias(c) for c in spec.partition_by]
+    values = spark.range(1).select(*cast).first()
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join(named(c, values[c]) for c in spec.partition_by)
+
+
 def load_partition(df: DataFrame, name: str, path: str, **partition: object) -> None:
     """Replace one named partition by ``df``, which may be empty; a row that belongs elsewhere is an error."""
     spec = TABLES[name]
@@ -88,11 +97,10 @@ def load_partition(df: DataFrame, name: str, path: str, **partition: object) ->
         inside = inside & F.col(column).eqNullSafe(value)
     if not rows.where(~inside).isEmpty():
         raise ValueError(f"rows outside partition {partition} of {name}")
-    folder = "/".join(f"{c}={v}" for c, v in partition.items())
     writer = rows.drop(*partition).write.format(spec.file_format).mode("overwrite")
     if spec.file_format == "orc":
         writer = writer.option("compression", "zlib")
-    writer.save(f"{path.rstrip('/')}/{name}/{folder}")
+    writer.save(f"{path.rstrip('/')}/{name}/{partition_folder(df.sparkSession, name, **partition)}")
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
