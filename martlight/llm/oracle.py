@@ -7,7 +7,6 @@ from martlight.llm.clustering import ROUNDS as CLUSTER_ROUNDS
 from martlight.llm.decontaminate import WINDOW_WORDS as ITEM_WINDOW
 from martlight.llm.queries import URL_RULES
 from martlight.llm.quality import (
-    LONG_WORD,
     MAX_LINE_PERCENT,
     MAX_REPEAT_PERCENT,
     MIN_LINE_DOCUMENTS,
@@ -40,14 +39,12 @@ WITH docs AS (
 ), lines AS (
   SELECT r, host, l AS raw, {_LOWER.format(f"trim(regexp_replace(l, '{_SPACES}+', ' ', 'g'))")} AS line
   FROM docs, unnest(string_split(t, chr(10))) AS s(l) WHERE regexp_matches(l, '[^ \t\n\x0b\x0c\r]')
-), signs AS (
-  SELECT r, host, coalesce(list_min([md5(x) FOR x IN w IF length(x) >= {LONG_WORD}]),
-                           list_min([md5(x) FOR x IN w]), '') AS sign
-  FROM docs
+), texts AS (
+  SELECT min(r) AS r, host FROM docs GROUP BY host, t
 ), counted AS (
-  SELECT host, line, count(DISTINCT sign) AS n FROM lines JOIN signs USING (r, host) GROUP BY host, line
+  SELECT host, line, count(DISTINCT r) AS n FROM lines SEMI JOIN texts USING (r, host) GROUP BY host, line
 ), frequent AS (
-  SELECT host, line FROM counted JOIN (SELECT host, count(DISTINCT sign) AS m FROM signs GROUP BY host) USING (host)
+  SELECT host, line FROM counted JOIN (SELECT host, count(*) AS m FROM texts GROUP BY host) USING (host)
   WHERE n > {MIN_LINE_DOCUMENTS} AND n * 100 > m * {MAX_LINE_PERCENT}
 ), removed AS (
   SELECT r, sum(len(string_split(line, ' '))) AS n FROM lines JOIN frequent USING (host, line) GROUP BY r
@@ -68,23 +65,54 @@ SELECT *, NOT base_failed AND words_left >= {MIN_WORDS} AS kept FROM judged
 
 _ITEM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+
+
+def _levels(source: str, width: int) -> str:
+    """Steps from ``source`` (r, i, h1: a row's words) to keys of 2, 4, ... words, up to ``width``; the last is named ``keyed``."""
+    steps, n, before = [], 1, source
+    while 2 * n <= width:
+        name = "keyed" if 4 * n > width else f"{source}_{2 * n}"
+        steps.append(
+            f"""{name} AS (
+  SELECT *, md5(h{n} || ' ' || lead(h{n}, {n}) OVER (PARTITION BY r ORDER BY i)) AS h{2 * n} FROM {before})"""
+        )
+        before, n = name, 2 * n
+    return ", ".join(steps)
+
+
+def _window(width: int) -> str:
+    """The key of ``width`` words from a place on: two overlapping keys of a power of two."""
+    n = 1 << width.bit_length() - 1
+    return f"h{n} || lead(h{n}, {width - n}) OVER (PARTITION BY r ORDER BY i)" if width > n else f"h{n}"
+
+
+_SIZES = range(1, ITEM_WINDOW + 1)
+# Documents and items are one table, items with negative numbers, so that both get their keys alike.
 DECONTAMINATION = rf"""
-WITH docs AS (
+WITH docs AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id,
          regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ITEM_WORD}') AS w
   FROM documents
-), items AS (
-  SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ITEM_WORD}') AS w FROM benchmark
-), phrases AS (
-  SELECT DISTINCT item_id, least(len(w), {ITEM_WINDOW}) AS n, array_to_string(w[i:i + {ITEM_WINDOW - 1}], ' ') AS k
-  FROM items, unnest(range(1, greatest(len(w) - {ITEM_WINDOW - 2}, 2))) AS s(i) WHERE len(w) > 0
-), sizes AS (SELECT DISTINCT n FROM phrases), windows AS (
-  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
-  FROM docs, sizes, unnest(range(1, len(w) - n + 2)) AS s(i) WHERE len(w) >= n
-), met AS (
-  SELECT r, i, n, item_id FROM windows JOIN phrases USING (n, k)
+), items AS MATERIALIZED (
+  SELECT -row_number() OVER () AS r, item_id,
+         regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_ITEM_WORD}') AS w FROM benchmark
+), places AS (
+  SELECT r, len(w) AS size, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS h1
+  FROM (SELECT r, w FROM docs UNION ALL SELECT r, w FROM items)
+), {_levels("places", ITEM_WINDOW)}, windows AS MATERIALIZED (
+  SELECT r, i, size, {", ".join(f"{_window(n)} AS k{n}" for n in _SIZES)} FROM keyed
+), phrases AS MATERIALIZED (
+  SELECT DISTINCT item_id, n, CASE n {" ".join(f"WHEN {n} THEN k{n}" for n in _SIZES)} END AS k
+  FROM (SELECT *, least(size, {ITEM_WINDOW}) AS n FROM windows WHERE r < 0) JOIN items USING (r) WHERE i + n - 1 <= size
+), met AS MATERIALIZED (
+  {" UNION ALL ".join(
+      f"SELECT r, i, {n} AS n, item_id FROM windows JOIN phrases ON phrases.n = {n} AND k = k{n} WHERE r > 0 AND i + {n - 1} <= size"
+      for n in _SIZES)}
+), reach AS (
+  SELECT r, i, max(upto) OVER (PARTITION BY r ORDER BY i) AS upto
+  FROM (SELECT r, i FROM windows WHERE r > 0) LEFT JOIN (SELECT r, i, max(i + n) AS upto FROM met GROUP BY r, i) USING (r, i)
 ), hits AS (
-  SELECT r, count(DISTINCT i + d) AS n_hit FROM met, unnest(range(0, n)) AS s(d) GROUP BY r
+  SELECT r, count(*) AS n_hit FROM reach WHERE upto > i GROUP BY r
 ), names AS (
   SELECT r, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS list
   FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS x FROM met WHERE item_id IS NOT NULL) GROUP BY r
@@ -95,16 +123,21 @@ FROM docs LEFT JOIN hits USING (r) LEFT JOIN names USING (r)
 """
 
 SUBSTRINGS = rf"""
-WITH docs AS (
+WITH docs AS MATERIALIZED (
   SELECT row_number() OVER () AS r, doc_id, {_words("text")} AS w FROM documents
-), windows AS (
-  SELECT r, doc_id, i, md5(array_to_string(w[i:i + {WINDOW_WORDS - 1}], ' ')) AS k
-  FROM docs, unnest(range(1, len(w) - {WINDOW_WORDS - 2})) AS s(i) WHERE len(w) >= {WINDOW_WORDS}
-), firsts AS (SELECT k, min(doc_id) AS first FROM windows GROUP BY k), gone AS (
-  SELECT DISTINCT r, i + d AS i FROM windows JOIN firsts USING (k), unnest(range(0, {WINDOW_WORDS})) AS s(d)
-  WHERE first < doc_id OR (first IS NOT NULL AND doc_id IS NULL)
-), places AS (SELECT r, i, w[i] AS x FROM docs, unnest(range(1, len(w) + 1)) AS s(i)), kept AS (
-  SELECT r, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS t FROM places ANTI JOIN gone USING (r, i) GROUP BY r
+), places AS (
+  SELECT r, doc_id, len(w) AS size, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS h1 FROM docs
+), {_levels("places", WINDOW_WORDS)}, windows AS MATERIALIZED (
+  SELECT r, doc_id, i, h1, CASE WHEN i + {WINDOW_WORDS - 1} <= size THEN {_window(WINDOW_WORDS)} END AS k FROM keyed
+), firsts AS (
+  SELECT k, min(doc_id) AS first FROM windows WHERE k IS NOT NULL GROUP BY k
+), marked AS (
+  SELECT r, i, h1, CASE WHEN first < doc_id OR (first IS NOT NULL AND doc_id IS NULL) THEN i + {WINDOW_WORDS} END AS upto
+  FROM windows LEFT JOIN firsts USING (k)
+), reach AS (
+  SELECT r, i, h1, max(upto) OVER (PARTITION BY r ORDER BY i) AS upto FROM marked
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(h1, ' ' ORDER BY i) AS t FROM reach WHERE upto IS NULL OR upto <= i GROUP BY r
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(t, '')) AS kept_sha256

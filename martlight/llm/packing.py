@@ -29,6 +29,9 @@ _CACHE_WORDS = 300_000
 _BATCH_BYTES = 1 << 25
 
 _MIXED_SPACE = re.compile(r" \s|\s ")
+# The fast library's patterns run out of stack on far longer runs of white space.
+_LONG_SPACE = 10_000
+_MUCH_SPACE = re.compile(rf"\s{{{_LONG_SPACE}}}")
 
 
 class Encoder:
@@ -62,8 +65,11 @@ class Encoder:
         return ids
 
     def document_ids(self, text: str) -> bytes:
-        """The ids that ``tokenizers`` gives with add_special_tokens=False: an added token in the text is one id."""
-        if not any(t in text for t in self._added):
+        """The ids that ``tokenizers`` gives with add_special_tokens=False: an added token in the text is one id.
+
+        Texts with added tokens or with very long white space are encoded by that library itself.
+        """
+        if not any(t in text for t in self._added) and not (len(text) >= _LONG_SPACE and _MUCH_SPACE.search(text)):
             return self.ids(text)
         if self._tokenizer is None:
             self._tokenizer = Tokenizer.from_file(self._json)

@@ -14,8 +14,6 @@ REPEAT_WINDOW = 8
 # A line is boilerplate if more documents of its host have it than both limits allow.
 MIN_LINE_DOCUMENTS = 20
 MAX_LINE_PERCENT = 2
-# Words of this length tell documents apart better than the common short ones.
-LONG_WORD = 8
 
 _SYMBOLS = "#*$%&|<>"
 _TEXT_KEY = ["text_key_1", "text_key_2"]
@@ -67,18 +65,10 @@ def repeated_words(hashes: Column, width: int = REPEAT_WINDOW) -> Column:
     return F.when(F.size(hashes) < width, F.lit(0).cast("long")).otherwise(bind(window(hashes), counted))
 
 
-def document_sign(parts: Column) -> Column:
-    """A word that stands for a document: of its long words, or else of all, the one of the least hash.
-
-    Copies, near copies too but for the few whose sign was edited, have the same sign;
-    unrelated documents seldom do.
-    """
-    least = F.array_min(F.transform(F.filter(parts, lambda w: F.length(w) >= LONG_WORD), lambda w: F.md5(w)))
-    return F.coalesce(least, F.array_min(F.transform(parts, lambda w: F.md5(w))), F.lit(""))
-
-
 def text_facts(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
-    """Add ``facts``: the base counts, host, text key, sign and lines (hash, words) of each text.
+    """Add ``facts``: the base counts, host, text key and lines (hash, words, first) of each text.
+
+    Lines are ordered by hash; ``first`` is 1 for one of equal lines and 0 for the others.
 
     All in one pass over the text. A null text is empty; a null host is the host "".
     """
@@ -90,7 +80,6 @@ def text_facts(docs: DataFrame, text: str = "text", host: str = "source") -> Dat
             F.size(parts).cast("long").alias("n_words"),
             F.aggregate(parts, F.lit(0).cast("long"), lambda n, w: n + F.length(w)).alias("word_chars"),
             bind(hashes, repeated_words).alias("n_repeat_words"),
-            document_sign(parts).alias("sign"),
         )
 
     def of_lines(lines: Column) -> Column:
@@ -98,9 +87,16 @@ def text_facts(docs: DataFrame, text: str = "text", host: str = "source") -> Dat
             spaces = F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))
             return F.struct(F.xxhash64(line).alias("line"), (spaces + 1).alias("words"))
 
+        def marked(sorted_lines: Column) -> Column:
+            def mark(x: Column, i: Column) -> Column:
+                again = F.coalesce(F.get(sorted_lines, i - 1)["line"] == x["line"], F.lit(False))
+                return F.struct(x["line"].alias("line"), x["words"].alias("words"), F.when(again, 0).otherwise(1).alias("first"))
+
+            return F.transform(sorted_lines, mark)
+
         return F.struct(
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-            F.transform(F.transform(lines, normal_line), entry).alias("lines"),
+            bind(F.sort_array(F.transform(F.transform(lines, normal_line), entry)), marked).alias("lines"),
         )
 
     return docs.withColumn(
@@ -115,17 +111,18 @@ def text_facts(docs: DataFrame, text: str = "text", host: str = "source") -> Dat
     )
 
 
-def frequent_lines(lines: DataFrame, min_documents: int, max_percent: float) -> DataFrame:
+def frequent_lines(texts: DataFrame, min_documents: int, max_percent: float) -> DataFrame:
     """(host, line) of the lines in more distinct documents of their host than both limits.
 
-    ``lines`` has host, sign and line. Documents count by sign, so copies of one text don't
-    make its lines frequent. Counts are summed before they are shuffled.
+    ``texts`` has host and lines, a row for each distinct text of a host, so copies don't
+    make their lines frequent. A text counts once for each line of its own. Counts are summed before
+    they are shuffled, a host's documents too.
     """
-    signs = lines.select("host", "sign").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
-    counts = lines.groupBy("host", "line").agg(F.count_distinct("sign").alias("documents"))
+    hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_documents"))
+    counts = texts.select("host", F.inline("lines")).groupBy("host", "line").agg(F.sum("first").alias("documents"))
     often = counts.where(F.col("documents") > min_documents)
     share = F.col("documents") * 100 > F.col("host_documents") * max_percent
-    return often.join(signs, "host").where(share).select("host", "line")
+    return often.join(hosts, "host").where(share).select("host", "line")
 
 
 def judge(
@@ -152,9 +149,9 @@ def judge(
     facts = facts.select("row", "host", *_TEXT_KEY, "w.*", "n_symbols", "l.*")
     facts = materialize(facts, "quality-facts")
     # One row for each text of a host, however many copies it has.
-    texts = facts.groupBy("host", *_TEXT_KEY).agg(F.first("sign").alias("sign"), F.first("lines").alias("lines"))
-    lines = texts.select("host", *_TEXT_KEY, "sign", F.inline("lines"))
-    often = frequent_lines(lines, min_line_documents, max_line_percent)
+    texts = facts.groupBy("host", *_TEXT_KEY).agg(F.first("lines").alias("lines"))
+    lines = texts.select("host", *_TEXT_KEY, F.inline("lines"))
+    often = frequent_lines(texts, min_line_documents, max_line_percent)
     removed = (
         lines.join(often, ["host", "line"])
         .groupBy("host", *_TEXT_KEY)

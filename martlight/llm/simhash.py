@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -10,6 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from martlight.llm.columns import LOWER_BYTES, fresh, text_key
 from martlight.llm.components import connected_components
@@ -199,24 +200,29 @@ def near_duplicate_classes(
     return prints.join(named, "fingerprint").select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
-def drop_near_duplicates(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    classes: Callable[..., DataFrame] = near_duplicate_classes,
-    **options,
-) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row of each class, that of the least key; rows with a null key stay.
 
     Of several texts with the least key in one class, that of the least text key stays, and of its
-    rows the least one. A key that repeats in different classes stands for each of them.
-    ``classes`` finds them, by a key and a text.
+    rows the least one by the columns that can be ordered. A key that repeats in different classes
+    stands for each of them. ``options`` are those of ``near_duplicate_classes``.
     """
     row_id = fresh(docs, "row_id")
     # Names a row whose key repeats with another text.
     own = F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("key"), *text_key(F.col(text))))
     named = docs.withColumn(row_id, own)
-    found = classes(named, row_id, text, **options)
+    found = near_duplicate_classes(named, row_id, text, **options)
     kept = found.where(F.col(row_id) == F.col("component_id")).select(row_id).distinct()
-    one = named.join(kept, row_id).groupBy(row_id).agg(F.min(F.struct(*docs.columns)).alias("row"))
+    ordered = [f.name for f in docs.schema if not _unordered(f.dataType)]
+    least = F.min_by(F.struct(*docs.columns), F.struct(*ordered))
+    one = named.join(kept, row_id).groupBy(row_id).agg(least.alias("row"))
     return one.select("row.*").union(docs.where(F.col(key).isNull()))
+
+
+def _unordered(kind: DataType) -> bool:
+    """Whether values of a type have no order: maps, variants, and what holds them."""
+    if isinstance(kind, ArrayType):
+        return _unordered(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(_unordered(f.dataType) for f in kind)
+    return isinstance(kind, (MapType, VariantType))

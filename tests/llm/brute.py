@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 import struct
@@ -28,26 +27,45 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def near_classes(docs, distance=4):
-    """[(doc_id, fingerprint, component_id)] of (doc_id, text) rows."""
-    prints = [fingerprint(t) for _, t in docs]
-    root = list(range(len(docs)))
+def near_roots(prints, distance=4):
+    """For each fingerprint, the number of one that stands for its class."""
+    root = list(range(len(prints)))
 
     def find(i):
         while root[i] != i:
             i = root[i]
         return i
 
-    for i in range(len(docs)):
+    for i in range(len(prints)):
         for j in range(i):
             if (prints[i] ^ prints[j]).bit_count() <= distance:
                 root[find(i)] = find(j)
+    return [find(i) for i in range(len(prints))]
+
+
+def near_classes(docs, distance=4):
+    """[(doc_id, fingerprint, component_id)] of (doc_id, text) rows."""
+    prints = [fingerprint(t) for _, t in docs]
+    roots = near_roots(prints, distance)
     least = {}
-    for i, (key, _) in enumerate(docs):
+    for r, (key, _) in zip(roots, docs):
         if key is not None:
-            r = find(i)
             least[r] = min(least.get(r, key), key)
-    return [(key, prints[i], least.get(find(i))) for i, (key, _) in enumerate(docs)]
+    return [(key, p, least.get(r)) for r, p, (key, _) in zip(roots, prints, docs)]
+
+
+def one_of_each_class(rows):
+    """(doc_id, text, ...) rows of null ids, and of each class the row of the least id and text key."""
+    roots = near_roots([fingerprint(r[1]) for r in rows])
+    kept = [r for r in rows if r[0] is None]
+    best = {}
+    for root, row in zip(roots, rows):
+        if row[0] is not None:
+            mark = xxhash.xxh64_intdigest((row[1] or "").encode(), 42)
+            mark = (row[0], mark - (1 << 64) if mark >> 63 else mark)
+            if root not in best or mark < best[root][0]:
+                best[root] = (mark, row)
+    return kept + [row for _, row in best.values()]
 
 
 def quality_base(text):
@@ -73,18 +91,16 @@ def normal_line(line):
 
 
 def frequent_lines(docs, min_documents, max_percent):
-    """{(host, line)} of (text, host) rows."""
-    signs, having = defaultdict(set), defaultdict(set)
+    """{(host, line)} of (text, host) rows; copies in a host count as one document."""
+    texts, having = defaultdict(set), defaultdict(set)
     for text, host in docs:
-        parts = words(text)
-        md5 = [hashlib.md5(w.encode()).hexdigest() for w in parts if len(w) >= 8]
-        sign = min(md5 or [hashlib.md5(w.encode()).hexdigest() for w in parts], default="")
-        signs[host or ""].add(sign)
-        for line in (text or "").split("\n"):
+        text, host = text or "", host or ""
+        texts[host].add(text)
+        for line in text.split("\n"):
             if _WORD.search(line):
-                having[host or "", normal_line(line)].add(sign)
+                having[host, normal_line(line)].add(text)
     return {
-        k for k, s in having.items() if len(s) > min_documents and 100 * len(s) > max_percent * len(signs[k[0]])
+        k for k, s in having.items() if len(s) > min_documents and 100 * len(s) > max_percent * len(texts[k[0]])
     }
 
 

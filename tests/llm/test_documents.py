@@ -105,6 +105,16 @@ def test_drop_near_duplicates(docs, rows):
     assert got.count(None) == 3
 
 
+def test_drop_near_duplicates_with_maps(spark, rows):
+    from tests.llm.tables import documents
+
+    docs = documents(spark, rows).withColumn("facts", F.create_map(F.lit("n"), F.length("text")))
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.dtypes == docs.dtypes
+    plain = simhash.drop_near_duplicates(documents(spark, rows))
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in plain.collect())
+
+
 def test_quality_base(docs, rows):
     found = quality.judge(docs).select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"
@@ -126,7 +136,7 @@ def boilerplate_rows():
         body = sentence(rng, 40)
         lines = [menu[0], body, menu[1].lower() if i % 2 else menu[1]] if i % 3 else menu + ["few words here"]
         rows.append((i, "\n".join(lines), "big"))
-    # Lines of different near copies are frequent, but their documents count as few.
+    # Near copies are documents of their own, so the line they share goes; what is left is enough.
     rows += [(100 + i, "\n".join([sentence(random.Random(1), 30), f"edited{i} {sentence(random.Random(2), 30)}"]), "copies") for i in range(50)]
     rows += [(200 + i, sentence(rng, 30), "copies") for i in range(10)]
     return rows + [(300, None, "big"), (301, "", None), (None, rows[1][1], "big")]
@@ -146,6 +156,28 @@ def test_frequent_lines(spark):
     assert sum(h == "copies" for *_, h in expected) == 60
 
 
+def test_pages_of_pure_template_are_rejected(spark):
+    """Half of a host's pages are four shared lines and six words of their own."""
+    import random
+
+    rng = random.Random(13)
+    template = [sentence(rng, 12) for _ in range(4)]
+    rows = [(i, "\n".join([*template, sentence(rng, 6)]), "host") for i in range(200)]
+    rows += [(1000 + i, sentence(rng, 60), "host") for i in range(200)]
+    judged = quality.judge(documents(spark, rows)).select("row.doc_id", "kept", "base_failed").collect()
+    assert {r.doc_id for r in judged if r.kept} == set(range(1000, 1200))
+    assert not any(r.base_failed for r in judged)
+
+
+def test_repeated_lines_of_a_text_count_once(spark):
+    rows = [(i, "\n".join([f"a line {i % 3}"] * 30 + [f"t{i}x{j}" for j in range(30)]), "h") for i in range(60)]
+    limits = {"min_line_documents": 19, "max_line_percent": 1}
+    assert Counter((r.doc_id, r.text, r.source) for r in quality.keep_good(documents(spark, rows), **limits).collect()) == Counter(
+        brute.good_documents(rows, 19, 1)
+    )
+    assert brute.frequent_lines([(t, h) for _, t, h in rows], 19, 1) and not brute.frequent_lines([(t, h) for _, t, h in rows], 20, 1)
+
+
 ITEMS = 9
 
 
@@ -263,7 +295,6 @@ def test_words_are_not_secrets(docs, rows):
 def test_packing(docs, rows, none):
     packed = [r.asDict() for r in packing.packed_documents(docs, with_ids=True).collect()]
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     expected = Counter()
     for k, t, _ in rows:
         ids = tokenizer.encode(t or "", add_special_tokens=False).ids + [0]
@@ -281,6 +312,21 @@ def test_packing(docs, rows, none):
     assert packing.packed_documents(none).isEmpty()
 
 
+def test_long_white_space(spark):
+    """Runs that the fast library's pattern engine has no stack for, and runs on both sides of the limit."""
+    spaces = ["\t" * 10**6, " " * 10**6, "abc" + " " * 10**6 + "x", "a \n" * 300_000]
+    limit = packing._LONG_SPACE
+    spaces += [f"a{c * n}b c" for c in (" ", "\n", "\u3000", "\x1c") for n in (limit - 1, limit, limit + 1)]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    found = packing.packed_documents(documents(spark, [(i, t, "s") for i, t in enumerate(spaces)]), with_ids=True)
+    ids = defaultdict(bytes)
+    for r in found.orderBy("doc_id", "piece").collect():
+        ids[r.doc_id] += bytes(r.ids)
+    for i, text in enumerate(spaces):
+        expected = tokenizer.encode(text, add_special_tokens=False).ids + [packing.END_ID]
+        assert np.frombuffer(ids[i], dtype="<u4").tolist() == expected
+
+
 def assert_gapless(packed, capacity):
     places = defaultdict(list)
     for r in packed:
@@ -326,8 +372,7 @@ def test_packing_in_groups(docs):
 @pytest.mark.parametrize("text", ["", " ", "  a", "a ", "a  b", "a \nb", "a\n b", "it's don't  x", "ab cd e", "\U0001f600 y\t z", "<|endoftext|> a", "1 22 333,5 x"])
 def test_word_cache_changes_no_ids(text):
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    ids = np.frombuffer(packing.Encoder("byte_bpe_50k.tiktoken").ids(text * 3), dtype="<u4").tolist()
+    ids = np.frombuffer(packing.Encoder("byte_bpe_50k.tiktoken").document_ids(text * 3), dtype="<u4").tolist()
     assert ids == tokenizer.encode(text * 3, add_special_tokens=False).ids
 
 

@@ -14,6 +14,8 @@ from tests.llm import brute
 from tests.llm.tables import BENCHMARK, documents, document_rows
 from tests.llm.test_documents import boilerplate_rows, item_rows, secret_rows
 
+VECTORS = "vec_id long, embedding array<float>"
+
 
 def pipeline_rows():
     rows = document_rows()
@@ -25,12 +27,7 @@ def pipeline_rows():
 
 def expected_documents(rows, items):
     rows = brute.good_documents(rows, quality.MIN_LINE_DOCUMENTS, quality.MAX_LINE_PERCENT)
-    classes = brute.near_classes([(k, t) for k, t, _ in rows])
-    stay, seen = [], set()
-    for row, (k, _, c) in sorted(zip(rows, classes), key=lambda x: (x[0][1] or "")):
-        if k is None or (k == c and k not in seen):
-            seen.add(k)
-            stay.append(row)
+    stay = brute.one_of_each_class(rows)
     cut = [(k, brute.without_passages(t, items), h) for k, t, h in stay]
     cut = [r for r in cut if r[1] is not None]
     spans = brute.secret_spans([t for _, t, _ in cut])
@@ -66,6 +63,7 @@ def test_empty_tables(spark, tmp_path):
     documents(spark, []).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], BENCHMARK).write.parquet(f"{tmp_path}/benchmark.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([], VECTORS).write.parquet(f"{tmp_path}/embeddings.parquet")
     for query in [*QUERIES.values(), corpus_pipeline.run]:
         assert query(spark, str(tmp_path)).isEmpty()
 
@@ -99,7 +97,10 @@ def test_edge_rows_match_sql(spark, tmp_path):
     spark.createDataFrame(items, BENCHMARK).coalesce(1).write.parquet(f"{tmp_path}/b")
     rows = page_rows() + [(1000 + i, u, link(f"h{i}.com") + link("x.net")) for i, (u, *_) in enumerate(URLS)]
     spark.createDataFrame(rows, PAGES).coalesce(1).write.parquet(f"{tmp_path}/p")
-    for short, name in (("d", "documents"), ("b", "benchmark"), ("p", "pages")):
+    vectors = [(i, [float((i * j) % 7 - 3) for j in range(64)]) for i in range(90)] + [(5, None), (6, [None] * 64), (7, [1.0])]
+    vectors += [vectors[3], (8, [float("nan")] * 64), (9, [float("inf")] * 64)]
+    spark.createDataFrame(vectors, VECTORS).coalesce(1).write.parquet(f"{tmp_path}/e")
+    for short, name in (("d", "documents"), ("b", "benchmark"), ("p", "pages"), ("e", "embeddings")):
         next((tmp_path / short).glob("part-*.parquet")).rename(tmp_path / f"{name}.parquet")
     con = connect(str(tmp_path))
     for name, sql in __spark_entry__.oracle_sql().items():
