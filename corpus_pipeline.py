@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlight.llm import decontaminate, nearcopies, packing, quality, secrets, simhash
+from martlight.llm import decontaminate, packing, quality, secrets, simhash
 from martlight.llm.queries import table
 from martlight.session import materialize
 
@@ -15,8 +15,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: five-word shingles alike to 80 % or more."""
-    return simhash.drop_near_duplicates(docs, classes=nearcopies.near_copy_classes)
+    """One document of each class of near copies: 64-bit fingerprints of 4-word shingles, linked at 4 bits or fewer."""
+    return simhash.drop_near_duplicates(docs, shingle=4, distance=4)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
