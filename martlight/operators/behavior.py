@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,8 @@ from martlight.functions.distribution import salted
 # Channels counted as social influence.
 SOCIAL_CHANNELS = ["social_media", "affiliate"]
 
-# Spread of one sensitivity level over tasks.
+# Cuts of each bound of a dominance grid, and keys that one cell's rows are dealt to.
+GRID_CUTS = 11
 STRATEGY_SALTS = 8
 
 
@@ -142,31 +145,73 @@ def user_activity(events: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
+def _cuts(rows: DataFrame, columns: list[str], cuts: int) -> list[list]:
+    """Up to ``cuts`` values of each column, ascending, that part its rows evenly; all values if they are few."""
+    asked = [i / (cuts + 1) for i in range(1, cuts + 1)]
+    # The least value alone would be cut off by no quantile.
+    found = rows.agg(
+        *[F.array_append(F.percentile_approx(c, asked, 100 * cuts), F.min(c)).alias(f"_{i}") for i, c in enumerate(columns)]
+    ).first()
+    return [sorted({v for v in values or [] if v is not None}) for values in found]
+
+
+def _place(value: Column, cuts: list) -> Column:
+    """How many cuts a value reaches; null for a null."""
+    return reduce(lambda n, cut: n + (value >= F.lit(cut)).cast("int"), cuts, F.when(value.isNotNull(), 0))
+
+
+def dominance_candidates(
+    left: DataFrame, right: DataFrame, have: list[str], least: list[str], cuts: int = GRID_CUTS, salts: int = STRATEGY_SALTS
+) -> DataFrame:
+    """Pairs of a row of ``left`` and one of ``right`` that may reach it, and ``_tests``: bounds still to be tested.
+
+    The values that ``right`` asks for cut each bound, so space falls into cells. A left row meets the right
+    rows of the cells whose place is no higher than its own in any bound. Where it is higher, the bound
+    is reached for certain; where both have one place, it has to be tested. Only pairs
+    of cells are listed without data, at most ((cuts + 1) * (cuts + 2) / 2) ** len(have) of them.
+    """
+    grid = _cuts(right, least, cuts)
+    own, asked = [f"_own_{i}" for i in range(len(have))], [f"_asked_{i}" for i in range(len(have))]
+    rows = left.withColumns({o: _place(F.col(c), g) for o, c, g in zip(own, have, grid)}).dropna(subset=own)
+    wanted = right.withColumns({o: _place(F.col(c), g) for o, c, g in zip(asked, least, grid)}).dropna(subset=asked)
+    cells = wanted.select(*asked).distinct()
+    for o, a, g in zip(own, asked, grid):
+        cells = cells.withColumn(o, F.explode(F.sequence(F.col(a), F.lit(len(g)))))
+    rows, cells = salted(rows, cells, spread_by=F.struct(*have), salts=salts)
+    met = rows.join(cells, [*own, "_salt"]).join(wanted, asked)
+    tests = F.array_compact(F.array(*[F.when(F.col(o) == F.col(a), F.lit(i)) for i, (o, a) in enumerate(zip(own, asked))]))
+    return met.withColumn("_tests", tests).drop("_salt", *own, *asked)
+
+
+def dominance_join(
+    left: DataFrame, right: DataFrame, have: list[str], least: list[str], cuts: int = GRID_CUTS, salts: int = STRATEGY_SALTS
+) -> DataFrame:
+    """Every pair of a row of ``left`` and one of ``right`` where each ``have`` reaches its ``least``; nulls reach nothing.
+
+    Columns of both sides must differ in name.
+    """
+    met = dominance_candidates(left, right, have, least, cuts, salts)
+    tests = [~F.array_contains("_tests", i) | (F.col(h) >= F.col(m)) for i, (h, m) in enumerate(zip(have, least))]
+    return met.where(reduce(Column.__and__, tests)).drop("_tests")
+
+
 def coupon_targeting(
     events: DataFrame, users: DataFrame, strategies: DataFrame, salts: int = STRATEGY_SALTS
 ) -> DataFrame:
     """One row per user and strategy whose three minimums the user reaches.
 
     Users who look alike and strategies that ask alike meet once: the distinct triples of
-    sensitivity, views and carts are matched, on the hundredths of sensitivity from a
-    strategy's minimum up, and only matches are joined back to users and strategies.
+    sensitivity, views and carts are matched by a dominance join, and only matches are joined back to users
+    and strategies.
     """
     activity = user_activity(events, users)
     profile = ["discount_sensitivity", "view_count", "cart_count"]
     minimum = ["min_discount_sensitivity", "min_view_count", "min_cart_count"]
-
-    def level(value: Column) -> Column:
-        return F.least(F.greatest(F.floor(value * 100).cast("int"), F.lit(0)), F.lit(100))
-
-    # One level lower than the minimum's own, in case a double was rounded up; bounds are checked exactly.
-    lowest = F.greatest(level(F.col("min_discount_sensitivity")) - 1, F.lit(0))
-    asked = strategies.select(*minimum).distinct().withColumn("_level", F.explode(F.sequence(lowest, F.lit(100))))
-    alike = activity.select(*profile).distinct().withColumn("_level", level(F.col("discount_sensitivity")))
-    left, right = salted(alike, asked, spread_by=F.struct(*profile), salts=salts)
-    reached = [F.col(have) >= F.col(least) for have, least in zip(profile, minimum)]
-    met = left.join(right.hint("merge"), ["_level", "_salt"]).where(reached[0] & reached[1] & reached[2])
+    met = dominance_join(
+        activity.select(*profile).distinct(), strategies.select(*minimum).distinct(), profile, minimum, salts=salts
+    )
     return (
-        activity.join(met.select(*profile, *minimum), profile)
+        activity.join(met, profile)
         .join(strategies, minimum)
         .select("user_id", "strategy_id", "trigger_type", "action_type", "coupon_id")
     )

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import AtomicType, StringType, StructField, StructType
 
 from martlight.functions.columns import (
     DateLike,
@@ -18,13 +19,14 @@ from martlight.functions.columns import (
     vendor_rating,
     whole_days_between,
 )
-from martlight.functions.distribution import salted
 from martlight.schemas import DIM_TIME, FACT_ORDER
 
-# Length of the time slices on which purchases meet discounts.
-SLICE_SECONDS = 3600
-# Spread of one slice's purchases over tasks.
-DISCOUNT_SALTS = 8
+# Purchases and ends of rules that a stretch of time holds, about, and the most stretches of either kind.
+STRETCH_PURCHASES = 100_000
+STRETCH_ENDS = 200
+MAX_STRETCHES = 1024
+# The ends of time, in microseconds.
+_FIRST, _LAST = -(1 << 63), (1 << 63) - 1
 
 
 def calendar(spans: DataFrame) -> DataFrame:
@@ -101,98 +103,155 @@ def _priced_rules(discounts: DataFrame) -> DataFrame:
 
 def _frontier(rules: DataFrame, *by: str) -> DataFrame:
     """Rules that some gross would choose: a higher threshold must take off more, or as much with a lower id."""
-    lower = (
-        Window.partitionBy(*by, "share")
-        .orderBy("threshold", F.desc("best"))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    best = rules.groupBy(*by, "share", "threshold").agg(F.max("best").alias("best"))
+    lower = Window.partitionBy(*by, "share").orderBy("threshold").rowsBetween(Window.unboundedPreceding, -1)
     before = F.max("best").over(lower)
-    return rules.withColumn("_before", before).where("_before is null or best > _before").drop("_before")
+    return best.withColumn("_before", before).where("_before is null or best > _before").drop("_before")
 
 
-def _cut(rules: DataFrame, width: int, first: Column, last: Column) -> DataFrame:
-    """Rules cut at multiples of ``width``, those from slice ``first`` to ``last``; of equal spans the frontier."""
-    start = F.greatest(F.floor(F.col("lo") / F.lit(width)), first)
-    stop = F.least(F.floor((F.col("hi") - 1) / F.lit(width)), last)
-    cut = (
-        rules.withColumns({"_start": start, "_stop": stop})
-        .where("_start <= _stop")
-        .withColumn("slice", F.explode(F.sequence("_start", "_stop")))
-        .withColumns(
-            {
-                "lo": F.greatest("lo", F.col("slice") * width),
-                "hi": F.least("hi", (F.col("slice") + 1) * width),
-            }
-        )
-        .drop("_start", "_stop")
-    )
-    return _frontier(cut, "slice", "lo", "hi")
+def _quantiles(times: DataFrame, each: int) -> list[int]:
+    """Times that cut ``times`` (at) into parts of about ``each`` rows, ascending; a hot time comes repeatedly."""
+    cuts = [i / MAX_STRETCHES for i in range(1, MAX_STRETCHES)]
+    found = times.agg(F.count("at").alias("n"), F.percentile_approx("at", cuts, 16 * MAX_STRETCHES).alias("cuts")).first()
+    parts = min(MAX_STRETCHES, -(-found["n"] // each))
+    return [found["cuts"][i * MAX_STRETCHES // parts - 1] for i in range(1, parts)]
 
 
-def discount_steps(discounts: DataFrame, first: Column, last: Column, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
-    """(slice, spans): for each time slice its elementary spans, each with its two frontiers.
+class _Stretches:
+    """Time cut where purchases and rule ends lie dense, not by the clock.
+
+    Stretches are numbered in order; ``salts`` says over how many keys the purchases of each are dealt: a
+    time that takes up several cuts is one stretch of as many keys.
+    """
+
+    def __init__(self, cuts: list[int]):
+        # The search compares doubles; times that they can't tell apart share a stretch.
+        self._starts = sorted({float(c) for c in cuts})
+        self.salts = [1] + [sum(float(c) == s for c in cuts) for s in self._starts]
+
+    def number(self, rows: DataFrame, **times: Column) -> DataFrame:
+        """Add under each name the stretch of its time (not null)."""
+        if not self._starts:
+            return rows.withColumns({name: F.lit(0) for name in times})
+        columns = rows.columns
+        names = {name: f"_time_{name}" for name in times}
+        rows = rows.withColumns({names[n]: t.cast("double") for n, t in times.items()})
+        splits = [float("-inf"), *self._starts, float("inf")]
+        cut = Bucketizer(
+            splitsArray=[splits] * len(times), inputCols=list(names.values()), outputCols=list(times)
+        ).transform(rows)
+        return cut.select(*columns, *[F.col(n).cast("int").alias(n) for n in times])
+
+
+def _throughout(rules: DataFrame, stretches: int) -> DataFrame:
+    """(stretch, share, threshold, best): frontier of the rules that are valid through a whole stretch.
+
+    The whole stretches of a rule, those between its first and its last, are some blocks of 2 ** k
+    stretches each, two of a size at most. Only the frontier of each block is dealt to its stretches, so a
+    rule that lasts for ever meets few of them, unless it can be chosen there.
+    """
+    levels = range(max(stretches, 1).bit_length())
+    left, right = F.col("first") + 1, F.col("last")
+    blocks = []
+    for k in levels:
+        lo, hi = F.ceil(left / (1 << k)), F.floor(right / (1 << k))
+        odd = (lo < hi) & (lo % 2 == 1)
+        rest = lo + F.when(odd, 1).otherwise(0)
+        blocks += [
+            F.when(odd, F.struct(F.lit(k).alias("level"), lo.alias("block"))),
+            F.when((rest < hi) & (hi % 2 == 1), F.struct(F.lit(k).alias("level"), (hi - 1).alias("block"))),
+        ]
+    lasting = rules.where("last - first > 1").select(F.inline(F.array_compact(F.array(*blocks))), "share", "threshold", "best")
+    wide = _frontier(lasting, "level", "block")
+    size = F.expr("shiftleft(1, level)")
+    own = F.sequence(F.col("block") * size, (F.col("block") + 1) * size - 1)
+    dealt = wide.select(F.explode(own.cast("array<int>")).alias("stretch"), "share", "threshold", "best")
+    return _frontier(dealt, "stretch")
+
+
+def discount_steps(discounts: DataFrame, stretches: _Stretches) -> DataFrame:
+    """(stretch, at, shares, values): from ``at`` on, until the next step of the stretch, these two frontiers hold.
 
     Between two ends of any validity the usable rules are the same; only those on the frontier of
-    threshold and amount can be chosen. Days are cut first, so that rules which last for many slices
-    are thinned out before they unfold. ``first`` and ``last`` bound the microseconds that matter.
+    threshold and amount can be chosen. A rule steps in and out in the stretches of its two ends; the
+    stretches between have it from their start, if it is on the frontier of those that last.
     """
-    day, width = 86_400 * 10**6, slice_seconds * 10**6
-    by_day = _cut(_priced_rules(discounts), day, F.floor(first / day), F.floor(last / day)).drop("slice")
-    rules = _cut(by_day, width, F.floor(first / width), F.floor(last / width))
-    ends = rules.select("slice", F.explode(F.array("lo", "hi")).alias("at")).where(
-        F.col("at") < (F.col("slice") + 1) * width
-    )
-    spans = rules.join(ends.distinct(), "slice").where("lo <= at and at < hi")
-    steps = _frontier(spans.select("slice", "at", "share", "threshold", "best"), "slice", "at")
+    rules = _priced_rules(discounts)
+    rules = stretches.number(rules, first=F.col("lo"), last=F.col("hi") - 1)
+    columns = ["stretch", "lo", "hi", "share", "threshold", "best"]
+    ends = rules.withColumn("stretch", F.explode(F.array_distinct(F.array("first", "last"))))
+    ends = ends.withColumns(
+        {
+            "lo": F.when(F.col("stretch") == F.col("first"), F.col("lo")).otherwise(F.lit(_FIRST)),
+            "hi": F.when(F.col("stretch") == F.col("last"), F.col("hi")).otherwise(F.lit(_LAST)),
+        }
+    ).select(columns)
+    if len(stretches.salts) > 2:
+        through = _throughout(rules, len(stretches.salts))
+        through = through.withColumns({"lo": F.lit(_FIRST), "hi": F.lit(_LAST)})
+        ends = ends.union(through.select(columns))
+    at = ends.select("stretch", F.explode(F.array("lo", "hi")).alias("at")).where(F.col("at") < _LAST).distinct()
+    usable = at.join(ends, "stretch").where("lo <= at and at < hi")
+    steps = _frontier(usable.select("stretch", "at", "share", "threshold", "best"), "stretch", "at")
     step = F.struct("threshold", "best")
 
     def side(condition: str) -> Column:
         return F.collect_list(F.when(F.expr(condition), step))
 
-    # A span between two rules has no step, but ends the one before.
-    per_span = (
-        ends.distinct()
-        .join(steps, ["slice", "at"], "left")
-        .groupBy("slice", "at")
+    # Where the last rule ends there is no step, but an end of the one before.
+    return (
+        at.join(steps, ["stretch", "at"], "left")
+        .groupBy("stretch", "at")
         .agg(side("share").alias("shares"), side("not share").alias("values"))
     )
-    span = F.struct("at", "shares", "values")
-    return per_span.groupBy("slice").agg(F.sort_array(F.collect_list(span)).alias("spans"))
 
 
 def best_valid_discount(
     purchases: DataFrame,
     discounts: DataFrame,
-    slice_seconds: int = SLICE_SECONDS,
-    salts: int = DISCOUNT_SALTS,
+    stretch_purchases: int = STRETCH_PURCHASES,
+    stretch_ends: int = STRETCH_ENDS,
     clock: DataFrame | None = None,
 ) -> DataFrame:
     """Attach to each purchase the valid discount that takes off most, lowest id on a tie.
 
     ``purchases`` needs event_ts and gross_amount. Adds discount_id (NULL if none applies),
-    exact_discount (unrounded) and discount_amount. Each purchase meets the one row of its
-    time slice and picks from it in place, so every row comes out once, also repeated ones and
-    those without a time. ``clock`` may name a cheaper frame whose event_ts span covers the purchases.
+    exact_discount (unrounded) and discount_amount. Time is cut into stretches by quantiles of the purchases'
+    times and of the rules' ends. In each, purchases and the steps of the frontier are one sequence
+    by time: a purchase takes the last frontier before it and picks from that in place. Every row
+    comes out once, also repeated ones and those without a time. ``clock`` may name a cheaper frame whose event_ts
+    are spread like the purchases'.
     """
-    width = slice_seconds * 10**6
-    seen = (purchases if clock is None else clock).agg(
-        F.unix_micros(F.min("event_ts")).alias("first"), F.unix_micros(F.max("event_ts")).alias("last")
-    )
-    steps = discount_steps(
-        discounts, seen.select("first").scalar(), seen.select("last").scalar(), slice_seconds
-    )
     now, gross = F.unix_micros("event_ts"), F.col("gross_amount")
-    left, right = salted(
-        purchases.withColumn("_slice", F.floor(now / F.lit(width))),
-        steps.withColumnRenamed("slice", "_slice"),
-        spread_by=F.struct("event_ts", "gross_amount"),
-        salts=salts,
+    seen = (purchases if clock is None else clock).select(now.alias("at"))
+    ends = _priced_rules(discounts).select(F.explode(F.array("lo", "hi")).alias("at"))
+    stretches = _Stretches(_quantiles(seen, stretch_purchases) + _quantiles(ends, stretch_ends))
+    steps = discount_steps(discounts, stretches)
+    salts = F.get(F.array(*[F.lit(n) for n in stretches.salts]), "stretch")
+    steps = steps.select(
+        "stretch",
+        F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"),
+        "at",
+        F.lit(None).cast(purchases.schema).alias("row"),
+        F.struct("shares", "values").alias("step"),
+    )
+    # Drawn by content, so that a task that runs again deals alike.
+    plain = [f.name for f in purchases.schema if isinstance(f.dataType, AtomicType)]
+    bought = purchases.select(F.struct(*purchases.columns).alias("row"), now.alias("at"), F.xxhash64(*plain).alias("draw"))
+    bought = stretches.number(bought, stretch=F.coalesce("at", F.lit(0))).select(
+        "stretch",
+        F.pmod("draw", salts).cast("int").alias("salt"),
+        "at",
+        "row",
+        F.lit(None).cast(steps.schema["step"].dataType).alias("step"),
     )
-    met = left.join(right, ["_slice", "_salt"], "left")
-    span = F.element_at(F.filter("spans", lambda x: x["at"] <= now), -1)
+    # Of one time, steps come before purchases; a purchase without a time comes before all steps.
+    order = Window.partitionBy("stretch", "salt").orderBy("at", F.col("row").isNotNull())
+    swept = bought.union(steps).withColumn("step", F.last("step", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    swept = swept.where(F.col("row").isNotNull()).select("row.*", F.col("step").alias("_step"))
 
     def best(side: str) -> Column:
-        usable = F.filter(F.col("_span")[side], lambda x: x["threshold"] <= gross)
+        usable = F.filter(F.col("_step")[side], lambda x: x["threshold"] <= gross)
         return F.array_max(F.transform(usable, lambda x: x["best"]))
 
     def amount(side: str, value: Column) -> Column:
@@ -205,8 +264,7 @@ def best_valid_discount(
     candidates = [amount("shares", gross * F.col("_shares")["value"]), amount("values", F.col("_values")["value"])]
     exact = F.coalesce(F.col("_best")["amount"], F.lit(0)).cast("decimal(23,4)")
     return (
-        met.withColumn("_span", F.when(F.size("spans") > 0, F.when(F.exists("spans", lambda x: x["at"] <= now), span)))
-        .withColumns({"_shares": best("shares"), "_values": best("values")})
+        swept.withColumns({"_shares": best("shares"), "_values": best("values")})
         .withColumn("_best", F.greatest(*candidates))
         .withColumns({"discount_id": -F.col("_best")["negated_id"], "exact_discount": exact})
         .withColumn("discount_amount", F.round("exact_discount", 2).try_cast("decimal(12,2)"))

@@ -109,3 +109,42 @@ def test_targeting_against_brute_force(spark, kind):
     assert set(rows) == expected
     assert (61, 99) in expected
     assert found.where(F.col("action_type") != "sms").count() == 0
+
+
+@pytest.mark.parametrize("cuts,salts", [(11, 8), (3, 1), (1, 2)])
+def test_dominance_join_meets_few_pairs_that_fail(spark, cuts, salts):
+    """Three bounds, few of which one alone would pick out: candidates stay near the matches, none is missed."""
+    rng = random.Random(cuts)
+    have = [(i, rng.choice([None, *range(100)]), rng.randrange(100), rng.randrange(100)) for i in range(900)]
+    have += [(2000 + i, 50, 50, 50) for i in range(300)]
+    least = [(i, rng.randrange(100), rng.randrange(100), rng.choice([None, *range(100)])) for i in range(300)]
+    left = spark.createDataFrame(have, "l long, a int, b int, c int")
+    right = spark.createDataFrame(least, "r long, x int, y int, z int")
+    expected = {
+        (k, m)
+        for k, *own in have
+        for m, *asked in least
+        if all(o is not None and q is not None and o >= q for o, q in zip(own, asked))
+    }
+    found = [(r.l, r.r) for r in behavior.dominance_join(left, right, ["a", "b", "c"], ["x", "y", "z"], cuts, salts).collect()]
+    assert len(found) == len(set(found)) and set(found) == expected
+    candidates = behavior.dominance_candidates(left, right, ["a", "b", "c"], ["x", "y", "z"], cuts, salts)
+    untested = candidates.where(F.size("_tests") == 0).select("l", "r").collect()
+    assert {tuple(r) for r in untested} <= expected
+    if cuts == 11:
+        assert candidates.count() < 1.5 * len(expected)
+        assert len(untested) > 0.5 * len(expected)
+
+
+def test_dominance_join_on_few_values_tests_nothing_in_vain(spark):
+    left = spark.createDataFrame([(i, i % 30) for i in range(90)], "l long, a int")
+    right = spark.createDataFrame([(1, 0), (2, 7), (3, 29), (4, 7), (5, 31)], "r long, x int")
+    candidates = behavior.dominance_candidates(left, right, ["a"], ["x"])
+    assert candidates.count() == behavior.dominance_join(left, right, ["a"], ["x"]).count() == 90 + 2 * 69 + 3
+
+
+def test_dominance_join_of_nothing(spark):
+    none = spark.createDataFrame([], "l long, a int")
+    right = spark.createDataFrame([], "r long, x int")
+    assert behavior.dominance_join(none, right, ["a"], ["x"]).isEmpty()
+    assert behavior.dominance_join(spark.range(1).selectExpr("id AS l", "1 AS a"), right, ["a"], ["x"]).isEmpty()

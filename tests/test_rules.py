@@ -79,22 +79,22 @@ PURCHASES = [
 ]
 
 
-@pytest.mark.parametrize("slice_seconds", [3600, 86_400, 1000])
-def test_best_discount_edges(spark, slice_seconds):
+@pytest.mark.parametrize("purchases_each,ends_each", [(10**6, 10**6), (1, 1), (2, 10**6), (10**6, 2)])
+def test_best_discount_edges(spark, purchases_each, ends_each):
     rows = [
         (e, dt.datetime.fromisoformat(ts) if ts else None, Decimal(g)) for e, ts, g, _, _ in PURCHASES
     ]
     purchases = spark.createDataFrame(rows, "event_id string, event_ts timestamp, gross_amount decimal(12,2)")
     found = b.as_dict(
-        rules.best_valid_discount(purchases, b.discounts(spark, DISCOUNTS), slice_seconds), "event_id"
+        rules.best_valid_discount(purchases, b.discounts(spark, DISCOUNTS), purchases_each, ends_each), "event_id"
     )
     assert {e: (r["discount_id"], str(r["discount_amount"])) for e, r in found.items()} == {
         e: (d, a) for e, _, _, d, a in PURCHASES
     }
 
 
-@pytest.mark.parametrize("slice_seconds", [3600, 86_400])
-def test_best_discount_against_brute_force(spark, slice_seconds):
+@pytest.mark.parametrize("purchases_each,ends_each", [(10**6, 10**6), (5, 3), (100, 10**6), (10**6, 1)])
+def test_best_discount_against_brute_force(spark, purchases_each, ends_each):
     rng = random.Random(7)
     start = dt.datetime(2025, 1, 1)
     rows = []
@@ -129,7 +129,7 @@ def test_best_discount_against_brute_force(spark, slice_seconds):
         return chosen, (-amount).quantize(Decimal("0.01"), ROUND_HALF_UP)
 
     frame = spark.createDataFrame(purchases, "event_id string, event_ts timestamp, gross_amount decimal(12,2)")
-    found = rules.best_valid_discount(frame, b.discounts(spark, rows), slice_seconds).collect()
+    found = rules.best_valid_discount(frame, b.discounts(spark, rows), purchases_each, ends_each).collect()
     assert {r.event_id: (r.discount_id, r.discount_amount) for r in found} == {e: best(t, g) for e, t, g in purchases}
     assert len(found) == len(purchases)
 
@@ -241,8 +241,42 @@ def test_many_overlapping_discounts_and_a_hot_day(spark):
         amount = np.where(usable, np.where(share, g * percent, cents[0]), -1)
         best = int(amount.argmax())
         expected[i, t, g, best if amount[best] >= 0 else None, max(0, int(amount[best]))] += 1
-    found = rules.best_valid_discount(purchases, discounts)
-    got = Counter(
-        (r.event_id, r.t, int(r.gross_amount * 100), r.discount_id, int(r.exact_discount * 10_000)) for r in found.collect()
+    for each in ((100_000, 200), (40, 50)):
+        found = rules.best_valid_discount(purchases, discounts, *each)
+        got = Counter(
+            (r.event_id, r.t, int(r.gross_amount * 100), r.discount_id, int(r.exact_discount * 10_000)) for r in found.collect()
+        )
+        assert got == expected
+
+
+def test_one_bad_clock_costs_no_rows(spark):
+    """A purchase a hundred years ahead and an open-ended rule add one step, not an hour's row for a century."""
+    discounts = b.discounts(
+        spark,
+        [{"discount_id": 1, "discount_type": "fixed", "threshold_amount": 0, "discount_value": 5,
+          "valid_from": "2025-01-01 00:00:00", "valid_to": "9999-12-31 00:00:00"}],
+    )
+    times = ["2025-01-01 10:00:00", "2125-01-01 10:00:00", "2024-12-31 23:59:59", None]
+    purchases = spark.createDataFrame([(t, Decimal(9)) for t in times], "t string, gross_amount decimal(12,2)").selectExpr(
+        "t", "CAST(t AS TIMESTAMP) AS event_ts", "gross_amount"
+    )
+    assert rules.discount_steps(discounts, rules._Stretches([])).count() == 2
+    found = {r.t: r.discount_id for r in rules.best_valid_discount(purchases, discounts, 1, 1).collect()}
+    assert found == {times[0]: 1, times[1]: 1, times[2]: None, None: None}
+
+
+def test_a_hot_instant_is_dealt_to_several_tasks(spark):
+    """Half of all purchases at one microsecond: their stretch has as many keys as cuts fell on it."""
+    now = int(dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc).timestamp())
+    purchases = spark.range(4000).selectExpr(
+        "id", f"timestamp_seconds({now} + IF(id % 2 = 0, 0, id)) AS event_ts", "CAST(id AS DECIMAL(12,2)) AS gross_amount"
+    )
+    cuts = rules._quantiles(purchases.select(F.unix_micros("event_ts").alias("at")), 100)
+    assert len(cuts) == 39 and max(rules._Stretches(cuts).salts) >= 15
+    discounts = b.discounts(
+        spark,
+        [{"discount_id": i, "discount_type": "fixed", "threshold_amount": i, "discount_value": i + 1,
+          "valid_from": "2024-01-01 00:00:00", "valid_to": f"2026-01-0{1 + i % 3} 00:00:00"} for i in range(30)],
     )
-    assert got == expected
+    found = rules.best_valid_discount(purchases, discounts, 100, 7).collect()
+    assert {r.id: r.discount_id for r in found} == {i: min(i, 29) for i in range(4000)} and len(found) == 4000
