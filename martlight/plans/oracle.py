@@ -558,6 +558,26 @@ SELECT country, CASE WHEN country = 'ASIA' THEN 9 ELSE vip_level END AS vip_leve
 FROM dim_user GROUP BY 1, 2"""
     sql["bucketed_join"] = f"""
 WITH {_ALL_USERS} SELECT user_id, frequency, monetary, recency, user_tenure FROM user_labelled"""
+    sql["bucketed_range_features"] = f"""
+WITH {_FACT_ORDER}, {_DIM_USER}
+SELECT u.user_id, count(order_id) AS frequency, CAST(sum(net_amount) AS DOUBLE) AS monetary,
+  CAST(date_diff('day', max(order_date), DATE '1997-04-14') AS INTEGER) AS recency,
+  CAST(date_diff('day', registration_date, DATE '1997-04-14') AS INTEGER) AS user_tenure
+FROM fact_order o JOIN dim_user u ON o.user_id = u.user_id
+WHERE order_date BETWEEN DATE '1997-04-08' AND DATE '1997-04-14' GROUP BY u.user_id, registration_date"""
+    sql["stream_orders"] = sql["orders_from_events"]
+    orphans = f"""
+WITH {_FACT_EVENT},
+lost AS (
+  SELECT event_id, product_id, e.user_id,
+    product_id IS NULL OR product_id NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 5 <> 0) AS no_product,
+    e.user_id IS NULL OR e.user_id NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 7 <> 0) AS no_user
+  FROM fact_event e WHERE event_type = 'purchase'),
+named AS (
+  SELECT CASE WHEN no_product AND no_user THEN 'product and user' WHEN no_product THEN 'product'
+    WHEN no_user THEN 'user' ELSE 'kept' END AS reason, event_id, product_id, user_id FROM lost)"""
+    sql["purchase_orphans"] = f"{orphans} SELECT * FROM named WHERE reason <> 'kept'"
+    sql["purchase_orphan_counts"] = f"{orphans} SELECT reason, count(*) AS purchases FROM named GROUP BY reason"
     sql["stream_event_counts"] = """
 SELECT CAST(ts AS DATE) AS event_date, event_type, count(*) AS events FROM events
 WHERE CAST(ts AS DATE) + 1 <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)

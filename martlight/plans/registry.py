@@ -30,6 +30,8 @@ from martlight.sources.ledger import LoadLedger, source_id
 from martlight.sources.testdata import (
     DEMAND_SINCE,
     EVENTS_AS_OF,
+    LAYOUT_MONTH,
+    LAYOUT_WEEK,
     QUARTER,
     RATING_DATE,
     RAW_TABLES,
@@ -41,6 +43,8 @@ from martlight.sources.testdata import (
 from martlight.sources.warehouse import (
     Warehouse,
     create_database,
+    create_tables,
+    insert_overwrite,
     load_partition,
     register_external,
     replace_partitions,
@@ -48,6 +52,7 @@ from martlight.sources.warehouse import (
     write_files,
 )
 from martlight.streaming import events as streams
+from martlight.streaming import orders as order_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -393,6 +398,23 @@ def orders_from_events(w: TestdataWarehouse) -> DataFrame:
     )
 
 
+def _events_with_orphans(w: TestdataWarehouse) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Purchases against dimensions that lack every fifth product and every seventh user."""
+    return (
+        w.table("fact_event", "event_id", "product_id", "user_id", "event_type"),
+        w.table("dim_product", "product_id").where("product_id % 5 <> 0"),
+        w.table("dim_user", "user_id").where("user_id % 7 <> 0"),
+    )
+
+
+def purchase_orphans(w: TestdataWarehouse) -> DataFrame:
+    return rules.purchase_orphans(*_events_with_orphans(w))
+
+
+def purchase_orphan_counts(w: TestdataWarehouse) -> DataFrame:
+    return rules.orphan_counts(*_events_with_orphans(w))
+
+
 def product_attributes(w: TestdataWarehouse) -> DataFrame:
     return rules.product_attributes(w.table("dim_product", "product_id", "category", "implicit_attributes"))
 
@@ -685,6 +707,27 @@ def bucketed_join(w: TestdataWarehouse) -> DataFrame:
     return result.select("user_id", "frequency", "monetary", "recency", "user_tenure")
 
 
+def declared_layout(w: TestdataWarehouse) -> Warehouse:
+    """A month of orders and all users, in catalog tables with their declared partitions and buckets."""
+    database = _scratch_database(w)
+    create_tables(w.spark, database, shared_dir(w.spark, "declared"))
+    month = w.table("fact_order").where(F.col("order_date").between(*LAYOUT_MONTH))
+    insert_overwrite(month, database, "fact_order")
+    insert_overwrite(w.table("dim_user"), database, "dim_user")
+    return Warehouse(w.spark, database=database)
+
+
+def range_features(tables: Warehouse) -> DataFrame:
+    """Each user's orders of a week: only its days are listed, and buckets of both tables meet without a shuffle of orders."""
+    week = tables.table("fact_order").where(F.col("order_date").between(*LAYOUT_WEEK))
+    found = features.user_risk_features(week, tables.table("dim_user"), LAYOUT_WEEK[1])
+    return found.where("frequency > 0").select("user_id", "frequency", "monetary", "recency", "user_tenure")
+
+
+def bucketed_range_features(w: TestdataWarehouse) -> DataFrame:
+    return range_features(declared_layout(w))
+
+
 # --- streaming --------------------------------------------------------------------------
 
 
@@ -712,6 +755,34 @@ def stream_risk_alerts(w: TestdataWarehouse) -> DataFrame:
     return w.spark.read.schema(alerts.schema).orc(f"{base}/out").select(alerts.columns)
 
 
+def stream_orders(w: TestdataWarehouse) -> DataFrame:
+    """Orders from events that arrive in four files, some a file late, some again in the next file and in the last."""
+    base = shared_dir(w.spark, "order-stream")
+    raw = w.raw("events").withColumn("part", F.floor(F.datediff("ts", F.lit("2024-01-01")) / 8).cast("int"))
+    raw = materialize(raw, "events")
+    last = raw.agg(F.max("part").alias("part")).scalar()
+    number = F.col("event_id")
+    late = F.least(F.col("part") + F.when(number % 5 == 0, 1).otherwise(0), last)
+    again = raw.where(number % 7 == 0).withColumn("part", F.least(F.col("part") + 1, last))
+    far = raw.where(number % 11 == 0).withColumn("part", last)
+    arriving = materialize(raw.withColumn("part", late).unionByName(again).unionByName(far), "arriving")
+    # One file after another, as a stream takes them up by age.
+    for row in arriving.select("part").distinct().orderBy("part").toLocalIterator():
+        arriving.where(F.col("part") == row.part).drop("part").coalesce(1).write.parquet(f"{base}/in/part={row.part}")
+    stream = streams.event_stream(w.spark, f"{base}/in/*", RAW_TABLES["events"], files_per_batch=1)
+    order_streams.drain_orders(
+        as_fact_event(stream, *_PURCHASE_COLUMNS),
+        materialize(w.table("dim_product", "product_id", "unit_price", "vendor_id"), "products"),
+        materialize(w.table("dim_user", "user_id", "province", "city"), "users"),
+        w.table("dim_discount"),
+        EVENTS_AS_OF,
+        f"{base}/warehouse",
+        f"{base}/checkpoint",
+        late_by="17 days",
+    )
+    return Warehouse(w.spark, path=f"{base}/warehouse").table("fact_order")
+
+
 _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     category_sales_share,
     repurchase_cycle_days,
@@ -736,6 +807,8 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     best_valid_discount,
     best_valid_discount_by_day,
     orders_from_events,
+    purchase_orphans,
+    purchase_orphan_counts,
     product_attributes,
     vendor_areas,
     session_funnel,
@@ -765,6 +838,8 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     parquet_dim_time,
     partition_replace,
     bucketed_join,
+    bucketed_range_features,
+    stream_orders,
     stream_event_counts,
     stream_risk_alerts,
     user_risk_scores,

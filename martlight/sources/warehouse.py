@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.schemas import TABLES, TableSpec
+from martlight.session import hadoop_path
 
 
 class Warehouse:
@@ -31,6 +32,11 @@ class Warehouse:
         return df.select(*columns) if columns else df
 
 
+def hadoop_exists(spark: SparkSession, location: str) -> bool:
+    path, files = hadoop_path(spark, location)
+    return files.exists(path)
+
+
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Columns of the declared table, by name, in declared order and type."""
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in spec.schema])
