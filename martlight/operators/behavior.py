@@ -29,8 +29,13 @@ def session_funnel(events: DataFrame) -> DataFrame:
         F.coalesce(F.bool_or(_is("cart_add")), F.lit(False)).alias("carted"),
         F.coalesce(F.bool_or(_is("purchase")), F.lit(False)).alias("bought"),
     )
+    return funnel_of_sessions(per_session)
+
+
+def funnel_of_sessions(sessions: DataFrame) -> DataFrame:
+    """The funnel of rows that say for a session whether it ``viewed``, ``carted`` and ``bought``."""
     viewed, carted, bought = F.col("viewed"), F.col("carted"), F.col("bought")
-    totals = per_session.agg(
+    totals = sessions.agg(
         F.count(F.lit(1)).alias("sessions"),
         F.count_if(viewed).alias("view_sessions"),
         F.count_if(viewed & carted).alias("cart_sessions"),

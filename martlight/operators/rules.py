@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -354,3 +355,31 @@ def product_attributes(products: DataFrame) -> DataFrame:
 def vendor_areas(vendors: DataFrame) -> DataFrame:
     """One row per vendor and distribution area."""
     return vendors.select("vendor_id", F.explode("distribution_areas").alias("distribution_area"))
+
+
+def attribute_leaves(products: DataFrame, attributes: str = "implicit_attributes") -> DataFrame:
+    """(product_id, path, value) of every leaf of each product's JSON attributes, whatever they are called.
+
+    Paths are found in the data: names are joined by dots, list positions stand in brackets. The JSON becomes a
+    variant, and each round opens what the last one found to be an object or a list, so there are as many
+    rounds as the deepest value has levels. A JSON null is a leaf without a value; text that is no JSON, and
+    empty objects and lists, have no leaves.
+    """
+    kind = F.schema_of_variant("node")
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    level = products.select("product_id", F.lit("").alias("path"), F.try_parse_json(attributes).alias("node"))
+    level = level.where(F.col("node").isNotNull())
+    found = []
+    while True:
+        found.append(level.where(~nested).select("product_id", "path", F.try_variant_get("node", "$", "string").alias("value")))
+        inner = level.where(nested)
+        if inner.isEmpty():
+            return reduce(DataFrame.union, found)
+        named = F.map_entries(F.try_variant_get("node", "$", "map<string,variant>"))
+        listed = F.try_variant_get("node", "$", "array<variant>")
+        below = F.when(F.col("path") == "", F.lit("")).otherwise(F.concat("path", F.lit(".")))
+        fields = F.transform(named, lambda x: F.struct(F.concat(below, x["key"]).alias("path"), x["value"].alias("node")))
+        items = F.transform(
+            listed, lambda x, i: F.struct(F.concat("path", F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("node"))
+        )
+        level = inner.select("product_id", F.inline(F.coalesce(fields, items)))

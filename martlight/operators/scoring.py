@@ -10,10 +10,11 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, Regr
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlight.functions.columns import DateLike, as_date, class_probability, half_up
+from martlight.functions.columns import DateLike, as_date, class_probability, half_up, ratio
+from martlight.session import materialize
 
 # Model inputs, in vector order, and seed.
 USER_FEATURES = [
@@ -103,6 +104,36 @@ def holdout_auc(scored: DataFrame, key: str, score: str, label: str) -> DataFram
     return _metric(test, evaluator.evaluate(test))
 
 
+def rank_auc(scored: DataFrame, score: str, label: str) -> DataFrame:
+    """One row: the exact area under ROC of a numeric score, six decimals, and the number of rows.
+
+    The chance that a positive scores above a negative, equal scores counting one half. Rows are counted
+    per distinct score first; scores are then parted by ranges, a range starts from the negatives of the
+    ranges below it, and ranks run within ranges, so no task holds all scores. Counts are whole
+    numbers: the result depends on no order. Rows with a null or NaN score or a null label don't
+    count; without a positive or a negative the area is null.
+    """
+    value, positive = F.col(score).cast("double"), F.col(label).cast("double") == 1
+    rows = scored.select(value.alias("score"), positive.alias("positive")).where("score is not null and not isnan(score)")
+    counts = rows.groupBy("score").agg(F.count_if("positive").alias("good"), F.count_if(~F.col("positive")).alias("bad"))
+    ranges = counts.repartitionByRange("score").withColumn("part", F.spark_partition_id())
+    ranges = materialize(ranges, "score-ranges")
+    # As many rows as there are ranges.
+    below = Window.orderBy("least").rowsBetween(Window.unboundedPreceding, -1)
+    parts = ranges.groupBy("part").agg(F.min("score").alias("least"), F.sum("bad").alias("own"))
+    parts = parts.select("part", F.coalesce(F.sum("own").over(below), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    lower = F.col("before") + F.coalesce(F.sum("bad").over(inside), F.lit(0))
+    twice = (F.col("good") * (2 * lower + F.col("bad"))).cast("decimal(38,0)")
+    ranked = ranges.join(F.broadcast(parts), "part").select("good", "bad", twice.alias("twice"))
+    total = ranked.agg(F.sum("twice").alias("twice"), F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    pairs = 2 * F.col("good").cast("double") * F.col("bad")
+    return total.select(
+        half_up(ratio(F.col("twice"), pairs), 6).alias("value"),
+        F.coalesce(F.col("good") + F.col("bad"), F.lit(0)).cast("long").alias("test_rows"),
+    )
+
+
 def holdout_rmse(scored: DataFrame, key: str, score: str, label: str) -> DataFrame:
     """One row: root mean squared error of a numeric prediction on the held-out rows, six decimals."""
     test = train_test_split(scored, key)[1].select(F.col(score).cast("double"), F.col(label).cast("double"))

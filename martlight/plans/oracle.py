@@ -636,6 +636,16 @@ total AS (SELECT count(*) AS n, sum(label) AS bad, sum(r) FILTER (label = 1) AS
 SELECT CAST(round(CAST((ranks - bad * (bad + 1) / 2) / (bad * (n - bad)) AS DECIMAL(38,10)), 6) AS DOUBLE) AS value,
   n AS test_rows
 FROM total"""
+    sql["user_credit_rank_auc"] = sql["user_credit_auc"]
+    sql["product_attribute_leaves"] = f"""
+WITH {_DIM_PRODUCT}
+SELECT product_id, 'color' AS path, color AS value FROM dim_product
+UNION ALL SELECT product_id, 'size', size FROM dim_product"""
+    sql["stream_session_funnel"] = sql["session_funnel"].replace(
+        "GROUP BY session_id)",
+        """GROUP BY session_id
+  HAVING max(event_ts) + INTERVAL 1 DAY <= (SELECT max(event_ts) - INTERVAL 1 HOUR FROM fact_event))""",
+    )
     sql["vendor_rating_rmse"] = f"""
 WITH {_VENDORS},
 test AS (

@@ -53,6 +53,7 @@ from martlight.sources.warehouse import (
 )
 from martlight.streaming import events as streams
 from martlight.streaming import orders as order_streams
+from martlight.streaming import sessions as session_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -300,6 +301,13 @@ def user_credit_auc(w: TestdataWarehouse) -> DataFrame:
     return scoring.holdout_auc(scored, "user_id", "score", "label")
 
 
+def user_credit_rank_auc(w: TestdataWarehouse) -> DataFrame:
+    """The same from ranks, which are exact whatever the number of distinct scores."""
+    labelled = features.user_risk_labels(*_risk_inputs(w), SNAPSHOT_DATE)
+    test = scoring.train_test_split(labelled, "user_id")[1]
+    return scoring.rank_auc(test.select("label", (-F.col("credit_score")).alias("score")), "score", "label")
+
+
 def vendor_rating_rmse(w: TestdataWarehouse) -> DataFrame:
     """How far a fifth of a vendor's service quality is from its label, on the held-out vendors."""
     labelled = features.vendor_performance_labels(features.vendor_features(*_vendor_inputs(w)))
@@ -419,6 +427,10 @@ def product_attributes(w: TestdataWarehouse) -> DataFrame:
     return rules.product_attributes(w.table("dim_product", "product_id", "category", "implicit_attributes"))
 
 
+def product_attribute_leaves(w: TestdataWarehouse) -> DataFrame:
+    return rules.attribute_leaves(w.table("dim_product", "product_id", "implicit_attributes"))
+
+
 def vendor_areas(w: TestdataWarehouse) -> DataFrame:
     return rules.vendor_areas(w.table("dim_vendor", "vendor_id", "distribution_areas"))
 
@@ -755,6 +767,14 @@ def stream_risk_alerts(w: TestdataWarehouse) -> DataFrame:
     return w.spark.read.schema(alerts.schema).orc(f"{base}/out").select(alerts.columns)
 
 
+def stream_session_funnel(w: TestdataWarehouse) -> DataFrame:
+    """The funnel of the sessions that the stream has closed."""
+    closed = session_streams.closed_sessions(_event_stream(w, "session_id", "event_type", "event_ts"), gap="1 day")
+    base = shared_dir(w.spark, "closed-sessions")
+    streams.drain_to_files(closed, f"{base}/out", f"{base}/checkpoint")
+    return behavior.funnel_of_sessions(w.spark.read.schema(closed.schema).parquet(f"{base}/out"))
+
+
 def stream_orders(w: TestdataWarehouse) -> DataFrame:
     """Orders from events that arrive in four files, some a file late, some again in the next file and in the last."""
     base = shared_dir(w.spark, "order-stream")
@@ -810,6 +830,7 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     purchase_orphans,
     purchase_orphan_counts,
     product_attributes,
+    product_attribute_leaves,
     vendor_areas,
     session_funnel,
     user_behavior_profile,
@@ -840,6 +861,7 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     bucketed_join,
     bucketed_range_features,
     stream_orders,
+    stream_session_funnel,
     stream_event_counts,
     stream_risk_alerts,
     user_risk_scores,
@@ -854,6 +876,7 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     score_writeback_rule,
     score_writeback_vendor_rule,
     user_credit_auc,
+    user_credit_rank_auc,
     vendor_rating_rmse,
     user_risk_scores_checked,
     vendor_performance_scores_checked,
