@@ -74,9 +74,10 @@ class Model:
 def train(docs: DataFrame, text: str = "text", language: str = "lang") -> Model:
     """Fit on all labelled documents; the driver gets at most MAX_LANGUAGES * BUCKETS counts.
 
-    Languages beyond MAX_LANGUAGES are an error, found before anything else is fetched.
+    Languages beyond MAX_LANGUAGES are an error, found before anything else is fetched. Texts are read
+    once; repeated rows count again.
     """
-    counts = trigram_counts(docs, text, language)
+    counts = materialize(trigram_counts(docs, text, language), "trigrams")
     names = counts.select("language").distinct().limit(MAX_LANGUAGES + 1).collect()
     if len(names) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")

@@ -27,7 +27,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DICTIONARY_BYTES = 112_640
 SAMPLE_RECORDS = 1000
 SAMPLE_BYTES = 16_384
-ARCHIVE_ROWS = 10_000
+# An archive is closed once it holds so many bytes; it is one row for Spark's writer and readers.
+ARCHIVE_BYTES = 1 << 25
 _HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _BATCH_BYTES = 1 << 25
 
@@ -121,14 +122,15 @@ def write_archives(
     url: str = "url",
     payload: str = "html",
     date: str = "2024-01-01T00:00:00Z",
-    archive_rows: int = ARCHIVE_ROWS,
+    archive_bytes: int = ARCHIVE_BYTES,
     level: int = 3,
 ) -> None:
-    """Write a record for every page into archives of up to ``archive_rows`` - 1 records below ``path``.
+    """Write a record for every page into archives of about ``archive_bytes`` below ``path``.
 
-    Each archive starts with the dictionary's frame. Rows travel as text lines whose bytes
-    are frames, parted by an empty skippable frame, which every reader passes over; so Spark's own
-    writer commits the files, on any store, and a task that is lost is written anew.
+    An archive is closed by the record that brings it to ``archive_bytes``, so it is larger by less than
+    one compressed record. Each starts with the dictionary's frame. It travels as one text line, written to a
+    file of its own, whose end is an empty skippable frame, which every reader passes over; so
+    Spark's own writer commits the files, on any store, and a task that is lost is written anew.
     """
     columns = [F.col(key).alias("key"), F.col(url).alias("url"), F.col(payload).alias("payload")]
     rows = mark_revisits(pages.select(*columns), "key", "payload")
@@ -139,27 +141,23 @@ def write_archives(
 
     def compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=level, dict_data=_dictionary(content), write_checksum=True)
-        frames, held, written = [], 0, 0
+        archive = bytearray()
         for batch in batches:
             for row in zip(*batch.columns):
                 key, url, body, sha1, size, first = (v.as_py() for v in row)
-                if written % archive_rows == 0:
-                    frames.append(head)
-                    written += 1
                 digest = base64.b32encode(bytes.fromhex(sha1)).decode()
                 payload = None if body is None else body.encode()
-                frames.append(packer.compress(record(key, url, payload, digest, size, first, date)))
-                written += 1
-                held += len(frames[-1])
-                if held >= _BATCH_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array(frames, type=pa.binary())], names=["frame"])
-                    frames, held = [], 0
-        if frames:
-            yield pa.RecordBatch.from_arrays([pa.array(frames, type=pa.binary())], names=["frame"])
-
-    frames = rows.mapInArrow(compress, "frame binary").select(F.col("frame").cast("string").alias("value"))
-    options = {"lineSep": EMPTY_FRAME.decode(), "maxRecordsPerFile": archive_rows}
-    frames.write.options(**options).text(path)
+                if not archive:
+                    archive += head
+                archive += packer.compress(record(key, url, payload, digest, size, first, date))
+                if len(archive) >= archive_bytes:
+                    yield pa.RecordBatch.from_arrays([pa.array([bytes(archive)], type=pa.binary())], names=["archive"])
+                    archive = bytearray()
+        if archive:
+            yield pa.RecordBatch.from_arrays([pa.array([bytes(archive)], type=pa.binary())], names=["archive"])
+
+    archives = rows.mapInArrow(compress, "archive binary").select(F.col("archive").cast("string").alias("value"))
+    archives.write.options(lineSep=EMPTY_FRAME.decode(), maxRecordsPerFile=1).text(path)
 
 
 def frame_end(raw: bytes, at: int) -> int:
