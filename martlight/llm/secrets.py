@@ -18,6 +18,10 @@ _ASSIGN = (
 _ACCESS = r"(AKIA[A-Z0-9]{16,})"
 _HEX = r"([0-9a-f]{24,})"
 _TOKEN = r"([A-Za-z0-9+/_-]{20,})"
+# What separators part a token into, and those that one secret may be written with.
+_PIECE = r"([A-Za-z0-9+]{20,})"
+_SEPARATOR = r"[/_-]"
+TOKEN_CHARS = 20
 ASSIGN_CHARS = 6
 
 _DIGITS = "0123456789"
@@ -187,10 +191,51 @@ def _tested(span: Column) -> Column:
     return bind(values, judged)
 
 
+def _parts(span: Column) -> Column:
+    """Other readings of a token with separators, as spans of the text.
+
+    Its pieces between separators, those that are long enough; where there is none, and it has no slash,
+    all of it without its hyphens and underscores, as keys are written in groups.
+    """
+    kind = KINDS.index("random")
+
+    def or_joined(pieces: Column) -> Column:
+        shifted = F.transform(
+            pieces,
+            lambda p: F.struct(
+                (span["start"] + p["start"]).alias("start"),
+                p["kind"].alias("kind"),
+                (span["start"] + p["end"]).alias("end"),
+                p["token"].alias("token"),
+            ),
+        )
+        bare = F.translate(span["token"], "-_", "")
+        joined = F.struct(
+            span["start"].alias("start"), span["kind"].alias("kind"), span["end"].alias("end"), bare.alias("token")
+        )
+        groups = (F.length(bare) >= TOKEN_CHARS) & ~F.contains(span["token"], F.lit("/"))
+        return F.when(F.size(pieces) > 0, shifted).when(groups, F.array(joined)).otherwise(F.expr(_NO_SPANS))
+
+    parted = F.regexp_like(span["token"], F.lit(_SEPARATOR))
+    return F.when(parted, bind(_matches(span["token"], _PIECE, kind), or_joined)).otherwise(F.expr(_NO_SPANS))
+
+
 def random_tokens(text: Column) -> Column:
-    """(start, kind, end, score) of the tokens in a known encoding."""
-    tested = F.transform(_matches(text, _TOKEN, KINDS.index("random")), _tested)
-    return F.filter(tested, lambda s: s["candidate"])
+    """(start, kind, end, score) of the tokens in a known encoding.
+
+    A token that does not look random as a whole is tested in its parts as well; every
+    test counts as one.
+    """
+
+    def tested(span: Column) -> Column:
+        def with_parts(whole: Column) -> Column:
+            alone = F.array(whole)
+            return F.when(whole["score"].isNotNull(), alone).otherwise(F.concat(alone, F.transform(_parts(span), _tested)))
+
+        return bind(_tested(span), with_parts)
+
+    found = F.flatten(F.transform(_matches(text, _TOKEN, KINDS.index("random")), tested))
+    return F.filter(found, lambda s: s["candidate"])
 
 
 def discovery_score(texts: DataFrame, text: str = "text", rate: float = FALSE_DISCOVERIES) -> DataFrame:

@@ -211,11 +211,24 @@ def token_score(token):
     return math.floor(-math.log10(p) * 100)
 
 
+def token_readings(m):
+    """[(start, end, score)] of a token, and of its parts if it isn't random-looking as a whole."""
+    whole = token_score(m[0])
+    out = [(m.start(), m.end(), whole)]
+    if whole is not None and whole >= 0 or not re.search(r"[/_-]", m[0]):
+        return out
+    pieces = list(re.finditer(r"[A-Za-z0-9+]{20,}", m[0]))
+    bare = m[0].replace("-", "").replace("_", "")
+    if pieces:
+        out += [(m.start() + p.start(), m.start() + p.end(), token_score(p[0])) for p in pieces]
+    elif len(bare) >= 20 and "/" not in m[0]:
+        out.append((m.start(), m.end(), token_score(bare)))
+    return out
+
+
 def secret_spans(texts, rate=0.05):
     """[[(start, kind number, end)]] of each text."""
-    tokens = [
-        [(m.start(), m.end(), token_score(m[0])) for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t or "")] for t in texts
-    ]
+    tokens = [[x for m in re.finditer(r"[A-Za-z0-9+/_-]{20,}", t or "") for x in token_readings(m)] for t in texts]
     scores = [s for row in tokens for _, _, s in row if s is not None]
     good = [s for s in set(scores) if s >= 0 and 10 ** (-s / 100) * len(scores) <= rate * sum(o >= s for o in scores)]
     least = min(good, default=math.inf)

@@ -287,6 +287,35 @@ def test_secrets(spark, none):
     assert secrets.redact(none).isEmpty()
 
 
+def separated_rows():
+    """Keys written in groups, and keys between the parts of an address."""
+    import random
+
+    rng = random.Random(21)
+
+    def drawn(symbols, n):
+        return "".join(rng.choice(symbols) for _ in range(n))
+
+    base36, base62 = "abcdefghijklmnopqrstuvwxyz0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    texts = [f"see {drawn(base62, 44)} there" for _ in range(20)]
+    texts += ["-".join(drawn(base36, 8) for _ in range(6)) for _ in range(10)]
+    texts += [f"https://files.example.org/hooks_for_the_team-{i}/{drawn(base36, 48)}/call_back_address" for i in range(10)]
+    texts += ["9f86d081-884c-7d65-9a2f-eaa0c55ad015", "some-long-hyphenated-words-of-prose-2", "path/to/the/usual/file_name_2024/index"]
+    texts += ["-" * 30, "_" * 19 + "a1", "a-" * 40 + "b2", "x/" * 30 + "Y3"]
+    return [(i, t, "s") for i, t in enumerate(texts)]
+
+
+def test_separated_secrets(spark):
+    rows = separated_rows()
+    found = {r.doc_id: [(s.start, s.kind, s.end) for s in r.secrets] for r in secrets.find_secrets(documents(spark, rows)).collect()}
+    assert found == {k: s for (k, _, _), s in zip(rows, brute.secret_spans([t for _, t, _ in rows]))}
+    # All of a key in groups; of an address, the key alone.
+    grouped = [found[i] == [(0, 3, len(rows[i][1]))] for i in range(20, 30)]
+    between = [found[i] == [(rows[i][1].rindex("/") - 48, 3, rows[i][1].rindex("/"))] for i in range(30, 40)]
+    assert sum(grouped) >= 8 and sum(between) >= 8
+    assert not any(found[i] for i in range(41, len(rows)))
+
+
 def test_words_are_not_secrets(docs, rows):
     found = secrets.find_secrets(docs, column="found").where(F.size("found") > 0)
     assert found.isEmpty()
