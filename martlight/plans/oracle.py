@@ -565,6 +565,26 @@ SELECT u.user_id, count(order_id) AS frequency, CAST(sum(net_amount) AS DOUBLE)
   CAST(date_diff('day', registration_date, DATE '1997-04-14') AS INTEGER) AS user_tenure
 FROM fact_order o JOIN dim_user u ON o.user_id = u.user_id
 WHERE order_date BETWEEN DATE '1997-04-08' AND DATE '1997-04-14' GROUP BY u.user_id, registration_date"""
+    changed = """
+changed AS (
+  SELECT * REPLACE (CAST(CASE WHEN order_date IN (DATE '1997-04-09', DATE '1997-04-10', DATE '1997-06-03')
+    THEN net_amount * 2 ELSE net_amount END AS DECIMAL(12,2)) AS net_amount)
+  FROM fact_order WHERE order_date BETWEEN DATE '1997-04-01' AND DATE '1997-06-30')"""
+    sql["daily_category_share"] = f"""
+WITH {_FACT_ORDER}, {_DIM_PRODUCT}, {changed},
+sales AS (
+  SELECT split_part(category, '>', 1) AS main_category, sum(net_amount) AS total
+  FROM changed o JOIN dim_product p ON o.product_id = p.product_id GROUP BY 1)
+SELECT main_category, CAST(total AS DOUBLE) AS total_sales,
+  CAST(round(CAST(CAST(total * 100 AS DOUBLE) / CAST(sum(total) OVER () AS DOUBLE) AS DECIMAL(38,10)), 2) AS DOUBLE)
+    AS sales_percentage
+FROM sales"""
+    sql["daily_demand_top20"] = f"""
+WITH {_FACT_ORDER}, {changed}
+SELECT province, city, count(order_id) AS total_orders, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+  CAST(sum(net_amount) AS DOUBLE) AS total_sales
+FROM changed GROUP BY province, city
+ORDER BY total_orders DESC, total_sales DESC, province, city LIMIT 20"""
     sql["stream_orders"] = sql["orders_from_events"]
     orphans = f"""
 WITH {_FACT_EVENT},

@@ -23,11 +23,13 @@ from pyspark.sql.types import (
 
 from martlight.operators import behavior, bi, features, quality, rules, scoring
 from martlight.plans import load_job, user_risk_job, vendor_performance_job
+from martlight.plans.daily_reports import DailyReports, loaded_days
 from martlight.schemas import TABLES
 from martlight.session import hadoop_path, materialize, shared_dir
 from martlight.sources.csv_files import load_csv, read_csv, reject_counts, rejects, write_csv
 from martlight.sources.ledger import LoadLedger, source_id
 from martlight.sources.testdata import (
+    CHANGED_DAYS,
     DEMAND_SINCE,
     EVENTS_AS_OF,
     LAYOUT_MONTH,
@@ -740,6 +742,27 @@ def bucketed_range_features(w: TestdataWarehouse) -> DataFrame:
     return range_features(declared_layout(w))
 
 
+def _refreshed_reports(w: TestdataWarehouse) -> DailyReports:
+    """A quarter's orders loaded and reported; then three of its days loaded anew, with twice the sales."""
+    base = shared_dir(w.spark, "daily")
+    ledger, reports = LoadLedger(w.spark, f"{base}/warehouse"), DailyReports(w.spark, f"{base}/reports")
+    quarter = materialize(w.table("fact_order").where(F.col("order_date").between(*QUARTER)), "quarter")
+    changed = quarter.where(F.col("order_date").isin(*CHANGED_DAYS))
+    changed = changed.withColumn("net_amount", (F.col("net_amount") * 2).cast("decimal(12,2)"))
+    for load_id, rows in (("quarter", quarter), ("changed", changed)):
+        record = ledger.load(rows, "fact_order", load_id)
+        reports.refresh(ledger.table("fact_order"), loaded_days(record))
+    return reports
+
+
+def daily_category_share(w: TestdataWarehouse) -> DataFrame:
+    return _refreshed_reports(w).category_sales_share(w.table("dim_product", "product_id", "category"), *QUARTER)
+
+
+def daily_demand_top20(w: TestdataWarehouse) -> DataFrame:
+    return _refreshed_reports(w).warehouse_demand_top(QUARTER[0], 20)
+
+
 # --- streaming --------------------------------------------------------------------------
 
 
@@ -860,6 +883,8 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     partition_replace,
     bucketed_join,
     bucketed_range_features,
+    daily_category_share,
+    daily_demand_top20,
     stream_orders,
     stream_session_funnel,
     stream_event_counts,

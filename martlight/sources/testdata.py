@@ -28,6 +28,7 @@ EVENTS_AS_OF = "2024-01-28 12:00:00"
 QUARTER = ("1997-04-01", "1997-06-30")
 DEMAND_SINCE = "1997-01-01"
 LAYOUT_MONTH = ("1997-04-01", "1997-04-30")
+CHANGED_DAYS = ("1997-04-09", "1997-04-10", "1997-06-03")
 LAYOUT_WEEK = ("1997-04-08", "1997-04-14")
 DISCOUNT_COUNT = 10
 
