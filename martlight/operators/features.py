@@ -67,10 +67,18 @@ def _with_ages(features: DataFrame, as_of: DateLike) -> DataFrame:
 
 def user_risk_features(orders: DataFrame, users: DataFrame, as_of: DateLike) -> DataFrame:
     """One feature row per user in ``users``, with or without orders."""
+    return _filled_features(user_order_aggregates(orders), users, as_of, "right")
+
+
+def running_risk_features(aggregates: DataFrame, users: DataFrame, as_of: DateLike) -> DataFrame:
+    """Feature rows of the users in ``aggregates``, as far as ``users`` knows them."""
+    return _filled_features(aggregates, users, as_of, "inner")
+
+
+def _filled_features(aggregates: DataFrame, users: DataFrame, as_of: DateLike, how: str) -> DataFrame:
     profile = users.select("user_id", "registration_date", "credit_score")
-    joined = user_order_aggregates(orders).join(profile, "user_id", "right")
     return (
-        _with_ages(joined, as_of)
+        _with_ages(aggregates.join(profile, "user_id", how), as_of)
         .na.fill(0, subset=_ORDER_FEATURES)
         .na.fill(NEVER_PURCHASED, subset=["recency"])
     )

@@ -661,6 +661,17 @@ FROM total"""
 WITH {_DIM_PRODUCT}
 SELECT product_id, 'color' AS path, color AS value FROM dim_product
 UNION ALL SELECT product_id, 'size', size FROM dim_product"""
+    sql["stream_running_scores"] = f"""
+WITH {_FACT_EVENT}, {_DIM_PRODUCT}, {_DIM_USER},
+sums AS (
+  SELECT e.user_id, count(*) AS frequency, sum(CAST(unit_price * quantity AS DECIMAL(12,2))) AS monetary,
+    date_diff('day', max(event_date), DATE '2024-02-05') AS recency,
+    count(*) FILTER (payment_method = 'prepaid_card') AS prepaid
+  FROM fact_event e JOIN dim_product p ON e.product_id = p.product_id
+  WHERE event_type = 'purchase' GROUP BY e.user_id)
+SELECT user_id, CAST(CASE WHEN frequency > 3 AND prepaid > 1 THEN 1 WHEN monetary > 5000 THEN 0.75
+  WHEN recency < 10 THEN 0.5 ELSE 0.25 END AS DOUBLE) AS risk_score, CAST(1 AS INTEGER) AS model
+FROM sums SEMI JOIN dim_user USING (user_id)"""
     sql["stream_session_funnel"] = sql["session_funnel"].replace(
         "GROUP BY session_id)",
         """GROUP BY session_id

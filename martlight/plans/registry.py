@@ -10,6 +10,8 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -37,6 +39,7 @@ from martlight.sources.testdata import (
     QUARTER,
     RATING_DATE,
     RAW_TABLES,
+    SCORES_AS_OF,
     SNAPSHOT_DATE,
     TestdataWarehouse,
     as_fact_event,
@@ -55,6 +58,7 @@ from martlight.sources.warehouse import (
 )
 from martlight.streaming import events as streams
 from martlight.streaming import orders as order_streams
+from martlight.streaming import scores as score_streams
 from martlight.streaming import sessions as session_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -798,6 +802,48 @@ def stream_session_funnel(w: TestdataWarehouse) -> DataFrame:
     return behavior.funnel_of_sessions(w.spark.read.schema(closed.schema).parquet(f"{base}/out"))
 
 
+# A saved pipeline whose scores SQL can repeat.
+SCORE_RULE = """SELECT *, CAST(CASE WHEN frequency > 3 AND prepaid_card_count > 1 THEN 1.0
+    WHEN monetary > 5000 THEN 0.75 WHEN recency < 10 THEN 0.5 ELSE 0.25 END AS DOUBLE) AS risk_score FROM __THIS__"""
+
+
+def event_orders(events: DataFrame, products: DataFrame) -> DataFrame:
+    """What the user features need of the purchases among events; works on a batch and on a stream."""
+    bought = events.where("event_type = 'purchase'").join(products, "product_id")
+    return bought.selectExpr(
+        "event_id AS order_id",
+        "user_id",
+        "CAST(event_ts AS DATE) AS order_date",
+        "CAST(unit_price * quantity AS DECIMAL(12,2)) AS net_amount",
+        "CAST(0 AS DECIMAL(12,2)) AS discount_amount",
+        "'Pending' AS order_status",
+        "payment_method",
+    )
+
+
+def stream_running_scores(w: TestdataWarehouse) -> DataFrame:
+    """Scores that a saved pipeline gives to running features inside the stream."""
+    base = shared_dir(w.spark, "running-scores")
+    events = _event_stream(w, "event_id", "user_id", "product_id", "event_type", "event_ts", "quantity", "payment_method")
+    products = materialize(w.table("dim_product", "product_id", "unit_price"), "products")
+    users = materialize(w.table("dim_user", "user_id", "registration_date", "credit_score"), "users")
+    some = features.running_risk_features(
+        features.user_order_aggregates(event_orders(w.table("fact_event", *_PURCHASE_COLUMNS), products)), users, SCORES_AS_OF
+    )
+    rule = Pipeline(stages=[SQLTransformer(statement=SCORE_RULE)]).fit(some)
+    score_streams.publish_model(w.spark, rule, f"{base}/models")
+    score_streams.drain_scores(
+        event_orders(events, products),
+        users,
+        SCORES_AS_OF,
+        f"{base}/models",
+        f"{base}/out",
+        f"{base}/checkpoint",
+        score=lambda rows, model: model.transform(rows).select("user_id", "frequency", "risk_score"),
+    )
+    return score_streams.latest_scores(w.spark, f"{base}/out")
+
+
 def stream_orders(w: TestdataWarehouse) -> DataFrame:
     """Orders from events that arrive in four files, some a file late, some again in the next file and in the last."""
     base = shared_dir(w.spark, "order-stream")
@@ -887,6 +933,7 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     daily_demand_top20,
     stream_orders,
     stream_session_funnel,
+    stream_running_scores,
     stream_event_counts,
     stream_risk_alerts,
     user_risk_scores,

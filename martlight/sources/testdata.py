@@ -24,6 +24,7 @@ from martlight.schemas import COUPON_STRATEGY, TABLES
 # Dates the test queries are asked as of.
 RATING_DATE = "2001-08-01"
 SNAPSHOT_DATE = "2001-08-02"
+SCORES_AS_OF = "2024-02-05"
 EVENTS_AS_OF = "2024-01-28 12:00:00"
 QUARTER = ("1997-04-01", "1997-06-30")
 DEMAND_SINCE = "1997-01-01"
