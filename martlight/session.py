@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,10 @@ RECOMMENDED_CONF = {
     "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",
 }
 
+# Where intermediate tables go while a block of ``scratch_tables`` runs.
+_scope: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def build_session(app_name: str = "martlight", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or get) a session with the recommended settings, then ``conf`` on top."""
     builder = SparkSession.builder.appName(app_name)
@@ -54,11 +59,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the one named by ``spark.checkpoint.dir``.
 
     Executors and driver must both see it. A session that names none gets a folder
-    inside its warehouse, which they share as well.
+    inside its warehouse, which they share as well; on a cluster a warehouse of local files is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("name a folder that driver and executors share in spark.checkpoint.dir")
+        base = f"{warehouse}/_scratch"
     return f"{base.rstrip('/')}/martlight/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -84,13 +92,29 @@ def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
         remove(spark, folder)
 
 
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove what ``store`` and ``materialize`` wrote within the block, so the result must be written by its end."""
+    with scratch(spark, "scope") as folder:
+        token = _scope.set(folder)
+        try:
+            yield
+        finally:
+            _scope.reset(token)
+
+
 def store(df: DataFrame, purpose: str, folder: str | None = None) -> tuple[DataFrame, str]:
     """Write ``df`` to the shared folder (or below ``folder``); what is read back, and where it lies.
 
     Cuts the lineage with data that outlives any executor, and pins the rows
     an iterative consumer sees.
     """
-    path = shared_dir(df.sparkSession, purpose) if folder is None else f"{folder}/{purpose}"
+    if folder is not None:
+        path = f"{folder}/{purpose}"
+    elif (scope := _scope.get()) is not None:
+        path = f"{scope}/{purpose}-{uuid.uuid4().hex}"
+    else:
+        path = shared_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
