@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martlight.llm import decontaminate, packing, quality, secrets, simhash
 from martlight.llm.queries import table
-from martlight.session import materialize
+from martlight.session import remove, scratch_tables, shared_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table of documents; each stage's result is written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the table of documents; each stage's result is written and read again.
+
+    What a stage stored on its way, and the result before its own, are removed once its own is written.
+    """
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_dir(spark, f"pipeline-{name}")
+        with scratch_tables(spark):
+            result = stage(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if last is not None:
+            remove(spark, last)
+        last = path
     return STAGES[-1][1](spark, docs, sf_dir)
