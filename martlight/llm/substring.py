@@ -16,6 +16,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from martlight.session import materialize
 
 WINDOW_WORDS = 50
+# Windows of the first level; each level's are about twice as long as those of the one before.
+SHORTEST_WORDS = 13
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2 ** 64
@@ -118,15 +120,41 @@ def _emit(batch_keys: pa.Array, rows: list[int], columns: list[list[np.ndarray]]
     return pa.RecordBatch.from_arrays([keys, *arrays], names=["key", *names])
 
 
-def _seeds(rows: DataFrame, width: int) -> DataFrame:
-    """(key, seed, run): every run of a document once."""
+def levels(width: int, shortest: int) -> list[int]:
+    """Lengths of windows, level by level: each at most twice the one before, the last ``width``."""
+    found = [width]
+    while found[0] > shortest:
+        found.insert(0, (found[0] + 1) // 2)
+    return found
+
+
+def _alive(hashes: WindowHashes, live: np.ndarray, below: int, width: int) -> np.ndarray:
+    """Which windows of ``width`` words consist of nothing but windows of ``below`` words in the runs ``live``."""
+    _, run, first, last = hashes.runs(below)
+    held = np.isin(run, live)
+    edge = np.zeros(len(hashes.words) + 1, dtype=np.int64)
+    np.add.at(edge, first[held], 1)
+    np.add.at(edge, last[held] + 1, -1)
+    dead = np.concatenate(([0], np.cumsum(np.cumsum(edge) == 0)))
+    starts = np.arange(max(0, len(hashes.words) - width + 1))
+    return dead[starts + width - below + 1] == dead[starts]
+
+
+def _seeds(rows: DataFrame, width: int, below: int | None = None) -> DataFrame:
+    """(key, seed, run): every run of a document once; with ``below``, those that its ``run`` list of that level leaves."""
     schema = _rows_of(rows.schema["key"].dataType, ["seed", "run"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owners, seeds, runs = [], [], []
             for i, text in enumerate(batch.column("text")):
-                seed, run, _, _ = WindowHashes(text.as_py()).runs(width)
+                hashes = WindowHashes(text.as_py())
+                seed, run, first, last = hashes.runs(width)
+                if below is not None and len(seed):
+                    live = np.array(batch.column("run")[i].as_py(), dtype=np.int64).view(np.uint64)
+                    count = np.concatenate(([0], np.cumsum(_alive(hashes, live, below, width))))
+                    left = count[last + 1] > count[first]
+                    seed, run = seed[left], run[left]
                 if len(seed):
                     seed, run = _unique(seed, run)
                     owners.append(i)
@@ -195,15 +223,36 @@ def _kept(text: str | None, runs, windows, width: int) -> tuple[int, int, str]:
     return len(hashes.words), len(hashes.words) - len(kept), b" ".join(kept).decode()
 
 
+def _met_twice(seeds: DataFrame) -> DataFrame:
+    """(key, run, varies): the runs whose seed stands in two documents; varies tells whether their runs differ."""
+    twice = (
+        seeds.groupBy("seed")
+        .agg(
+            F.min("key").alias("low"),
+            F.max("key").alias("high"),
+            F.bool_or(F.col("key").isNull()).alias("unnamed"),
+            (F.min("run") != F.max("run")).alias("varies"),
+        )
+        .where("low < high or (unnamed and low is not null)")
+        .select("seed", "varies")
+    )
+    return seeds.join(twice, "seed").select("key", "run", "varies")
+
+
 def remove_repeats(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WINDOW_WORDS
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    width: int = WINDOW_WORDS,
+    shortest: int = SHORTEST_WORDS,
 ) -> DataFrame:
     """One row per document: key, n_words, n_removed, kept_text (the words left, single-spaced).
 
     A word goes if a window of ``width`` words around it also starts in a document of a lesser
-    key. Level one takes windows of half the width: each full window names one of them, its
-    seed, by content alone. Only windows whose seed is met in two documents go on to the full
-    width. There, runs of windows with one seed are compared whole first: all documents of a
+    key. Levels: a window names one of the windows of half its length inside it, its seed, by content
+    alone. What repeats at a level is a seed met in two documents; only windows that consist
+    of such ones are extended to twice the length at the next, until ``width`` is reached or no
+    candidate is left. At the last level, runs of windows with one seed are compared whole first: all documents of a
     run but its first lose it, and only that first one has the run's windows compared one by
     one, if the seed also stands in another run. A group of copies thus costs a row for each
     run and copy, and no pairs. Rows of one key count as one document, rows of a null key as a
@@ -211,19 +260,13 @@ def remove_repeats(
     Windows are told apart by 64-bit hashes.
     """
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    seeds = materialize(_seeds(rows, width), "repeat-seeds")
-    twice = (
-        seeds.groupBy("seed")
-        .agg(
-            F.min("key").alias("low"),
-            F.max("key").alias("high"),
-            F.bool_or(F.col("key").isNull()).alias("unnamed"),
-            (F.min("run") != F.max("run")).alias("varies"),
-        )
-        .where("low < high or (unnamed and low is not null)")
-        .select("seed", "varies")
-    )
-    live = materialize(seeds.join(twice, "seed").select("key", "run", "varies"), "repeat-runs")
+    live, below = None, None
+    for length in levels(width, shortest)[1:] or [width]:
+        left = rows if live is None else _with(rows, _gathered(live.select("key", "run"), "run"), "inner")
+        seeds = materialize(_seeds(left, length, below), "repeat-seeds")
+        live, below = materialize(_met_twice(seeds), "repeat-runs"), length
+        if live.isEmpty():
+            break
     firsts = live.groupBy("run").agg(F.min("key").alias("first"), F.bool_or("varies").alias("varies"))
     whole = live.select("key", "run").join(firsts, "run").where(_earlier(F.col("first"), F.col("key")))
     extend = firsts.where("varies").select(F.col("first").alias("key"), F.col("run").alias("extend"))

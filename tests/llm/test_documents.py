@@ -449,13 +449,27 @@ def test_repeats(docs, rows, none):
     assert substring.remove_repeats(none).isEmpty()
 
 
-@pytest.mark.parametrize("width", [1, 2, 5, 8])
-def test_repeats_in_random_texts(spark, width):
+def test_levels_double():
+    assert substring.levels(50, 13) == [13, 25, 50] and substring.levels(50, 50) == [50]
+    for width in range(1, 70):
+        found = substring.levels(width, 1)
+        assert found[-1] == width and found[0] == 1 and all(a < b <= 2 * a for a, b in zip(found, found[1:]))
+
+
+@pytest.mark.parametrize("shortest", [1, 4, 25, 50])
+def test_levels_change_nothing(docs, rows, shortest):
+    found = substring.remove_repeats(docs, shortest=shortest)
+    ours = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in found.collect())
+    assert ours == Counter(brute.without_repeats([(k, t) for k, t, _ in rows]))
+
+
+@pytest.mark.parametrize("width,shortest", [(1, 1), (2, 1), (5, 1), (5, 3), (8, 2), (8, 8)])
+def test_repeats_in_random_texts(spark, width, shortest):
     """Few words, so that windows repeat inside and across documents in all ways."""
     rng = np.random.default_rng(width)
     rows = [(int(rng.integers(0, 40)), " ".join(map(str, rng.integers(0, 3, int(rng.integers(0, 60)))))) for _ in range(60)]
     rows += [(None, rows[0][1]), (None, " ".join(map(str, rng.integers(0, 3, 30))))]
-    found = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), width=width)
+    found = substring.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), width=width, shortest=shortest)
     ours = Counter(tuple(r) for r in found.collect())
     assert ours == Counter(brute.without_repeats(rows, width))
 
