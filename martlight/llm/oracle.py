@@ -14,7 +14,7 @@ from martlight.llm.quality import (
     REPEAT_WINDOW,
 )
 from martlight.llm.substring import WINDOW_WORDS
-from martlight.llm.urlfilter import BLOCK_PERCENT, FOLLOW_PERCENT, ROUNDS, TOTAL_MASS
+from martlight.llm.urlfilter import BLOCK_PERCENT, FOLLOW_PERCENT, STORE_ROUNDS, TOLERANCE, TOTAL_MASS
 
 _SPACES = r"[ \t\n\x0b\x0c\r]"
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -166,18 +166,8 @@ def _url_filters() -> str:
         f"('{r.host}', '{r.path}', '{r.name}', '{r.verdict}', {len(r.name)})" for r in URL_RULES
     )
     link = r"""(?i)<a\s[^>]*?href\s*=\s*["'']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"''\s>]+)"""
-    rounds = []
-    for n in range(1, ROUNDS + 1):
-        before = "starts" if n == 1 else f"ranks{n - 1}"
-        rounds.append(
-            f"""ranks{n} AS (
-  SELECT kind, host, CAST(sum(mass) AS BIGINT) AS mass FROM (
-    SELECT kind, next AS host, (mass * {FOLLOW_PERCENT} // 100) // degree AS mass FROM {before} JOIN ways USING (kind, host)
-    UNION ALL SELECT kind, host, mass * {100 - FOLLOW_PERCENT} // 100 FROM starts
-  ) GROUP BY kind, host)"""
-        )
     return f"""
-WITH rules(rhost, rpath, rule, rverdict, size) AS (VALUES {rules}), rows AS (
+WITH RECURSIVE rules(rhost, rpath, rule, rverdict, size) AS (VALUES {rules}), rows AS (
   SELECT row_number() OVER () AS r, page_id, html,
     {_LOWER.format("coalesce(regexp_extract(url, '^(?s).*?://([^/?#]*)', 1), '')")} AS host,
     coalesce(regexp_extract(url, '^(?s).*?://[^/?#]*([^?#]*)', 1), '') AS path
@@ -201,10 +191,28 @@ WITH rules(rhost, rpath, rule, rverdict, size) AS (VALUES {rules}), rows AS (
   UNION ALL
   SELECT 'distrust', host, CAST(CAST(blocked AS HUGEINT) * {TOTAL_MASS} // (SELECT sum(blocked) FROM counts) AS BIGINT)
   FROM counts WHERE blocked > 0
-), {", ".join(rounds)}, scores AS (
+), kept AS (
+  SELECT kind, host, mass * {100 - FOLLOW_PERCENT} // 100 AS mass FROM starts
+), ranks AS (
+  SELECT 0 AS n, kind, host, mass, CAST(sum(mass) OVER () AS BIGINT) AS last_sum, count(*) OVER () AS last_count, false AS settled
+  FROM kept
+  UNION ALL
+  SELECT n, kind, host, mass, CASE WHEN n % {STORE_ROUNDS} = 0 THEN now_sum ELSE last_sum END,
+    CASE WHEN n % {STORE_ROUNDS} = 0 THEN now_count ELSE last_count END,
+    n % {STORE_ROUNDS} = 0 AND now_sum - last_sum <= {TOLERANCE} AND now_count = last_count
+  FROM (
+    SELECT *, CAST(sum(mass) OVER () AS BIGINT) AS now_sum, count(*) OVER () AS now_count FROM (
+      SELECT n, kind, host, CAST(sum(mass) AS BIGINT) AS mass, max(last_sum) AS last_sum, max(last_count) AS last_count FROM (
+        SELECT n + 1 AS n, kind, next AS host, (mass * {FOLLOW_PERCENT} // 100) // degree AS mass, last_sum, last_count
+        FROM ranks JOIN ways USING (kind, host) WHERE NOT settled AND (mass * {FOLLOW_PERCENT} // 100) // degree > 0
+        UNION ALL
+        SELECT n + 1, k.kind, k.host, k.mass, last_sum, last_count
+        FROM kept k, (SELECT DISTINCT n, last_sum, last_count FROM ranks WHERE NOT settled)
+      ) GROUP BY n, kind, host))
+), scores AS (
   SELECT host, CAST(coalesce(sum(mass) FILTER (kind = 'trust'), 0) AS BIGINT) AS trust,
          CAST(coalesce(sum(mass) FILTER (kind = 'distrust'), 0) AS BIGINT) AS distrust
-  FROM ranks{ROUNDS} GROUP BY host
+  FROM ranks WHERE n = (SELECT max(n) FROM ranks) GROUP BY host
 )
 SELECT page_id, host, path, rule,
   coalesce(decided, CASE WHEN coalesce(distrust, 0) > 0

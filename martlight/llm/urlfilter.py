@@ -14,8 +14,6 @@ from martlight.session import materialize, remove, store
 # Masses are whole numbers, so sums don't depend on their order.
 TOTAL_MASS = 10**15
 FOLLOW_PERCENT = 85
-# Rounds of the SQL counterpart, which can't loop.
-ROUNDS = 8
 # Rounds between two stored rank tables.
 STORE_ROUNDS = 4
 # Masses have settled when so many rounds add no more than this to all of them, and reach no further host.

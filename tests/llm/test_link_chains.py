@@ -3,7 +3,9 @@
 from collections import defaultdict
 
 from martlight.llm import urlfilter
-from martlight.llm.queries import URL_RULES
+from martlight.llm.oracle import ORACLES
+from martlight.llm.queries import QUERIES, URL_RULES
+from tests.compare import connect, differences
 from tests.llm.tables import PAGES
 from tests.llm.test_pages import link
 
@@ -24,14 +26,27 @@ def settled(own, ways):
         ranks = following
 
 
-def test_chains_longer_than_eight_links(spark):
-    """Every host of a chain that ends at a blocked one is suspect; a ring settles to its fixed point."""
+def chain_pages():
     graph = {f"c{i}.org": [f"c{i + 1}.org"] for i in range(CHAIN)}
     graph[f"c{CHAIN}.org"] = ["bad.net"]
     graph |= {"bad.net": [], "good.com": ["r0.org"], "alone.org": []}
     graph |= {f"r{i}.org": [f"r{(i + 1) % 12}.org"] for i in range(12)}
     paths = {"good.com": "/", "bad.net": "/es/"}
     rows = [(i, f"http://{h}{paths.get(h, '/p')}", "".join(map(link, t))) for i, (h, t) in enumerate(graph.items())]
+    return graph, rows
+
+
+def test_settled_masses_match_sql(spark, tmp_path):
+    """The recursion in SQL settles after the same number of rounds, to the same unit."""
+    spark.createDataFrame(chain_pages()[1], PAGES).coalesce(1).write.parquet(f"{tmp_path}/p")
+    next((tmp_path / "p").glob("part-*.parquet")).rename(tmp_path / "pages.parquet")
+    name = "op8_url_filters"
+    assert differences(spark, connect(str(tmp_path)), QUERIES[name], ORACLES[name], str(tmp_path)) == []
+
+
+def test_chains_longer_than_eight_links(spark):
+    """Every host of a chain that ends at a blocked one is suspect; a ring settles to its fixed point."""
+    graph, rows = chain_pages()
     found = {r.host: r for r in urlfilter.judge_urls(spark.createDataFrame(rows, PAGES), URL_RULES).collect()}
     back = defaultdict(list)
     for s, targets in graph.items():
