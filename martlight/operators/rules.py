@@ -104,10 +104,13 @@ def _priced_rules(discounts: DataFrame) -> DataFrame:
 
 def _frontier(rules: DataFrame, *by: str) -> DataFrame:
     """Rules that some gross would choose: a higher threshold must take off more, or as much with a lower id."""
-    best = rules.groupBy(*by, "share", "threshold").agg(F.max("best").alias("best"))
-    lower = Window.partitionBy(*by, "share").orderBy("threshold").rowsBetween(Window.unboundedPreceding, -1)
+    lower = (
+        Window.partitionBy(*by, "share")
+        .orderBy("threshold", F.desc("best"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     before = F.max("best").over(lower)
-    return best.withColumn("_before", before).where("_before is null or best > _before").drop("_before")
+    return rules.withColumn("_before", before).where("_before is null or best > _before").drop("_before")
 
 
 def _quantiles(times: DataFrame, each: int) -> list[int]:
@@ -163,7 +166,9 @@ def _throughout(rules: DataFrame, stretches: int) -> DataFrame:
             F.when((rest < hi) & (hi % 2 == 1), F.struct(F.lit(k).alias("level"), (hi - 1).alias("block"))),
         ]
     lasting = rules.where("last - first > 1").select(F.inline(F.array_compact(F.array(*blocks))), "share", "threshold", "best")
-    wide = _frontier(lasting, "level", "block")
+    # Very many rules may last for ever: of one threshold only the best is ranked.
+    best = lasting.groupBy("level", "block", "share", "threshold").agg(F.max("best").alias("best"))
+    wide = _frontier(best, "level", "block")
     size = F.expr("shiftleft(1, level)")
     own = F.sequence(F.col("block") * size, (F.col("block") + 1) * size - 1)
     dealt = wide.select(F.explode(own.cast("array<int>")).alias("stretch"), "share", "threshold", "best")
@@ -200,8 +205,9 @@ def discount_steps(discounts: DataFrame, stretches: _Stretches) -> DataFrame:
         return F.collect_list(F.when(F.expr(condition), step))
 
     # Where the last rule ends there is no step, but an end of the one before.
+    ended = at.select("stretch", "at", *[F.lit(None).cast(steps.schema[c].dataType).alias(c) for c in ("share", "threshold", "best")])
     return (
-        at.join(steps, ["stretch", "at"], "left")
+        steps.unionByName(ended)
         .groupBy("stretch", "at")
         .agg(side("share").alias("shares"), side("not share").alias("values"))
     )
