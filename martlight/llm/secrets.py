@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlight.llm.columns import LOWER, UPPER, bind, fresh
+from martlight.llm.columns import LOWER, UPPER, bind, fresh, in_blocks, running
 
 # The patterns, in the order in which they are listed.
 KINDS = ["assign", "access", "hex", "random"]
@@ -34,6 +34,8 @@ WORD_CUBES_RATIO = 1.3
 FALSE_DISCOVERIES = 0.05
 # Resolution of p values: hundredths of a power of ten.
 _STEPS = 100
+# Gaps between secrets in the blocks that a text is cut into before them.
+_CUT_BLOCKS = [4096, 64]
 
 
 @dataclass(frozen=True)
@@ -63,19 +65,17 @@ def _matches(text: Column, pattern: str, kind: int, least: int = 0) -> Column:
     Between two matches stands what a split leaves, so positions are sums of lengths.
     """
     def place(parts: Column) -> Column:
-        start = F.struct(F.expr(_NO_SPANS).alias("done"), F.lit(0).alias("at"))
+        lengths = F.transform(parts, lambda p: F.length(p["gap"]) + F.length(p["whole"]))
 
-        def add(state: Column, p: Column) -> Column:
-            begin = state["at"] + F.length(p["gap"])
+        def span(p: Column, at: Column) -> Column:
+            begin = at + F.length(p["gap"])
             end = begin + F.length(p["whole"])
-            span = F.struct(
+            return F.struct(
                 begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["token"].alias("token")
             )
-            long = F.length(p["token"]) >= least
-            done = F.when(long, F.array_append(state["done"], span)).otherwise(state["done"])
-            return F.struct(done.alias("done"), end.alias("at"))
 
-        return F.aggregate(parts, start, add, lambda state: state["done"])
+        spans = F.zip_with(parts, running(lengths, F.lit(0), lambda a, b: a + b), span)
+        return F.filter(spans, lambda s: F.length(s["token"]) >= least)
 
     expression = F.lit(pattern)
     # The last piece of the split follows the last match and pairs with nothing.
@@ -256,6 +256,24 @@ def discovery_score(texts: DataFrame, text: str = "text", rate: float = FALSE_DI
     return ranked.where(enough).agg(F.min("score").alias("least"))
 
 
+def _apart(spans: Column) -> Column:
+    """Sorted spans without the random tokens that a pattern's span overlaps.
+
+    Spans that start no later are asked for their farthest end, later ones for their first start.
+    """
+    random, far = KINDS.index("random"), 2**31 - 1
+    ends = F.transform(spans, lambda s: F.when(s["kind"] < random, s["end"]).otherwise(0))
+    starts = F.transform(F.reverse(spans), lambda s: F.when(s["kind"] < random, s["start"]).otherwise(far))
+
+    def kept(around: Column) -> Column:
+        free = lambda s, i: (F.get(around["reach"], i) <= s["start"]) & (F.get(around["next"], i) >= s["end"])
+        return F.filter(spans, lambda s, i: (s["kind"] < random) | free(s, i))
+
+    reach = running(ends, F.lit(0), F.greatest)
+    following = F.reverse(running(starts, F.lit(far), F.least))
+    return bind(F.struct(reach.alias("reach"), following.alias("next")), kept)
+
+
 def find_secrets(
     docs: DataFrame, text: str = "text", rate: float = FALSE_DISCOVERIES, column: str = "secrets"
 ) -> DataFrame:
@@ -263,7 +281,7 @@ def find_secrets(
 
     kind is a position in KINDS. Patterns come first; a random token counts where no
     pattern's span overlaps it. A null or empty text has none. The corpus is read twice: for the
-    score that discoveries need, and for the spans.
+    score that discoveries need, and for the spans. The work on a text grows with its length and matches alone.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     least = fresh(docs, "least_score")
@@ -278,14 +296,9 @@ def find_secrets(
         _matches(whole, _HEX, KINDS.index("hex")),
     )
 
-    def joined(base: Column) -> Column:
-        def apart(s: Column) -> Column:
-            return ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-
-        more = F.filter(random_tokens(whole), lambda s: F.coalesce(s["score"] >= F.col(least), F.lit(False)) & apart(s))
-        return F.sort_array(F.concat(base, plain(more)))
-
-    return rows.withColumn(column, bind(plain(named), joined)).drop(least)
+    discoveries = F.filter(random_tokens(whole), lambda s: F.coalesce(s["score"] >= F.col(least), F.lit(False)))
+    spans = F.sort_array(F.concat(plain(named), plain(discoveries)))
+    return rows.withColumn(column, bind(spans, _apart)).drop(least)
 
 
 def listed(spans: Column) -> Column:
@@ -295,21 +308,36 @@ def listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, entry), ",")
 
 
+def _joined(text: Column, offset: Column, gaps: Column, mark: str, blocks: list[int]) -> Column:
+    """The ``gaps`` (start, end) of a text that begins at ``offset``, in order, each followed by ``mark``.
+
+    Spark finds a character by counting from a string's start, so the text is cut block by
+    block before it is cut gap by gap.
+    """
+    def cut(first: Column, last: Column) -> Column:
+        return F.substring(text, first["start"] - offset + 1, last["end"] - first["start"])
+
+    if not blocks:
+        return F.array_join(F.transform(gaps, lambda g: F.concat(cut(g, g), F.lit(mark))), "")
+
+    def section(block: Column) -> Column:
+        first, last = F.get(block, F.lit(0)), F.get(block, F.size(block) - 1)
+        return bind(cut(first, last), lambda part: _joined(part, first["start"], block, mark, blocks[1:]))
+
+    return F.array_join(F.transform(in_blocks(gaps, blocks[0]), section), "")
+
+
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", rate: float = FALSE_DISCOVERIES) -> DataFrame:
     """``docs`` with every secret replaced by ``mark``; overlapping ones by one mark."""
     column = fresh(docs, "secrets")
     found = find_secrets(docs, text, rate, column)
-    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+    reach = running(F.transform(column, lambda s: s["end"]), F.lit(0), F.greatest)
 
-    def add(state: Column, s: Column) -> Column:
-        gap = F.substring(F.col(text), state["at"] + 1, s["start"] - state["at"])
-        fresh = (state["at"] == 0) | (s["start"] >= state["at"])
-        return F.struct(
-            F.when(fresh, F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"]).alias("out"),
-            F.greatest(state["at"], s["end"]).alias("at"),
-        )
+    def gaps(reach: Column) -> Column:
+        before = F.zip_with(column, reach, lambda s, at: F.struct(at.alias("start"), s["start"].alias("end")))
+        return F.filter(before, lambda g: g["end"] >= g["start"])
 
-    clean = F.aggregate(
-        column, start, add, lambda state: F.concat(state["out"], F.substring(F.col(text), state["at"] + 1, F.length(text)))
-    )
+    kept = bind(bind(reach, gaps), lambda g: _joined(F.col(text), F.lit(0), g, mark, _CUT_BLOCKS))
+    last = F.array_max(F.transform(column, lambda s: s["end"]))
+    clean = F.concat(kept, F.substring(F.col(text), last + 1, F.length(text)))
     return found.withColumn(text, F.when(F.size(column) > 0, clean).otherwise(F.col(text))).select(*docs.columns)

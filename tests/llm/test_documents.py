@@ -1,6 +1,7 @@
 """Operators on documents against brute force, on awkward rows."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from martlight.llm import decontaminate, packing, quality, secrets, sharding, simhash, substring
+from martlight.llm import columns, decontaminate, packing, quality, secrets, sharding, simhash, substring
 from tests.llm import brute
 from tests.llm.tables import BENCHMARK, DOCUMENTS, clashing, document_rows, documents, sentence
 
@@ -124,8 +125,6 @@ def test_quality_base(docs, rows):
 
 def boilerplate_rows():
     """A host whose documents share lines, another that only copies one text."""
-    import random
-
     rng = random.Random(3)
 
     def sentence(rng, n):
@@ -158,8 +157,6 @@ def test_frequent_lines(spark):
 
 def test_pages_of_pure_template_are_rejected(spark):
     """Half of a host's pages are four shared lines and six words of their own."""
-    import random
-
     rng = random.Random(13)
     template = [sentence(rng, 12) for _ in range(4)]
     rows = [(i, "\n".join([*template, sentence(rng, 6)]), "host") for i in range(200)]
@@ -182,8 +179,6 @@ ITEMS = 9
 
 
 def item_rows(rows):
-    import random
-
     rng = random.Random(5)
     long = [t for _, t, _ in rows if t and len(t.split()) > 60]
     items = [(i, " ".join(long[i].split()[10:45])) for i in range(ITEMS)]
@@ -289,8 +284,6 @@ def test_secrets(spark, none):
 
 def separated_rows():
     """Keys written in groups, and keys between the parts of an address."""
-    import random
-
     rng = random.Random(21)
 
     def drawn(symbols, n):
@@ -316,6 +309,42 @@ def test_separated_secrets(spark):
     assert not any(found[i] for i in range(41, len(rows)))
 
 
+def test_text_of_forty_thousand_secrets(spark):
+    """Spans and marks over many blocks, in time that does not grow with the square of the matches."""
+    rng = random.Random(8)
+    keys = ["".join(rng.choices("0123456789abcdef", k=32)) for _ in range(20_000)]
+    mixed = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=40)) for _ in range(20_000)]
+    tokens = [t for pair in zip(keys, mixed) for t in pair]
+    text = "".join(f"é{i} {t}\n" for i, t in enumerate(tokens))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    row = secrets.find_secrets(docs).select("secrets").first().secrets
+    at, hexes = 0, []
+    for i, token in enumerate(tokens):
+        at += len(f"é{i} ")
+        if i % 2 == 0:
+            hexes.append((at, at + len(token)))
+        at += len(token) + 1
+    assert [(s.start, s.end) for s in row if s.kind == secrets.KINDS.index("hex")] == hexes
+    assert len(row) > 39_600
+    spans = [(s.start, s.kind, s.end) for s in row]
+    assert spans == sorted(spans)
+    assert all(a[2] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert secrets.redact(docs).first().text == brute.masked(text, spans)
+
+
+@pytest.mark.parametrize("n", [0, 1, 5, 6, 7, 40])
+def test_running(spark, monkeypatch, n):
+    monkeypatch.setattr(columns, "BLOCK", 6)
+    values = [(i * 7) % 11 for i in range(n)]
+    rows = spark.createDataFrame([(values,)], "x array<int>")
+    got = rows.select(
+        columns.running(F.col("x"), F.lit(0), lambda a, b: a + b).alias("sums"),
+        columns.running(F.col("x"), F.lit(0), F.greatest).alias("tops"),
+    ).first()
+    assert got.sums == [sum(values[:i]) for i in range(n)]
+    assert got.tops == [max([0, *values[:i]]) for i in range(n)]
+
+
 def test_words_are_not_secrets(docs, rows):
     found = secrets.find_secrets(docs, column="found").where(F.size("found") > 0)
     assert found.isEmpty()
