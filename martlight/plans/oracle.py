@@ -688,6 +688,17 @@ SELECT CAST(round(CAST(sqrt(avg(e * e)) AS DECIMAL(38,10)), 6) AS DOUBLE) AS val
 SELECT c_custkey AS user_id, DATE '2001-08-02' AS scoring_date, true AS in_range, true AS flag_agrees FROM customer"""
     sql["vendor_performance_scores_checked"] = """
 SELECT s_suppkey AS vendor_id, s_name AS vendor_name, DATE '2001-08-02' AS scoring_date, true AS in_range FROM supplier"""
+    sql["user_risk_small_forest"] = f"""
+WITH {_ALL_USERS}
+SELECT user_id,
+  CAST(0.5 * CASE WHEN frequency <= 4 THEN CASE WHEN recency <= 999 THEN 0.25 ELSE 0 END
+    WHEN prepaid_card_count <= 0 THEN 0.5 ELSE 1 END
+  + 0.25 * CASE WHEN CAST(monetary AS DOUBLE) * CAST(0.001 AS DOUBLE) <= 50 THEN 0.125 ELSE 0.75 END
+  + 0.25 * CASE WHEN coalesce(user_tenure, 0) > 2500 THEN 0 WHEN return_rate_model <= 0.25 THEN 0.5 ELSE 1 END
+  AS DOUBLE) AS risk_score
+FROM user_labelled"""
+    sql["user_risk_scores_exported"] = "SELECT c_custkey AS user_id, true AS same_score FROM customer"
+    sql["vendor_performance_scores_exported"] = "SELECT s_suppkey AS vendor_id, true AS same_score FROM supplier"
     sql["stream_risk_alerts"] = f"""
 WITH {_ALL_USERS}, {_FACT_EVENT}
 SELECT sha256(event_id) AS alert_id, event_id, e.user_id,

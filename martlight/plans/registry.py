@@ -12,7 +12,7 @@ from dataclasses import replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import SQLTransformer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -23,7 +23,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from martlight.operators import behavior, bi, features, quality, rules, scoring
+from martlight.operators import behavior, bi, features, quality, rules, scoring, trees
 from martlight.plans import load_job, user_risk_job, vendor_performance_job
 from martlight.plans.daily_reports import DailyReports, loaded_days
 from martlight.schemas import TABLES
@@ -300,6 +300,57 @@ def score_writeback_vendor_rule(w: TestdataWarehouse) -> DataFrame:
     return _write_back(w, scoring.score_vendors_by_rule(labelled, SNAPSHOT_DATE), "vendor_performance_score")
 
 
+# A small ensemble whose scores SQL can repeat, in the columns of exported splits.
+SMALL_FOREST = [
+    (0, 0, "frequency", 0.5, 2.0, 1, 2, None, 0.5),
+    (0, 1, "recency", 1.0, 999.0, 3, 4, None, 0.5),
+    (0, 2, "prepaid_card_count", 1.0, 0.0, 5, 6, None, 0.5),
+    (0, 3, None, None, None, None, None, 0.25, 0.5),
+    (0, 4, None, None, None, None, None, 0.0, 0.5),
+    (0, 5, None, None, None, None, None, 0.5, 0.5),
+    (0, 6, None, None, None, None, None, 1.0, 0.5),
+    (1, 0, "monetary", 0.001, 50.0, 1, 2, None, 0.25),
+    (1, 1, None, None, None, None, None, 0.125, 0.25),
+    (1, 2, None, None, None, None, None, 0.75, 0.25),
+    (2, 0, "user_tenure", 1.0, 2500.0, 1, 2, None, 0.25),
+    (2, 1, "return_rate_model", 2.0, 0.5, 3, 4, None, 0.25),
+    (2, 2, None, None, None, None, None, 0.0, 0.25),
+    (2, 3, None, None, None, None, None, 0.5, 0.25),
+    (2, 4, None, None, None, None, None, 1.0, 0.25),
+]
+
+
+def user_risk_small_forest(w: TestdataWarehouse) -> DataFrame:
+    """Scores of a saved ensemble of three trees over every user's features."""
+    path = shared_dir(w.spark, "small-forest")
+    w.spark.createDataFrame(SMALL_FOREST, trees.SPLITS_SCHEMA).write.parquet(path)
+    labelled = features.user_risk_labels(*_risk_inputs(w), SNAPSHOT_DATE)
+    scored = trees.score_rows(scoring.user_model_inputs(labelled), w.spark.read.parquet(path), "risk_score")
+    return scored.select("user_id", "risk_score")
+
+
+def _same_score(value: str) -> Column:
+    return (F.abs(F.col(value) - F.col("exported")) < 1e-6).alias("same_score")
+
+
+def user_risk_scores_exported(w: TestdataWarehouse) -> DataFrame:
+    """Whether the fitted forest's splits, as SQL, give every user the forest's own score."""
+    model, path = _user_fit(w)[0].model, shared_dir(w.spark, "user-forest")
+    splits = trees.export_splits(w.spark, model, scoring.USER_FEATURES, path)
+    labelled = features.user_risk_labels(*_risk_inputs(w), SNAPSHOT_DATE)
+    rows = trees.score_rows(scoring.user_model_inputs(labelled), splits, "exported").select("user_id", "exported")
+    return _user_fit(w)[1].join(rows, "user_id").select("user_id", _same_score("risk_score"))
+
+
+def vendor_performance_scores_exported(w: TestdataWarehouse) -> DataFrame:
+    """The same for the boosted trees and every vendor."""
+    model, path = _vendor_fit(w)[0].model, shared_dir(w.spark, "vendor-trees")
+    splits = trees.export_splits(w.spark, model, scoring.VENDOR_FEATURES, path)
+    labelled = features.vendor_performance_labels(features.vendor_features(*_vendor_inputs(w)))
+    rows = trees.score_rows(scoring.vendor_model_inputs(labelled), splits, "exported").select("vendor_id", "exported")
+    return _vendor_fit(w)[1].join(rows, "vendor_id").select("vendor_id", _same_score("performance_score"))
+
+
 def user_credit_auc(w: TestdataWarehouse) -> DataFrame:
     """How well a low credit score alone tells the labelled users, on the held-out ones."""
     labelled = features.user_risk_labels(*_risk_inputs(w), SNAPSHOT_DATE)
@@ -960,6 +1011,9 @@ _OPERATORS: list[Callable[[TestdataWarehouse], DataFrame]] = [
     vendor_rating_rmse,
     user_risk_scores_checked,
     vendor_performance_scores_checked,
+    user_risk_small_forest,
+    user_risk_scores_exported,
+    vendor_performance_scores_exported,
 ]
 
 
