@@ -109,15 +109,19 @@ def _unique(*columns: np.ndarray) -> list[np.ndarray]:
     return [c[at] for c in columns]
 
 
+# What names a row: its document's key, and a hash of its text, as any number of rows may share a key.
+_ROW = ["key", "own"]
+
+
 def _rows_of(key_type, names: list[str]) -> StructType:
-    return StructType([StructField("key", key_type), *[StructField(n, LongType()) for n in names]])
+    return StructType([StructField("key", key_type), *[StructField(n, LongType()) for n in ["own", *names]]])
 
 
-def _emit(batch_keys: pa.Array, rows: list[int], columns: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
+def _emit(batch: pa.RecordBatch, rows: list[int], columns: list[list[np.ndarray]], names: list[str]) -> pa.RecordBatch:
     counts = [len(c) for c in columns[0]]
-    keys = batch_keys.take(pa.array(np.repeat(np.array(rows, dtype=np.int64), counts)))
+    at = pa.array(np.repeat(np.array(rows, dtype=np.int64), counts))
     arrays = [pa.array(np.concatenate(c).view(np.int64)) for c in columns]
-    return pa.RecordBatch.from_arrays([keys, *arrays], names=["key", *names])
+    return pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in _ROW], *arrays], names=[*_ROW, *names])
 
 
 def levels(width: int, shortest: int) -> list[int]:
@@ -141,7 +145,7 @@ def _alive(hashes: WindowHashes, live: np.ndarray, below: int, width: int) -> np
 
 
 def _seeds(rows: DataFrame, width: int, below: int | None = None) -> DataFrame:
-    """(key, seed, run): every run of a document once; with ``below``, those that its ``run`` list of that level leaves."""
+    """(key, own, seed, run): every run of a row once; with ``below``, those that its ``run`` list of that level leaves."""
     schema = _rows_of(rows.schema["key"].dataType, ["seed", "run"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,13 +165,13 @@ def _seeds(rows: DataFrame, width: int, below: int | None = None) -> DataFrame:
                     seeds.append(seed)
                     runs.append(run)
             if owners:
-                yield _emit(batch.column("key"), owners, [seeds, runs], ["seed", "run"])
+                yield _emit(batch, owners, [seeds, runs], ["seed", "run"])
 
     return rows.mapInArrow(scan, schema)
 
 
 def _windows(rows: DataFrame, width: int) -> DataFrame:
-    """(key, window): the windows of each document's ``extend`` runs, each once."""
+    """(key, own, window): the windows of each row's ``extend`` runs, each once."""
     schema = _rows_of(rows.schema["key"].dataType, ["window"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +186,7 @@ def _windows(rows: DataFrame, width: int) -> DataFrame:
                     owners.append(i)
                     found.append(_unique(hashes.between(at, at + width))[0])
             if owners:
-                yield _emit(batch.column("key"), owners, [found], ["window"])
+                yield _emit(batch, owners, [found], ["window"])
 
     return rows.mapInArrow(scan, schema)
 
@@ -193,13 +197,15 @@ def _earlier(first: Column, key: Column) -> Column:
 
 
 def _gathered(rows: DataFrame, column: str) -> DataFrame:
-    return rows.groupBy("key").agg(F.collect_set(column).alias(column))
+    """One list a row, no longer than its text."""
+    return rows.groupBy(*_ROW).agg(F.collect_set(column).alias(column))
 
 
 def _with(rows: DataFrame, more: DataFrame, how: str) -> DataFrame:
-    """``rows`` with the further columns of the same key; null keys meet."""
-    more = more.withColumnRenamed("key", "more_key")
-    return rows.join(more, F.col("key").eqNullSafe(F.col("more_key")), how).drop("more_key")
+    """``rows`` with the further columns of the same row; null keys meet."""
+    more = more.withColumnsRenamed({"key": "more_key", "own": "more_own"})
+    same = F.col("key").eqNullSafe(F.col("more_key")) & (F.col("own") == F.col("more_own"))
+    return rows.join(more, same, how).drop("more_key", "more_own")
 
 
 def _kept(text: str | None, runs, windows, width: int) -> tuple[int, int, str]:
@@ -224,7 +230,7 @@ def _kept(text: str | None, runs, windows, width: int) -> tuple[int, int, str]:
 
 
 def _met_twice(seeds: DataFrame) -> DataFrame:
-    """(key, run, varies): the runs whose seed stands in two documents; varies tells whether their runs differ."""
+    """(key, own, run, varies): the runs whose seed stands in two documents; varies tells whether their runs differ."""
     twice = (
         seeds.groupBy("seed")
         .agg(
@@ -236,7 +242,7 @@ def _met_twice(seeds: DataFrame) -> DataFrame:
         .where("low < high or (unnamed and low is not null)")
         .select("seed", "varies")
     )
-    return seeds.join(twice, "seed").select("key", "run", "varies")
+    return seeds.join(twice, "seed").select(*_ROW, "run", "varies")
 
 
 def remove_repeats(
@@ -256,20 +262,24 @@ def remove_repeats(
     run but its first lose it, and only that first one has the run's windows compared one by
     one, if the seed also stands in another run. A group of copies thus costs a row for each
     run and copy, and no pairs. Rows of one key count as one document, rows of a null key as a
-    last one. Texts of fewer than ``width`` words, null and empty ones lose nothing.
+    last one; what goes back to a text is its own list, however many rows share its key. Texts of
+    fewer than ``width`` words, null and empty ones lose nothing.
     Windows are told apart by 64-bit hashes.
     """
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    rows = docs.select(F.col(key).alias("key"), own.alias("own"), F.col(text).alias("text"))
     live, below = None, None
     for length in levels(width, shortest)[1:] or [width]:
-        left = rows if live is None else _with(rows, _gathered(live.select("key", "run"), "run"), "inner")
+        left = rows if live is None else _with(rows, _gathered(live, "run"), "inner")
         seeds = materialize(_seeds(left, length, below), "repeat-seeds")
         live, below = materialize(_met_twice(seeds), "repeat-runs"), length
         if live.isEmpty():
             break
     firsts = live.groupBy("run").agg(F.min("key").alias("first"), F.bool_or("varies").alias("varies"))
-    whole = live.select("key", "run").join(firsts, "run").where(_earlier(F.col("first"), F.col("key")))
-    extend = firsts.where("varies").select(F.col("first").alias("key"), F.col("run").alias("extend"))
+    held = live.select(*_ROW, "run").join(firsts, "run")
+    whole = held.where(_earlier(F.col("first"), F.col("key")))
+    # Of equal keys each row with the run, as they are one document.
+    extend = held.where(F.col("varies") & F.col("key").eqNullSafe(F.col("first"))).withColumnRenamed("run", "extend")
     windows = materialize(_windows(_with(rows, _gathered(extend, "extend"), "inner"), width), "repeat-windows")
     starts = windows.groupBy("window").agg(F.min("key").alias("first"))
     single = windows.join(starts, "window").where(_earlier(F.col("first"), F.col("key")))

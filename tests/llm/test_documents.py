@@ -503,6 +503,21 @@ def test_repeats_in_random_texts(spark, width, shortest):
     assert ours == Counter(brute.without_repeats(rows, width))
 
 
+def test_keys_that_many_rows_share(spark):
+    """Lists that go back to a text are its own, also where one key has a third of all rows."""
+    rng = random.Random(31)
+    shared = [sentence(rng, 60) for _ in range(6)]
+    texts = [" ".join([sentence(rng, 20), *rng.sample(shared, 2), sentence(rng, 20)]) for _ in range(90)]
+    keys = [None, 7, None]
+    rows = [(keys[i % 3] if i % 3 != 1 or i % 2 else i, t, "s") for i, t in enumerate(texts)] + [(None, texts[0], "s")]
+    got = Counter(tuple(r) for r in substring.remove_repeats(documents(spark, rows)).collect())
+    assert got == Counter(brute.without_repeats([(k, t) for k, t, _ in rows]))
+    docs = documents(spark, rows).select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("own"), "text")
+    lists = substring._gathered(substring._seeds(docs, 50), "run")
+    assert lists.agg(F.max(F.size("run"))).first()[0] <= max(len(t.split()) for t in texts)
+    assert lists.count() == len(set((k, t) for k, t, _ in rows))
+
+
 def test_digest_of_kept_text(docs, rows):
     found = substring.remove_repeats(docs).select("doc_id", F.sha2("kept_text", 256).alias("sha"))
     expected = [(k, hashlib.sha256(t.encode()).hexdigest()) for k, _, _, t in brute.without_repeats([r[:2] for r in rows])]
