@@ -26,7 +26,8 @@ END_ID = 0
 GROUP_PIECES = 200_000
 # Words a task's encoder remembers, about 200 bytes each.
 _CACHE_WORDS = 300_000
-_BATCH_BYTES = 1 << 25
+# Bytes of ids a task hands over at once; the JVM holds them outside its heap.
+_BATCH_BYTES = 1 << 22
 
 _MIXED_SPACE = re.compile(r" \s|\s ")
 # The fast library's patterns run out of stack on far longer runs of white space.
