@@ -34,9 +34,12 @@ def _typed(text: Column, kind: DataType) -> Column:
         # A JSON list, or a list literal with single or double quotes around each item.
         return F.from_json(text, kind, {"allowSingleQuotes": "true"})
     if isinstance(kind, IntegralType):
-        # A nullable integer comes as 3.0; any other fraction is no integer.
+        # A nullable integer comes as 3.0; any other fraction is no integer. Digits that are written as their
+        # own value are, which is most of a file; only other text is matched.
+        digits = F.when(F.endswith(text, F.lit(".0")), F.substr(text, F.lit(1), F.length(text) - 2)).otherwise(text)
+        value = digits.try_cast(kind)
         whole = F.regexp_extract(text, r"^\s*([+-]?\d+)(\.0*)?\s*$", 1)
-        return F.when(whole != "", whole).try_cast(kind)
+        return F.when(value.cast("string") == digits, value).otherwise(whole.try_cast(kind))
     return text.try_cast(kind)
 
 

@@ -78,7 +78,7 @@ _ORDER_COLUMNS = {
     "user_id": "o_custkey",
     "product_id": "l_partkey",
     "discount_id": "CASE WHEN l_discount <> 0 THEN CAST(round(l_discount * 100) AS BIGINT) END",
-    "time_id": "CAST(date_format(o_orderdate, 'yyyyMMdd') AS INT)",
+    "time_id": "year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate)",
     "vendor_id": "l_suppkey",
     "quantity": "CAST(l_quantity AS INT)",
     "gross_amount": _GROSS,

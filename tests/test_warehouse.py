@@ -268,3 +268,20 @@ def test_scratch_folder_goes(spark, tmp_path):
         local = Path(folder.removeprefix("file:"))
         assert local.exists()
     assert not local.exists()
+
+
+def test_only_odd_integers_are_matched(spark, tmp_path):
+    """Plain digits are parsed as they stand; other spellings give what the pattern says."""
+    spelt = {
+        "7": 7, "-7": -7, "7.0": 7, "0": 0, "2147483647": 2147483647, "-2147483648.0": -2147483648,
+        "+7": 7, " 7 ": 7, "\t7": 7, "7.": 7, "7.00": 7, "007": 7, "-0": 0, "-0.0": 0, "+7.0": 7, " 7.0": 7, "7.0 ": 7,
+        "2147483648": None, "7.5": None, "7e0": None, "x": None, ".0": None, "-": None, "7 .0": None, "7.0.0": None,
+        "\x017": None, "7\x7f": None, "\x017.0": None, "٧": None, "": None,
+    }
+    rows = [f'{i},"{text}"' for i, text in enumerate(spelt)]
+    file = _file(tmp_path / "p.csv", "product_id,stock", *rows)
+    df = read_csv(spark, file, "dim_product")
+    assert {r.product_id: r.stock for r in df.collect()} == dict(enumerate(spelt.values()))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    # product_id and stock; the missing vendor_id needs none.
+    assert plan.count("regexp_extract(") == plan.count("ELSE cast(regexp_extract(") + plan.count("ELSE try_cast(regexp_extract(") == 2
