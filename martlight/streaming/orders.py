@@ -35,7 +35,9 @@ def upsert_orders(orders: DataFrame, path: str) -> None:
     if hadoop_exists(spark, f"{path.rstrip('/')}/fact_order"):
         # A join on the day prunes the folders that are listed; what they hold is stored before they are replaced.
         old = Warehouse(spark, path=path).table("fact_order").join(F.broadcast(days), "order_date", "left_semi")
-        kept = old.join(least.select("order_date", "order_id"), ["order_date", "order_id"], "left_anti")
+        # Merged: a broadcast would send the keys of all orders that came through the driver.
+        keys = least.select("order_date", "order_id").hint("merge")
+        kept = old.join(keys, ["order_date", "order_id"], "left_anti")
         least, merged = store(least.unionByName(kept.select(least.columns)), "upsert-merged")
         found.append(merged)
     replace_partitions(least, "fact_order", path)
@@ -59,11 +61,17 @@ def drain_orders(
     order in once more, under the same id.
     """
 
+    spark = products.sparkSession
+    # Else a table below a broadcast's limit would go through the driver again with every batch.
+    merged = [products.hint("merge"), users.hint("merge")]
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Stored, so that the stream's state is worked on once a batch.
-        rows, folder = store(batch, "order-batch")
-        upsert_orders(orders_from_events(rows, products, users, discounts, as_of), path)
-        remove(rows.sparkSession, folder)
+        # Stored, so that the stream's state is worked on once a batch, and read back by the tables' session:
+        # in the stream's own, no plan adapts, so every shuffle has its full number of tasks and hot keys aren't split.
+        folder = store(batch, "order-batch")[1]
+        rows = spark.read.schema(batch.schema).parquet(folder)
+        upsert_orders(orders_from_events(rows, *merged, discounts, as_of), path)
+        remove(spark, folder)
 
     query = (
         once(events.where(F.col("event_type") == "purchase"), late_by)

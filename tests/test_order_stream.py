@@ -59,6 +59,38 @@ def test_state_forgets_ids_and_the_upsert_does_not(spark):
     assert len(found) == 4 and len({r.order_id for r in found}) == 4
 
 
+def test_batches_send_no_table_through_the_driver(spark, monkeypatch):
+    """Neither tables nor a batch's orders are broadcast, and a batch's plans adapt to their data."""
+    plans = []
+
+    def stored(df, purpose, folder=None):
+        found = store(df, purpose, folder)
+        if purpose.startswith("upsert"):
+            plans.append((purpose, df.sparkSession.conf.get("spark.sql.adaptive.enabled"), df._jdf.queryExecution().executedPlan().toString()))
+        return found
+
+    store = orders.store
+    monkeypatch.setattr(orders, "store", stored)
+    base = shared_dir(spark, "stream")
+    columns = {"user_id": "1L", "product_id": "1L", "event_type": "'purchase'", "quantity": "1", "payment_method": "'credit_card'", "purchase_channel": "'web'"}
+    for i in range(2):
+        events = spark.range(3).selectExpr(
+            f"CAST(id + {2 * i} AS STRING) AS event_id", "TIMESTAMP '2025-01-01 10:00:00' AS event_ts", *[f"{v} AS {c}" for c, v in columns.items()]
+        )
+        events.coalesce(1).write.parquet(f"{base}/in/part={i}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in/*")
+    products = b.products(spark, [{"product_id": 1, "unit_price": 5, "vendor_id": 1}])
+    users = b.users(spark, [{"user_id": 1}])
+    orders.drain_orders(
+        stream, products, users, b.discounts(spark, []), "2025-01-08 10:00:00", f"{base}/out", f"{base}/checkpoint", late_by="1 day"
+    )
+    assert Warehouse(spark, path=f"{base}/out").table("fact_order").count() == 5
+    assert {purpose for purpose, _, _ in plans} == {"upsert", "upsert-merged"}
+    for _, adaptive, plan in plans:
+        joins = re.findall(r"BroadcastHashJoin \[([^\]]*)\]", plan)
+        assert adaptive == "true" and not [j for j in joins if re.search("product_id|user_id|order_id", j)]
+
+
 def test_orphans_add_up(spark):
     events = b.events(
         spark,
